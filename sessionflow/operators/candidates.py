@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionflow.functions.draws import draw
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, with_position
+from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, key_counts, lookup_join, with_position
 from sessionflow.storage import hand_off
 
 GENRE, EMOTION, ALL = "genre", "emotion", "all"
@@ -50,71 +50,52 @@ def candidate_segments(profiles: DataFrame, tracks: DataFrame, skew: SkewPolicy
     emotion_sizes = cells.groupBy("emotion").agg(F.sum("n").alias("emotion_size"))
     catalog_size = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
 
-    base = profiles.select(
-        "user_id",
-        F.array_distinct("preferred_genres").alias("genres"),
-        F.array_distinct("preferred_emotions").alias("emotions"),
-    )
-    in_genre = lookup_join(
-        base.select("user_id", F.posexplode("genres").alias("_no", "genre")), genre_sizes, ["genre"], skew=skew
-    )
-    genre_segments = in_genre.groupBy("user_id").agg(
-        F.array_sort(
-            F.collect_list(F.struct("_no", F.col("genre").alias("list_key"), F.col("genre_size").alias("size")))
-        ).alias("_genre_segments")
-    )
-    in_emotion = lookup_join(
-        base.select("user_id", "genres", F.posexplode("emotions").alias("_no", "emotion")),
-        emotion_sizes,
-        ["emotion"],
-        skew=skew,
-    )
-    overlaps = lookup_join(
-        in_emotion.select("user_id", "_no", "emotion", "emotion_size", F.explode_outer("genres").alias("genre")),
-        ranges,
-        ["emotion", "genre"],
-        "left",
-        skew=skew,
-    )
-    emotion_segments = (
-        overlaps.groupBy("user_id", "_no", "emotion", "emotion_size")
-        .agg(
-            F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("at", "n")))).alias("gaps"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("_overlap"),
-        )
-        .groupBy("user_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "_no",
-                        F.col("emotion").alias("list_key"),
-                        (F.col("emotion_size") - F.col("_overlap")).alias("size"),
-                        "gaps",
-                    )
-                )
-            ).alias("_emotion_segments")
-        )
-    )
+    wanted = profiles.select(
+        "user_id", "recent_tracks", F.array_distinct("preferred_genres").alias("genres"), "preferred_emotions"
+    )
+    pairs = wanted.select(
+        "user_id", "recent_tracks", "preferred_emotions", F.posexplode_outer("genres").alias("_g", "genre")
+    ).select(
+        "user_id", "recent_tracks", "_g", "genre",
+        F.posexplode_outer(F.array_distinct("preferred_emotions")).alias("_e", "emotion"),
+    )
+    # every lookup keeps the rows, so all three can use the counts of the rows they started from
+    sized = pairs
+    for sizes, keys in ((genre_sizes, ["genre"]), (emotion_sizes, ["emotion"]), (ranges, ["emotion", "genre"])):
+        sized = lookup_join(sized, sizes, keys, "left", counts=key_counts(pairs, keys), skew=skew)
     gap_type = "array<struct<at:bigint,n:bigint>>"
     segment_type = f"array<struct<list:string,list_key:string,size:bigint,gaps:{gap_type}>>"
     no_gaps = F.array().cast(gap_type)
-    as_segments = F.concat(
-        F.coalesce(
-            F.transform(
-                "_genre_segments",
-                lambda s: F.struct(F.lit(GENRE).alias("list"), s["list_key"], s["size"], no_gaps.alias("gaps")),
-            ).cast(segment_type),
-            F.array().cast(segment_type),
-        ),
-        F.coalesce(
-            F.transform(
-                "_emotion_segments",
-                lambda s: F.struct(F.lit(EMOTION).alias("list"), s["list_key"], s["size"], s["gaps"]),
-            ).cast(segment_type),
-            F.array().cast(segment_type),
+    gathered = sized.groupBy("user_id").agg(
+        F.any_value("recent_tracks").alias("recent_tracks"),
+        F.array_sort(
+            F.collect_set(F.when(F.col("genre_size").isNotNull(), F.struct("_g", "genre", "genre_size")))
+        ).alias("_genres"),
+        F.array_sort(
+            F.collect_set(F.when(F.col("emotion_size").isNotNull(), F.struct("_e", "emotion", "emotion_size")))
+        ).alias("_emotions"),
+        F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("at", "n", "_e")))).alias("_gaps"),
+    )
+    genre_segments = F.transform(
+        "_genres",
+        lambda g: F.struct(
+            F.lit(GENRE).alias("list"), g["genre"].alias("list_key"), g["genre_size"].alias("size"), no_gaps.alias("gaps")
         ),
-    )
+    ).cast(segment_type)
+
+    def emotion_segment(e: Column) -> Column:
+        own = F.transform(
+            F.filter("_gaps", lambda g: g["_e"] == e["_e"]), lambda g: F.struct(g["at"].alias("at"), g["n"].alias("n"))
+        )
+        covered = F.aggregate(own, F.lit(0).cast("long"), lambda total, g: total + g["n"])
+        return F.struct(
+            F.lit(EMOTION).alias("list"),
+            e["emotion"].alias("list_key"),
+            (e["emotion_size"] - covered).alias("size"),
+            own.alias("gaps"),
+        )
+
+    emotion_segments = F.transform("_emotions", emotion_segment).cast(segment_type)
     whole = F.array(
         F.struct(
             F.lit(ALL).alias("list"),
@@ -124,10 +105,7 @@ def candidate_segments(profiles: DataFrame, tracks: DataFrame, skew: SkewPolicy
         )
     ).cast(segment_type)
     found = (
-        profiles.select("user_id", "recent_tracks")
-        .join(genre_segments, "user_id", "left")
-        .join(emotion_segments, "user_id", "left")
-        .withColumn("_found", F.filter(as_segments, lambda s: s["size"] > 0))
+        gathered.withColumn("_found", F.filter(F.concat(genre_segments, emotion_segments), lambda s: s["size"] > 0))
         .withColumn("matched", F.size("_found") > 0)
         .withColumn("_found", F.when(F.col("matched"), F.col("_found")).otherwise(whole))
     )

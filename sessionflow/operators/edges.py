@@ -12,21 +12,29 @@ from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, wi
 
 
 def cooccurrence_counts(
-    plays: DataFrame, sessions: DataFrame, keys: Sequence[str], skew: SkewPolicy | None = DEFAULT_SKEW
+    plays: DataFrame,
+    sessions: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """(last_track, track_id, pair_count): each play of a multi-track session paired with that session's last track.
 
     Linear in the plays: every play meets only its session's one last track, and repeats count. ``sessions`` comes
     from ``last_tracks`` over the same plays.
     """
-    paired = lookup_join(
-        plays.select(*keys, "track_id"),
-        multi_track_sessions(sessions).select(*keys, "last_track"),
-        keys,
-        counts=sessions,
-        n="track_count",
-        skew=skew,
-    )
+    if skew is None:
+        last = F.max_by("track_id", F.struct(*order)).over(Window.partitionBy(*keys))
+        paired = plays.withColumn("last_track", last)
+    else:
+        paired = lookup_join(
+            plays.select(*keys, "track_id"),
+            multi_track_sessions(sessions).select(*keys, "last_track"),
+            keys,
+            counts=sessions,
+            n="track_count",
+            skew=skew,
+        )
     return (
         paired.filter(F.col("last_track") != F.col("track_id"))
         .groupBy("last_track", "track_id")

@@ -73,7 +73,7 @@ def generate_recommendations(
     """Recommendations for every session of ``plays``: one lazy plan, no action; empty input gives an empty result."""
     keys = list(keys)
     sessions = last_tracks(plays, keys, order)
-    pairs = cooccurrence_counts(plays, sessions, keys, skew)
+    pairs = cooccurrence_counts(plays, sessions, keys, order, skew)
     recommended = recommend(
         sessions.drop("track_count"),
         edge_topn(pairs, top_n, "cooccurrence_weight"),

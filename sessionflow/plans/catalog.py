@@ -110,13 +110,13 @@ def dim_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def track_id_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.table(spark, sf_dir, "documents").select(
+    return B.spread(B.table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", track_id(F.col("source"), F.col("text")).alias("track_id")
     )
 
 
 def tag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = B.table(spark, sf_dir, "documents").select("doc_id", split_tags(F.col("text")).alias("tags"))
+    tagged = B.spread(B.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", split_tags(F.col("text")).alias("tags"))
     return tagged.select(
         "doc_id", F.size("tags").cast("bigint").alias("n_tags"), F.md5(F.array_join("tags", "|")).alias("tags_md5")
     )

@@ -50,7 +50,8 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct(F.col("user_id").cast("string").alias("user_id"), *rest))
     with_number = F.to_json(F.struct(F.col("user_id").alias("user_id"), *rest))
     value = F.when(event_id % 97 == 0, F.substring(text, 1, 20)).when(event_id % 83 == 0, with_number).otherwise(text)
-    return B.events(spark, sf_dir).select("event_id", value.cast("binary").alias("value"))
+    events = B.spread(B.table(spark, sf_dir, "events"), "event_id")
+    return B.listening_events(events).select("event_id", value.cast("binary").alias("value"))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,9 @@ def _skew(spark: SparkSession, sf_dir: str) -> SkewPolicy | None:
 
 
 def cooccurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.cooccurrence_counts(B.baskets(spark, sf_dir), _sessions(spark, sf_dir), SESSION, _skew(spark, sf_dir))
+    return G.cooccurrence_counts(
+        B.baskets(spark, sf_dir), _sessions(spark, sf_dir), SESSION, B.BASKET_ORDER, _skew(spark, sf_dir)
+    )
 
 
 def cooccurrence_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

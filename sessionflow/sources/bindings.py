@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, policy_for
 
@@ -11,8 +12,24 @@ from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, policy_for
 QUERY_SKEW = DEFAULT_SKEW
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A stored table. Its schema is read from the files once; later reads name it and start no job for it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """For costly work per row: a table of fewer file splits than cores is spread over all of them by ``key``.
+
+    A large table has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def skew_of(spark: SparkSession, sf_dir: str, *names: str) -> SkewPolicy | None:
