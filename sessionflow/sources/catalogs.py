@@ -44,12 +44,10 @@ def prepare_catalog(
     """
     spark = raw.sparkSession
     parsed = C.parse_catalog(raw)
-    parsed.withColumn("rejected", F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy(
-        "rejected"
-    ).parquet(f"{folder}/parsed")
-    stored = spark.read.parquet(f"{folder}/parsed")
-    stored.filter("rejected").drop("rejected").write.mode("overwrite").parquet(f"{folder}/quarantine")
-    valid = stored.filter("not rejected").drop("rejected", "reject_reason")
+    parsed.write.mode("overwrite").parquet(f"{folder}/parsed")
+    stored = spark.read.schema(parsed.schema).parquet(f"{folder}/parsed")
+    C.quarantined(stored).write.mode("overwrite").parquet(f"{folder}/quarantine")
+    valid = C.clean_tracks(stored)
     C.with_chunk(valid, chunk_size).write.mode("overwrite").option("maxRecordsPerFile", chunk_size).parquet(
         f"{folder}/tracks"
     )
