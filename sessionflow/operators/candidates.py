@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionflow.functions.draws import draw
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, key_counts, lookup_join, with_position
+from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, lookup_join, with_position
 from sessionflow.storage import hand_off
 
 GENRE, EMOTION, ALL = "genre", "emotion", "all"
@@ -59,10 +59,11 @@ def candidate_segments(profiles: DataFrame, tracks: DataFrame, skew: SkewPolicy
         "user_id", "recent_tracks", "_g", "genre",
         F.posexplode_outer(F.array_distinct("preferred_emotions")).alias("_e", "emotion"),
     )
-    # every lookup keeps the rows, so all three can use the counts of the rows they started from
+    # every lookup keeps the rows, so the hot keys of all three are those of the rows they started from
     sized = pairs
     for sizes, keys in ((genre_sizes, ["genre"]), (emotion_sizes, ["emotion"]), (ranges, ["emotion", "genre"])):
-        sized = lookup_join(sized, sizes, keys, "left", counts=key_counts(pairs, keys), skew=skew)
+        hot = None if skew is None else hot_keys(pairs, keys, skew)
+        sized = lookup_join(sized, sizes, keys, "left", skew, hot)
     gap_type = "array<struct<at:bigint,n:bigint>>"
     segment_type = f"array<struct<list:string,list_key:string,size:bigint,gaps:{gap_type}>>"
     no_gaps = F.array().cast(gap_type)

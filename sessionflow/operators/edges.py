@@ -7,36 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionflow.operators.sessions import multi_track_sessions
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, with_previous
+from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, with_last, with_previous
+from sessionflow.storage import hand_off
 
 
 def cooccurrence_counts(
-    plays: DataFrame,
-    sessions: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    skew: SkewPolicy | None = DEFAULT_SKEW,
+    plays: DataFrame, keys: Sequence[str], order: Sequence[str], skew: SkewPolicy | None = DEFAULT_SKEW
 ) -> DataFrame:
-    """(last_track, track_id, pair_count): each play of a multi-track session paired with that session's last track.
+    """(last_track, track_id, pair_count): each play paired with the last track of its session.
 
-    Linear in the plays: every play meets only its session's one last track, and repeats count. ``sessions`` comes
-    from ``last_tracks`` over the same plays.
+    Linear in the plays: a play meets only its session's one last track, and repeats count. A session with a single
+    play pairs that play with itself only, which is no pair.
     """
-    if skew is None:
-        last = F.max_by("track_id", F.struct(*order)).over(Window.partitionBy(*keys))
-        paired = plays.withColumn("last_track", last)
-    else:
-        paired = lookup_join(
-            plays.select(*keys, "track_id"),
-            multi_track_sessions(sessions).select(*keys, "last_track"),
-            keys,
-            counts=sessions,
-            n="track_count",
-            skew=skew,
-        )
     return (
-        paired.filter(F.col("last_track") != F.col("track_id"))
+        with_last(plays.select(*keys, "track_id", *[c for c in order if c != "track_id"]), keys, order, "track_id", "last_track", skew)
+        .filter(F.col("last_track") != F.col("track_id"))
         .groupBy("last_track", "track_id")
         .agg(F.count(F.lit(1)).alias("pair_count"))
     )
@@ -61,6 +46,8 @@ def edge_totals(counts: DataFrame) -> DataFrame:
 
 def edge_weights(counts: DataFrame, weight: str, skew: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
     """(last_track, track_id, weight): pair count over the total of its last track."""
+    if skew is not None:  # read three times from here on
+        counts = hand_off(counts, "pairs")
     joined = lookup_join(counts, edge_totals(counts), ["last_track"], skew=skew)
     return joined.select(
         "last_track", "track_id", (F.col("pair_count") / F.col("total_count")).alias(weight)

@@ -15,17 +15,26 @@ from sessionflow.operators.edges import (
 )
 from sessionflow.operators.popularity import play_counts, popularity_list, popularity_topn
 from sessionflow.operators.sessions import last_tracks
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join
+from sessionflow.operators.skew import DEFAULT_SKEW, HotKeys, SkewPolicy, hot_keys, lookup_join
 
 DEFAULT_TOP_N = 5
 EMPTY_LIST = "array<struct<track:{0},weight:double>>"
 
 
+def hot_last_tracks(plays: DataFrame, skew: SkewPolicy | None) -> HotKeys | None:
+    """Tracks that may be the last of very many sessions, found in the plays: no session has to be built for it."""
+    return None if skew is None else hot_keys(plays, ["track_id"], skew).renamed("last_track")
+
+
 def session_edge_lists(
-    sessions: DataFrame, topn: DataFrame, weight: str, skew: SkewPolicy | None = DEFAULT_SKEW
+    sessions: DataFrame,
+    topn: DataFrame,
+    weight: str,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sessions with the edge list of their last track in ``recs`` (null when it has none)."""
-    return lookup_join(sessions, edge_lists(topn, weight), ["last_track"], "left", skew=skew)
+    return lookup_join(sessions, edge_lists(topn, weight), ["last_track"], "left", skew, hot)
 
 
 def recommend(
@@ -35,6 +44,7 @@ def recommend(
     weight: str = "cooccurrence_weight",
     strategy: str = "cooccurrence",
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sessions with ``recommendations`` and ``next_track_recommendation``; only sessions that have one.
 
@@ -43,7 +53,7 @@ def recommend(
     track_type = dict(sessions.dtypes)["last_track"]
     empty = F.array().cast(EMPTY_LIST.format(track_type))
     joined = (
-        session_edge_lists(sessions, topn, weight, skew)
+        session_edge_lists(sessions, topn, weight, skew, hot)
         .withColumn("_edges", F.coalesce("recs", empty))
         .withColumn("_popular", popularity_list(popular))
     )
@@ -73,12 +83,13 @@ def generate_recommendations(
     """Recommendations for every session of ``plays``: one lazy plan, no action; empty input gives an empty result."""
     keys = list(keys)
     sessions = last_tracks(plays, keys, order)
-    pairs = cooccurrence_counts(plays, sessions, keys, order, skew)
+    pairs = cooccurrence_counts(plays, keys, order, skew)
     recommended = recommend(
         sessions.drop("track_count"),
         edge_topn(pairs, top_n, "cooccurrence_weight"),
         popularity_topn(play_counts(plays), top_n),
         skew=skew,
+        hot=hot_last_tracks(plays, skew),
     )
     return recommended.withColumn("timestamp", F.current_timestamp())
 
@@ -99,6 +110,7 @@ def generate_transition_recommendations(
         weight="transition_weight",
         strategy="transition",
         skew=skew,
+        hot=hot_last_tracks(plays, skew),
     ).withColumn("timestamp", F.current_timestamp())
 
 
@@ -137,8 +149,11 @@ def sample_recommendations(
 
 
 def enrich_sessions(
-    sessions: DataFrame, recommendations: DataFrame, keys: Sequence[str] = ("user_id", "session_id"),
+    sessions: DataFrame,
+    recommendations: DataFrame,
+    keys: Sequence[str] = ("user_id", "session_id"),
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Window sessions with the recommended track and strategy of their session; null where there is none."""
     picks = recommendations.select(
@@ -146,4 +161,4 @@ def enrich_sessions(
         F.col("next_track_recommendation.track").alias("recommended_track"),
         F.col("next_track_recommendation.strategy").alias("rec_strategy"),
     )
-    return lookup_join(sessions, picks, keys, "left", skew=skew)
+    return lookup_join(sessions, picks, keys, "left", skew, hot)

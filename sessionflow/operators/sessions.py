@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, with_position, with_previous
+from sessionflow.operators.skew import (
+    DEFAULT_SKEW,
+    HotKeys,
+    SkewPolicy,
+    hot_keys,
+    lookup_join,
+    with_position,
+    with_previous,
+)
 
 #: Longest track list in one output row; a longer session continues in further rows.
 LIST_PIECE = 1000
@@ -118,19 +126,30 @@ def session_starts(events: DataFrame, user: str, gap_seconds: int) -> DataFrame:
 def assign_sessions(
     events: DataFrame, user: str = "user_id", gap_seconds: int = 8 * 3600, skew: SkewPolicy | None = DEFAULT_SKEW
 ) -> DataFrame:
-    """Add session_no (from 1 per user) and session_start_us to every event."""
-    micros = F.unix_micros("event_time")
-    if skew is None:
-        by_time = Window.partitionBy(user).orderBy("_us")
-        before = F.lag("_us").over(by_time)
-        is_new = before.isNull() | (F.col("_us") - before > F.lit(gap_seconds * 1_000_000))
-        return (
-            events.withColumn("_us", micros)
-            .withColumn("_new", is_new)
-            .withColumn("session_no", F.sum(F.col("_new").cast("long")).over(by_time))
-            .withColumn("session_start_us", F.max(F.when(F.col("_new"), F.col("_us"))).over(by_time))
-            .drop("_us", "_new")
-        )
-    starts = session_starts(events, user, gap_seconds)
-    bucketed = events.withColumn("bucket", _gap_bucket(micros, gap_seconds))
-    return lookup_join(bucketed, starts, [user, "bucket"], skew=skew).drop("bucket")
+    """Add session_no (from 1 per user) and session_start_us to every event.
+
+    One window per user. Hot users go the other way: their sessions come from bucket spans and are joined back.
+    """
+    hot = HotKeys((user,), None) if skew is None else hot_keys(events, [user], skew)
+    if hot.table is None:
+        return _assign_by_window(events, user, gap_seconds)
+    heavy = F.broadcast(hot.table.select(user))
+    of_heavy = events.join(heavy, user, "left_semi")
+    bucketed = of_heavy.withColumn("bucket", _gap_bucket(F.unix_micros("event_time"), gap_seconds))
+    joined = lookup_join(bucketed, session_starts(of_heavy, user, gap_seconds), [user, "bucket"], skew=skew)
+    return _assign_by_window(events.join(heavy, user, "left_anti"), user, gap_seconds).unionByName(
+        joined.drop("bucket")
+    )
+
+
+def _assign_by_window(events: DataFrame, user: str, gap_seconds: int) -> DataFrame:
+    by_time = Window.partitionBy(user).orderBy("_us")
+    before = F.lag("_us").over(by_time)
+    is_new = before.isNull() | (F.col("_us") - before > F.lit(gap_seconds * 1_000_000))
+    return (
+        events.withColumn("_us", F.unix_micros("event_time"))
+        .withColumn("_new", is_new)
+        .withColumn("session_no", F.sum(F.col("_new").cast("long")).over(by_time))
+        .withColumn("session_start_us", F.max(F.when(F.col("_new"), F.col("_us"))).over(by_time))
+        .drop("_us", "_new")
+    )

@@ -1,36 +1,43 @@
 """Joins and ordered windows that keep working when one key holds a large share of all rows.
 
-Three facts carry this module:
+A key is *hot* when it holds at least about ``1/share`` of the rows, so there are only a few hundred hot keys whatever
+the size of the input, and tables with a few rows per hot key are safe to broadcast. Hot keys are looked for before
+the plan is built, in a sample of the key columns, the way a range partitioner finds its bounds. The sample only
+decides how the work is spread: every row is kept, and the result is exact for any set of hot keys. Where no key is
+hot, operators take their plain form.
 
-* A key is *hot* when it holds at least ``1/share`` of all rows, so there are never more than ``share`` hot keys. Any
-  table with a bounded number of rows per hot key is therefore safe to broadcast, whatever the size of the input.
-* Hot keys only decide how the work is spread. The result is exact for any choice of hot keys.
-* Everything that decides where a row goes is computed from exact counts and from row values, so a recomputed task
-  sends its rows to the same place as the lost one.
-
-Finding the hot keys costs a counting pass. ``policy_for`` saves it for inputs so small that no key can be hot: it
-returns None, and every operator takes its plain form when its policy is None.
+``policy_for`` skips the search for inputs so small that no key can be hot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Sampled rows expected per piece of a hot key: enough to tell a hot key from a cold one.
+SAMPLE_PER_PIECE = 1000
+SEED = 17
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When to treat a key as hot.
 
-    share:    hot keys hold at least ``1/share`` of the rows, and a hot key is cut into pieces of about that size.
+    share:    a hot key holds at least about ``1/share`` of the rows, and is cut into pieces of that size.
     min_rows: keys below this many rows are left alone; one task handles them without trouble.
+    rows:     rows of the input, where known; otherwise each operator counts its own.
     """
 
     share: int = 256
     min_rows: int = 1_000_000
+    rows: int = 0
+
+    def piece(self, df: DataFrame) -> int:
+        return max((self.rows or df.count()) // self.share, self.min_rows, 1)
 
 
 DEFAULT_SKEW = SkewPolicy()
@@ -41,20 +48,86 @@ def policy_for(*tables: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> SkewPolic
 
     Counting a stored table reads no column, only the row counts in the file footers.
     """
-    return skew if any(table.count() >= skew.min_rows for table in tables) else None
+    rows = max(table.count() for table in tables)
+    return replace(skew, rows=rows) if rows >= skew.min_rows else None
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot keys of an input: (keys, _slices[, _bounds]), at most some 1.25 * share rows; None where there are none."""
 
+    keys: tuple[str, ...]
+    table: DataFrame | None
 
-def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key, combined on the map side before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    def renamed(self, *names: str) -> HotKeys:
+        """The same hot values for other key columns: good for rows that are at most as many per key."""
+        if self.table is None:
+            return HotKeys(names, None)
+        return HotKeys(names, self.table.withColumnsRenamed(dict(zip(self.keys, names, strict=True))))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "_n", skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
-    """(keys, _n, _slices) of the hot keys: at most ``skew.share`` rows, with ``sum(_slices) <= 2 * share``."""
-    total = counts.agg(F.sum(n)).scalar()
-    piece = F.greatest(F.ceil(total / F.lit(skew.share)), F.lit(skew.min_rows), F.lit(1))
-    return counts.filter(F.col(n) >= piece).select(
-        *keys, F.col(n).alias("_n"), F.ceil(F.col(n) / piece).cast("int").alias("_slices")
+def hot_keys(df: DataFrame, keys: Sequence[str], skew: SkewPolicy, order: Sequence[str] = ()) -> HotKeys:
+    """Find the hot keys of ``df``; with ``order``, also the values that cut each of them into even ranges.
+
+    Runs one job over the key columns. What reaches the driver is bounded by the policy: a few hundred keys and about
+    as many cut points.
+    """
+    piece = skew.piece(df)
+    fraction = min(1.0, SAMPLE_PER_PIECE / piece)
+    columns = df.select(*keys, *[c for c in order if c not in keys])
+    sampled = columns.sample(fraction, SEED) if fraction < 1 else columns
+    slices = F.ceil(F.col("_n") / (piece * fraction)).cast("int")
+    counted = sampled.groupBy(*keys)
+    if order:
+        counted = counted.agg(
+            F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(F.struct(*order))).alias("_sorted")
+        )
+    else:
+        counted = counted.agg(F.count(F.lit(1)).alias("_n"))
+    found = counted.filter(F.col("_n") >= 0.8 * piece * fraction).select(
+        *keys, slices.alias("_slices"), *(["_sorted"] if order else [])
+    )
+    if order:
+        found = found.select(
+            *keys,
+            "_slices",
+            F.array_distinct(
+                F.filter(
+                    F.transform(
+                        F.sequence(F.lit(1), F.greatest(F.col("_slices") - 1, F.lit(1))),
+                        lambda i: F.get("_sorted", F.floor(i * F.size("_sorted") / F.col("_slices")).cast("int")),
+                    ),
+                    lambda b: b.isNotNull(),
+                )
+            ).alias("_bounds"),
+        )
+    rows = found.collect()
+    table = df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    return HotKeys(tuple(keys), table)
+
+
+def _beside(df: DataFrame, hot: HotKeys, columns: Sequence[str]) -> DataFrame:
+    """``df`` with columns of its hot key, null for every other row. Null keys count as keys."""
+    names = {k: f"_hot_{i}" for i, k in enumerate(hot.keys)}
+    small = F.broadcast(hot.table.select(*[F.col(k).alias(n) for k, n in names.items()], *columns))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()])
+    return df.join(small, same, "left").drop(*names.values())
+
+
+def _spread(df: DataFrame) -> Column:
+    """An even number per row that stays the same when the row's task runs again."""
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_slice(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Add ``_slice``: rows of a hot key are spread over its slices, all other rows are in slice 0."""
+    number = _spread(df)
+    return (
+        _beside(df, hot, ["_slices"])
+        .withColumn(
+            "_slice", F.when(F.col("_slices").isNotNull(), F.pmod(number, F.col("_slices"))).otherwise(0).cast("int")
+        )
+        .drop("_slices")
     )
 
 
@@ -63,84 +136,61 @@ def lookup_join(
     attrs: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    counts: DataFrame | None = None,
-    n: str = "_n",
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``attrs``, which has at most one row per key.
 
-    Rows of a hot key are spread over slices, and the one ``attrs`` row of that key is repeated once per slice. Rows
-    whose key is null can match nothing; in an outer join they are spread too, so that they do not meet in one task.
-    ``counts`` may pass in rows per key when the caller has them already.
+    Rows of a hot key are spread over slices, and the one ``attrs`` row of that key is repeated once per slice. ``hot``
+    may name the hot keys when the caller can tell them from a cheaper table.
     """
     keys = list(keys)
     if skew is None:
         return rows.join(attrs, keys, how)
-    counts = key_counts(rows, keys) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts, keys, n, skew).select(*keys, "_slices"))
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in rows.columns])
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    salted_rows = (
-        rows.join(hot, keys, "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col("_slices").isNotNull(), F.pmod(spread, F.col("_slices")))
-            .when(any_null, F.pmod(spread, F.lit(4 * skew.share)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop("_slices")
-    )
-    salted_attrs = (
-        attrs.join(hot, keys, "left")
+    hot = hot_keys(rows, keys, skew) if hot is None else hot
+    if hot.table is None:
+        return rows.join(attrs, keys, how)
+    copies = (
+        _beside(attrs, hot, ["_slices"])
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
         .drop("_slices")
     )
-    return salted_rows.join(salted_attrs, [*keys, "_slice"], how).drop("_slice")
-
+    return with_slice(rows, hot).join(copies, [*keys, "_slice"], how).drop("_slice")
 
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
 
+def with_last(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, skew: SkewPolicy | None = DEFAULT_SKEW
+) -> DataFrame:
+    """Add the ``value`` of the last row of each key to all its rows.
 
-def _with_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], skew: SkewPolicy) -> DataFrame:
-    """Add ``_part`` (and ``_hot``): rows of a hot key are cut into ranges of the order columns.
-
-    The cut points are the quantiles of a hash-selected subset of the order values. They only balance the ranges;
-    every row is kept, and equal order values always fall into the same range.
+    One shuffle by key. For the few hot keys the last value is aggregated beforehand, on the map side, and broadcast;
+    their rows take part in the shuffle spread over slices.
     """
-    hot = F.broadcast(hot_keys(key_counts(df, keys), keys, skew=skew))
-    oversample = 16
-    order_value = _order_struct(order)
-    candidates = (
-        df.select(*keys, *[c for c in order if c not in keys])
-        .join(hot, list(keys))
-        .filter(
-            F.pmod(
-                F.xxhash64(*[F.col(c) for c in order]),
-                F.greatest(F.floor(F.col("_n") / (F.col("_slices") * oversample)), F.lit(1)),
-            )
-            == 0
-        )
+    keys = list(keys)
+    last = F.max_by(value, F.struct(*order))
+    hot = HotKeys(tuple(keys), None) if skew is None else hot_keys(df, keys, skew)
+    if hot.table is None:
+        return df.withColumn(out, last.over(Window.partitionBy(*keys)))
+    of_hot = (
+        _beside(df, hot, ["_slices"])
+        .filter(F.col("_slices").isNotNull())
+        .groupBy(*keys)
+        .agg(last.alias("_last"), F.lit(True).alias("_is_hot"))
     )
-    bounds = (
-        candidates.groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(order_value)).alias("_sorted"), F.max("_slices").alias("_slices"))
-        .select(
-            *keys,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.col("_slices") - 1, F.lit(1))),
-                lambda i: F.get("_sorted", F.floor(i * F.size("_sorted") / F.col("_slices")).cast("int")),
-            ).alias("_bounds"),
-        )
+    sliced = _beside(with_slice(df, hot), HotKeys(tuple(keys), of_hot), ["_last", "_is_hot"])
+    in_slice = last.over(Window.partitionBy(*keys, "_slice"))
+    return sliced.withColumn(out, F.when(F.col("_is_hot"), F.col("_last")).otherwise(in_slice)).drop(
+        "_last", "_is_hot", "_slice"
     )
-    # One row per hot key with fewer than _slices cut points: at most 2 * share of them in total.
+
+
+def _with_parts(df: DataFrame, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """Add ``_part``: rows of a hot key are cut into ranges of the order columns; equal values stay together."""
+    value = F.struct(*order)
     return (
-        df.join(F.broadcast(bounds), list(keys), "left")
+        _beside(df, hot, ["_bounds"])
         .withColumn("_hot", F.col("_bounds").isNotNull())
-        .withColumn("_part", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= order_value)), F.lit(0)))
+        .withColumn("_part", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= value)), F.lit(0)))
         .drop("_bounds")
     )
 
@@ -150,21 +200,25 @@ def with_position(
 ) -> DataFrame:
     """Add the 0-based position of each row within its key. ``order`` must be total within a key."""
     keys = list(keys)
-    if skew is None:
+    hot = HotKeys(tuple(keys), None) if skew is None else hot_keys(df, keys, skew, order)
+    if hot.table is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
-    parts = _with_parts(df, keys, order, skew)
+    parts = _with_parts(df, hot, order)
     in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range of a hot key
     offsets = (
         parts.filter("_hot")
         .groupBy(*keys, "_part")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
     )
     return (
-        parts.withColumn(out, F.row_number().over(in_part).cast("long") - 1)
-        .join(F.broadcast(offsets), [*keys, "_part"], "left")
+        _beside(
+            parts.withColumn(out, F.row_number().over(in_part).cast("long") - 1),
+            HotKeys((*keys, "_part"), offsets),
+            ["_offset"],
+        )
         .withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0)))
         .drop("_offset", "_part", "_hot")
     )
@@ -185,10 +239,11 @@ def with_previous(
     the whole key.
     """
     keys = list(keys)
-    if skew is None:
+    hot = HotKeys(tuple(keys), None) if skew is None else hot_keys(df, keys, skew, order)
+    if hot.table is None:
         before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)
         return df.withColumn(out, F.collect_list(value).over(before))
-    parts = _with_parts(df, keys, order, skew)
+    parts = _with_parts(df, hot, order)
     part_keys = [*keys, "_part"]
     in_part = Window.partitionBy(*part_keys).orderBy(*order)
     from_end = Window.partitionBy(*part_keys).orderBy(*[F.desc(c) for c in order])
@@ -196,20 +251,20 @@ def with_previous(
         parts.filter("_hot")
         .withColumn("_back", F.row_number().over(from_end))
         .filter(F.col("_back") <= n)
+        .select(*part_keys, "_back", value)
     )
     across = Window.partitionBy(*keys).orderBy("_part", F.desc("_back"))
+    # one row with at most n values per range of a hot key
     carried = (
         tails.withColumn("_carry", F.collect_list(value).over(across.rowsBetween(-n, -1)))
         .withColumn("_first", F.row_number().over(Window.partitionBy(*part_keys).orderBy(F.desc("_back"))))
         .filter(F.col("_first") == 1)
-        .select(*part_keys, "_carry")
     )
     own = F.collect_list(value).over(in_part.rowsBetween(-n, -1))
-    both = F.concat(F.coalesce("_carry", F.array().cast(f"array<{dict(df.dtypes)[value]}>")), "_own")
+    nothing = F.array().cast(f"array<{dict(df.dtypes)[value]}>")
     return (
-        parts.withColumn("_own", own)
-        .join(F.broadcast(carried), part_keys, "left")
-        .withColumn("_all", both)
+        _beside(parts.withColumn("_own", own), HotKeys(tuple(part_keys), carried), ["_carry"])
+        .withColumn("_all", F.concat(F.coalesce("_carry", nothing), "_own"))
         .withColumn(out, F.slice("_all", F.greatest(F.size("_all") - n + 1, F.lit(1)), n))
         .drop("_own", "_all", "_carry", "_part", "_hot")
     )

@@ -43,9 +43,7 @@ def _skew(spark: SparkSession, sf_dir: str) -> SkewPolicy | None:
 
 
 def cooccurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.cooccurrence_counts(
-        B.baskets(spark, sf_dir), _sessions(spark, sf_dir), SESSION, B.BASKET_ORDER, _skew(spark, sf_dir)
-    )
+    return G.cooccurrence_counts(B.baskets(spark, sf_dir), SESSION, B.BASKET_ORDER, _skew(spark, sf_dir))
 
 
 def cooccurrence_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +66,9 @@ def cooccurrence_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recommendations_cooc(spark: SparkSession, sf_dir: str) -> DataFrame:
     topn = G.edge_topn(cooccurrence_counts(spark, sf_dir), TOP_N, "cooccurrence_weight")
-    return R.session_edge_lists(
-        _sessions(spark, sf_dir), topn, "cooccurrence_weight", _skew(spark, sf_dir)
-    ).select(
+    skew = _skew(spark, sf_dir)
+    hot = R.hot_last_tracks(B.baskets(spark, sf_dir), skew)
+    return R.session_edge_lists(_sessions(spark, sf_dir), topn, "cooccurrence_weight", skew, hot).select(
         "session_id",
         "last_track",
         F.coalesce(F.array_join(F.transform("recs", lambda r: r["track"].cast("string")), ","), F.lit("")).alias(

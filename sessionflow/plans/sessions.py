@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.operators import sessions as S
 from sessionflow.operators.recommend import enrich_sessions, generate_recommendations
+from sessionflow.operators.skew import hot_keys
 from sessionflow.plans.sql import BASKETS, PLAYS, TRACKS, model, next_track
 from sessionflow.sources import bindings as B
 from sessionflow.sources import events as E
@@ -65,8 +66,10 @@ def recent_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     skew = B.skew_of(spark, sf_dir, "events")
-    recommendations = generate_recommendations(B.plays(spark, sf_dir), KEYS, B.EVENT_ORDER, skew=skew)
-    return enrich_sessions(_window_sessions(spark, sf_dir), recommendations, KEYS, skew).select(
+    plays = B.plays(spark, sf_dir)
+    hot = None if skew is None else hot_keys(plays, KEYS, skew)
+    recommendations = generate_recommendations(plays, KEYS, B.EVENT_ORDER, skew=skew)
+    return enrich_sessions(_window_sessions(spark, sf_dir), recommendations, KEYS, skew, hot).select(
         *window_bounds(), *KEYS, "track_count", "last_track", "recommended_track", "rec_strategy"
     )
 

@@ -43,7 +43,7 @@ def test_popularity(plays):
 
 @pytest.mark.parametrize("skew", POLICIES)
 def test_cooccurrence(plays, skew):
-    counts = G.cooccurrence_counts(plays, last_tracks(plays, KEYS, ORDER), KEYS, ORDER, skew)
+    counts = G.cooccurrence_counts(plays, KEYS, ORDER, skew)
     assert rows(counts) == [("c", "a", 2), ("c", "b", 2)]
     assert rows(G.edge_topn(counts, 2, "w")) == [("c", "a", 0.5, 1), ("c", "b", 0.5, 2)]
     assert rows(G.edge_weights(counts, "w", skew)) == [("c", "a", 0.5), ("c", "b", 0.5)]
@@ -117,7 +117,7 @@ def test_edges_have_no_self_pairs_and_dense_ranks(spark):
         F.pmod(F.xxhash64("id"), F.lit(12)).alias("track_id"),
         F.col("id").alias("ord"),
     )
-    counts = G.cooccurrence_counts(plays, last_tracks(plays, KEYS, ORDER), KEYS, ORDER, None)
+    counts = G.cooccurrence_counts(plays, KEYS, ORDER, None)
     assert counts.filter("last_track = track_id").count() == 0
     totals = G.edge_weights(counts, "w", None).groupBy("last_track").agg(F.sum("w").alias("t")).collect()
     assert all(r["t"] == pytest.approx(1.0) for r in totals)

@@ -5,9 +5,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sessionflow.operators.prefix import md5_bucket_of, number_rows, running_sum, width_bucket_of
-from sessionflow.operators.skew import SkewPolicy, hot_keys, key_counts, lookup_join, with_position, with_previous
+from sessionflow.operators.skew import (
+    SkewPolicy,
+    hot_keys,
+    lookup_join,
+    policy_for,
+    with_last,
+    with_position,
+    with_previous,
+)
 
-POLICIES = [SkewPolicy(), SkewPolicy(share=4, min_rows=1), SkewPolicy(share=64, min_rows=1)]
+POLICIES = [None, SkewPolicy(), SkewPolicy(share=4, min_rows=1), SkewPolicy(share=64, min_rows=1)]
 
 
 @pytest.fixture(scope="module")
@@ -27,9 +35,30 @@ def as_set(df, *cols):
 
 def test_hot_keys_are_bounded(rows):
     policy = SkewPolicy(share=8, min_rows=1)
-    hot = hot_keys(key_counts(rows, ["k"]), ["k"], skew=policy).collect()
-    assert 1 <= len(hot) <= 8
-    assert sum(r["_slices"] for r in hot) <= 16
+    hot = hot_keys(rows, ["k"], policy, ["t", "id"]).table.collect()
+    assert 1 <= len(hot) <= 10
+    assert sum(r["_slices"] for r in hot) <= 20
+    assert all(len(r["_bounds"]) < max(r["_slices"], 2) for r in hot)
+    assert hot_keys(rows, ["id"], policy).table is None
+
+
+def test_small_inputs_need_no_policy(rows):
+    assert policy_for(rows) is None
+    assert policy_for(rows, skew=SkewPolicy(min_rows=10)).rows == 2000
+
+
+def test_a_sample_finds_the_hot_keys(spark):
+    many = spark.range(400_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    hot = hot_keys(many, ["k"], SkewPolicy(share=64, min_rows=5000)).table.collect()
+    assert [(r["k"], 18 <= r["_slices"] <= 26) for r in hot] == [(-1, True)]
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_with_last(rows, policy):
+    whole = Window.partitionBy("k")
+    want = rows.withColumn("last", F.max_by("id", F.struct("t", "id")).over(whole))
+    got = with_last(rows, ["k"], ["t", "id"], "id", "last", policy)
+    assert as_set(got, "k", "id", "last") == as_set(want, "k", "id", "last")
 
 
 @pytest.mark.parametrize("policy", POLICIES)
