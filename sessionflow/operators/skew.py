@@ -115,8 +115,9 @@ def _beside(df: DataFrame, hot: HotKeys, columns: Sequence[str]) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> Column:
-    """An even number per row that stays the same when the row's task runs again."""
-    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+    """An even number per row that stays the same when the row's task runs again. Maps cannot be hashed."""
+    hashable = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
+    return F.xxhash64(F.spark_partition_id(), *hashable)
 
 
 def with_slice(df: DataFrame, hot: HotKeys) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sessionflow.operators.recommend import generate_recommendations
 from sessionflow.sources import events as E
 from sessionflow.streaming import metrics, recommendations, sessions, sinks
+from sessionflow.streaming.job import start_job
 
 EVENT = "event_id bigint, user_id string, session_id string, track_id string, artist string, t double, event_type string"
 
@@ -117,3 +118,29 @@ def test_messages_as_a_file_stream(spark, tmp_path):
     stream = E.decode(E.message_stream(spark, "parquet", folder))
     sinks.run_to_table(stream, out, str(tmp_path / "checkpoint"))
     assert spark.read.parquet(out).first()["timestamp"] == "1970-01-01T00:00:01.500000"
+
+
+def test_the_job_from_messages_to_tables(spark, tmp_path):
+    topic, folder = str(tmp_path / "topic"), str(tmp_path / "job")
+
+    def send(rows):
+        columns = "user_id string, session_id string, track_id string, artist string, event_type string, t double"
+        events = spark.createDataFrame(rows, columns).withColumn("event_time", F.timestamp_seconds("t"))
+        E.publish(E.to_event_record(events), "parquet", topic)
+
+    send([("u", "s", "a", "A", "play", 10.0), ("u", "s", "b", "B", "skip", 20.0), ("u", "s", "c", "C", "play", 30.5)])
+    job = start_job(E.message_stream(spark, "parquet", topic), folder, trigger=sinks.WAIT)
+    job.await_end()
+    counts = metrics.observed(job.sessions)
+    assert [(m["events"], m["plays"], m["skips"]) for m in counts if m["events"]] == [(3, 2, 1)]
+    send([("v", "x", "d", "D", "play", 400.0)])  # moves the watermark past the first window
+    start_job(E.message_stream(spark, "parquet", topic), folder, trigger=sinks.WAIT).await_end()
+    stored = spark.read.parquet(f"{folder}/sessions").collect()
+    assert [(r["session_id"], r["track_count"], r["first_artist"], r["last_track"]) for r in stored] == [("s", 2, "A", "c")]
+    lists = spark.read.parquet(f"{folder}/session_lists").orderBy("slice_no").collect()
+    assert [t for r in lists for t in r["tracks"]] == ["a", "c"]
+    picks = {
+        r["session_id"]: r["next_track_recommendation"]["track"]
+        for r in spark.read.parquet(f"{folder}/recommendations").collect()
+    }
+    assert picks == {"s": "a", "x": "d"}
