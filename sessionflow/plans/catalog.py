@@ -254,7 +254,7 @@ WITH {_CLEAN}
 SELECT 'total_tracks' AS metric, '' AS key, count(*) AS value FROM clean
 UNION ALL SELECT 'distinct_tracks', '', count(DISTINCT track_id) FROM clean
 UNION ALL SELECT 'unique_artists', '', count(DISTINCT artist) FROM clean
-UNION ALL SELECT 'tracks_with_similar', '', count_if(has_similar) FROM clean
+UNION ALL SELECT 'tracks_with_similar', '', count(*) FILTER (has_similar) FROM clean
 UNION ALL SELECT 'genre_distribution', genre, count(*) FROM clean GROUP BY genre
 UNION ALL SELECT 'emotion_distribution', emotion, count(*) FROM clean GROUP BY emotion""",
     "genre_distribution": f"WITH {_CLEAN} SELECT genre, count(*) AS tracks FROM clean GROUP BY genre",

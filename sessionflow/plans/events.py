@@ -168,6 +168,6 @@ SELECT event_id, duration_played,
 FROM ev""",
     "batch_metrics": f"""
 WITH {_MESSAGES}
-SELECT count(*) AS messages, count_if(is_corrupt) AS corrupt, count_if(bad_time AND NOT is_corrupt) AS bad_time,
-  count_if(NOT is_corrupt AND NOT bad_time AND event_type = 'play') AS plays FROM msg""",
+SELECT count(*) AS messages, count(*) FILTER (is_corrupt) AS corrupt, count(*) FILTER (bad_time AND NOT is_corrupt) AS bad_time,
+  count(*) FILTER (NOT is_corrupt AND NOT bad_time AND event_type = 'play') AS plays FROM msg""",
 }

@@ -98,9 +98,9 @@ heard AS (
 played AS (SELECT * FROM heard WHERE event_type = 'play')"""
 _STATS = """
 count(*) AS events,
-  CAST(count_if(event_type = 'skip') AS DOUBLE) / count(*) AS skip_rate,
+  CAST(count(*) FILTER (event_type = 'skip') AS DOUBLE) / count(*) AS skip_rate,
   coalesce(CAST(sum(duration_played) FILTER (event_type = 'play') AS DOUBLE)
-    / nullif(count_if(event_type = 'play'), 0), 180.0) AS average_play_duration"""
+    / nullif(count(*) FILTER (event_type = 'play'), 0), 180.0) AS average_play_duration"""
 _PROFILES = f"""
 {_HEARD},
 genres AS (
@@ -123,7 +123,7 @@ matches AS (
   LEFT JOIN emotions e ON e.user_id = u.user_id AND e.emotion = t.emotion
   WHERE g.rank IS NOT NULL OR e.rank IS NOT NULL),
 sizes AS (
-  SELECT user_id, count(*) AS n_preferred, count_if(is_recent) AS n_recent FROM matches GROUP BY user_id),
+  SELECT user_id, count(*) AS n_preferred, count(*) FILTER (is_recent) AS n_recent FROM matches GROUP BY user_id),
 available AS (
   SELECT m.*, row_number() OVER (
     PARTITION BY m.user_id ORDER BY coalesce(genre_rank, 99), genre, track_id) - 1 AS place,
@@ -143,7 +143,7 @@ SELECT 'user_' || CASE WHEN user_id < 100 THEN lpad(CAST(user_id AS VARCHAR), 3,
   (SELECT string_agg(genre, ',' ORDER BY rank) FROM genres g WHERE g.user_id = u.user_id) AS preferred_genres,
   (SELECT string_agg(emotion, ',' ORDER BY rank) FROM emotions e WHERE e.user_id = u.user_id) AS preferred_emotions,
   (SELECT string_agg(track_id, ',' ORDER BY back DESC) FROM recent r WHERE r.user_id = u.user_id) AS recent_tracks,
-  (SELECT CAST(count_if(event_type = 'skip') AS DOUBLE) / count(*) FROM heard) AS skip_rate
+  (SELECT CAST(count(*) FILTER (event_type = 'skip') AS DOUBLE) / count(*) FROM heard) AS skip_rate
 FROM (SELECT DISTINCT user_id FROM played) u""",
     "preference_candidates": f"""
 WITH {_CANDIDATES} SELECT user_id, n_preferred, true AS matched FROM sizes""",

@@ -184,8 +184,8 @@ _BASKET_RECS = f"{_BASKET_MODEL}, {next_track('edges', 'cooccurrence', 's.sessio
 _PLAY_RECS = f"{_PLAY_MODEL}, {next_track('edges', 'cooccurrence', 's.user_id, s.session_id')}"
 _STATS = """
 SELECT count(*) AS total_sessions,
-  count_if(strategy = 'popularity') AS popularity_recommendations,
-  count_if(strategy = 'cooccurrence') AS cooccurrence_recommendations,
+  count(*) FILTER (strategy = 'popularity') AS popularity_recommendations,
+  count(*) FILTER (strategy = 'cooccurrence') AS cooccurrence_recommendations,
   round(100.0 * CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM sess), 2) AS coverage_rate
 FROM recs"""
 

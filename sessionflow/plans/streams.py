@@ -216,5 +216,5 @@ GROUP BY ALL""",
     "stream_sink_idempotent": f"WITH {PLAYS} SELECT event_id, user_id, track_id, session_id FROM plays",
     "stream_batch_metrics": f"""
 WITH {EVENTS}
-SELECT count(*) AS events, count_if(event_type = 'play') AS plays, count_if(event_type = 'skip') AS skips FROM ev""",
+SELECT count(*) AS events, count(*) FILTER (event_type = 'play') AS plays, count(*) FILTER (event_type = 'skip') AS skips FROM ev""",
 }

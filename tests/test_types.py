@@ -1,0 +1,18 @@
+"""The SQL must give the same column types as the queries: bigint, int, double, string and boolean only."""
+
+import pytest
+from compare import connect
+from conftest import SF_DIR
+
+import __spark_entry__ as entry
+
+SAME = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+ORACLES = entry.oracle_sql()
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if not n.startswith("stream_")])
+def test_types(spark, name):
+    con = connect(SF_DIR)
+    sql = {row[0]: row[1] for row in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    ours = {column: SAME[kind] for column, kind in entry.queries()[name](spark, SF_DIR).dtypes}
+    assert ours == sql
