@@ -5,10 +5,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 from compare import connect, differences, force_hot_keys
-from sessionflow.operators.skew import SkewPolicy
 from sessionflow.sources import bindings as B
 
 ORACLES = entry.oracle_sql()
+SAME = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 HOT = "event_enrichment session_assign recent_tracks session_track_lists recommendations_next candidate_pick".split()
 
 
@@ -29,9 +29,20 @@ def test_every_query_has_its_sql():
     assert set(entry.queries()) == set(ORACLES)
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    assert differences(entry.queries()[name](spark, SF_DIR), con, ORACLES[name]) == ""
+    """Same rows, same column types, and a plan without Python, cross joins or nested loops."""
+    df = entry.queries()[name](spark, SF_DIR)
+    plan = plan_of(df)
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, node
+    described = con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+    assert {column: SAME[kind] for column, kind in df.dtypes} == {row[0]: row[1] for row in described}
+    assert differences(df, con, ORACLES[name]) == ""
 
 
 @pytest.mark.parametrize("name", HOT)
@@ -45,17 +56,6 @@ def test_entry(spark):
     assert df.columns == ["session_id", "last_track", "next_track", "strategy", "weight", "user_id"]
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if not n.startswith("stream_")])
-def test_plans_have_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
-    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in plan, node
-
-
 def test_topn_limits_before_the_shuffle(spark):
     plan = plan_of(entry.queries()["cooccurrence_topn"](spark, SF_DIR))
     assert plan.index("Final") < plan.index("Partial", plan.index("WindowGroupLimit"))
@@ -69,10 +69,8 @@ def test_scan_reads_only_the_needed_columns(spark):
     assert "PushedFilters" in plan
 
 
-def test_hot_sessions_are_salted(spark):
-    B_before, B.QUERY_SKEW = B.QUERY_SKEW, SkewPolicy(share=64, min_rows=1)
-    try:
-        plan = plan_of(entry.queries()["cooccurrence_counts"](spark, SF_DIR))
-    finally:
-        B.QUERY_SKEW = B_before
-    assert "_slice" in plan
+def test_hot_users_are_cut_and_cold_sessions_left_alone(spark, hot_keys):
+    """The few users of the small tables are hot, none of their many sessions is."""
+    assert "_part" in plan_of(entry.queries()["recent_tracks"](spark, SF_DIR))
+    assert "_slice" in plan_of(entry.queries()["event_enrichment"](spark, SF_DIR))
+    assert "_slice" not in plan_of(entry.queries()["cooccurrence_counts"](spark, SF_DIR))
