@@ -99,3 +99,17 @@ def test_running_sum_in_digest_order(spark):
     for row in sorted(got, key=lambda r: r["h"]):
         assert row["before"] == total
         total += row["id"]
+
+
+def test_ranges_of_a_hot_key_are_even(spark):
+    """A key with all rows is cut into about 100 ranges, none much longer than the others."""
+    from sessionflow.operators.skew import _with_parts
+
+    df = spark.range(100_000).select(F.lit(1).alias("k"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("t"))
+    policy = SkewPolicy(share=100, min_rows=1000)
+    parts = _with_parts(df, hot_keys(df, ["k"], policy, ["t"]), ["t"])
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    sizes = sorted(sizes.collect(), key=lambda r: r["_part"])
+    assert len(sizes) > 80
+    assert max(r["n"] for r in sizes) < 2000
+    assert all(a["hi"] < b["lo"] for a, b in zip(sizes, sizes[1:]))
