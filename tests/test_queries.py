@@ -5,9 +5,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 from compare import connect, differences, force_hot_keys
+from sessionflow import plans
 from sessionflow.sources import bindings as B
 
-ORACLES = entry.oracle_sql()
+ORACLES = plans.all_oracles()
 SAME = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 HOT = "event_enrichment session_assign recent_tracks session_track_lists recommendations_next candidate_pick".split()
 
@@ -26,7 +27,8 @@ def hot_keys():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(ORACLES)
+    assert set(plans.all_queries()) == set(ORACLES)
+    assert set(ORACLES) <= set(entry.queries())
 
 
 def plan_of(df) -> str:
