@@ -14,19 +14,15 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def binary(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def planes(values: np.ndarray, kind: str) -> bytes:
+    """An array as its first bytes, then its second bytes and so on: shuffles pack equal bytes side by side well."""
+    return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
-def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
+def from_planes(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
-def filled(column: pa.Array) -> pa.Array:
-    """The column as one array, null as an empty text."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.fill_null("") if column.null_count else column
 
-
-def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], df.schema)
+def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

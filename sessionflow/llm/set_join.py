@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, hand_off, partitions
+from sessionflow.llm.frames import batch, from_planes, hand_off, partitions, planes
 from sessionflow.llm.words import Sets
 
 SetsOf = Callable[[pa.Array], Iterator[Sets]]
@@ -180,7 +180,7 @@ def _by_token(entries: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np
 
 
 def _packed(bucket: int, entries: dict[str, np.ndarray]) -> dict[str, list]:
-    return {"bucket": [bucket], **{c: [entries[c].astype(t).tobytes()] for c, t in TYPES.items()}}
+    return {"bucket": [bucket], **{c: [planes(entries[c], t)] for c, t in TYPES.items()}}
 
 
 def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int) -> Iterator[pa.RecordBatch]:
@@ -225,7 +225,7 @@ def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     parts = []
     for b in batches:
         for row in b.select(list(TYPES)).to_pylist():
-            entries = {c: np.frombuffer(row[c], t) for c, t in TYPES.items()}
+            entries = {c: from_planes(row[c], t) for c, t in TYPES.items()}
             if key[0].as_py() < 0:
                 yield _postings(entries)
             else:

@@ -27,16 +27,19 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, hand_off, partitions
+from sessionflow.llm.frames import batch, from_planes, hand_off, partitions, planes
 from sessionflow.llm.set_join import ddl, keyed
 from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 
 LENGTH = 100
 #: Points a task gathers before it sends them; suffixes in a run; points of a bucket and suffixes of a range on average.
-FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 20, 1 << 17, 500_000, 100_000
+FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 19, 1 << 17, 250_000, 50_000
 #: Documents, and suffixes of each, in the sample from which the borders of the ranges are taken.
 SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 20
 
+#: Bits of a gram's hash that are sent. Grams that collide only bring suffixes that turn out to differ.
+GRAM_BITS = np.uint64((1 << 64) - (1 << 16))
+
 POINTS = pa.schema([("bucket", pa.int64()), ("gram", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary()), ("many", pa.binary())])
 SHARED = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("n", pa.int64())])
 RUNS = pa.schema(
@@ -82,7 +85,7 @@ def _send(parts: list[tuple], n_buckets: int) -> Iterator[pa.RecordBatch]:
     gram, doc, pos = gram[order], doc[order], pos[order]
     first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     count = np.diff(np.append(first, len(gram)))
-    row = lambda k, at, many: batch(POINTS, bucket=[k], gram=[gram[at].tobytes()], doc=[doc[at].tobytes()], pos=[pos[at].tobytes()], many=[many.astype("u1").tobytes()])
+    row = lambda k, at, many: batch(POINTS, bucket=[k], gram=[planes(gram[at], "u8")], doc=[planes(doc[at], "i8")], pos=[planes(pos[at], "u4")], many=[planes(many, "u1")])
     known = np.flatnonzero(np.repeat(count > 1, count))
     if len(known):
         yield row(-1 - int(gram[known[0]] % np.uint64(n_buckets)), known, np.zeros(len(known)))
@@ -99,7 +102,7 @@ def _points(length: int, n_buckets: int):
             for first, data, offsets in chunks(b.column("text")):
                 row, point, _, _, gram = sample_points(data, offsets, length)
                 if len(row):
-                    parts.append((gram, ids[first + row], (point - offsets[row]).astype(np.uint32)))
+                    parts.append((gram & GRAM_BITS, ids[first + row], (point - offsets[row]).astype(np.uint32)))
                     held += len(row)
                 if held >= FLUSH_POINTS:
                     yield from _send(parts, n_buckets)
@@ -122,7 +125,7 @@ def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     parts = []
     for b in batches:
         for g, d, p, m in zip(*(b.column(c).to_pylist() for c in ("gram", "doc", "pos", "many")), strict=True):
-            part = np.frombuffer(g, np.uint64), np.frombuffer(d, np.int64), np.frombuffer(p, np.uint32), np.frombuffer(m, np.uint8)
+            part = tuple(from_planes(raw, kind) for raw, kind in ((g, "u8"), (d, "i8"), (p, "u4"), (m, "u1")))
             if key[0].as_py() < 0:
                 yield _by_doc(part[1], part[2])
             else:
@@ -200,6 +203,7 @@ def _known(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray)
 
 def _run(parts: list[tuple], borders: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
     rows, doc, key, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+    parts.clear()
     order = np.lexsort((at, doc))
     order = order[np.argsort(_strings(rows[order]), kind="stable")]
     rows, doc, key, at = rows[order], doc[order], key[order], at[order]
@@ -217,7 +221,7 @@ def _run(parts: list[tuple], borders: np.ndarray, length: int) -> Iterator[pa.Re
     for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(where)) + 1):
         common = common_prefixes(rows[part])
         rest = rows[part][np.arange(rows.shape[1]) >= common[:, None]]
-        yield batch(RUNS, **none | {"range": [int(where[part[0]])], "common": [common.astype("u2").tobytes()], "rest": [rest.tobytes()], "doc": [doc[part].tobytes()], "text_key": [key[part].tobytes()], "at": [at[part].tobytes()]})
+        yield batch(RUNS, **none | {"range": [int(where[part[0]])], "common": [common.astype("u2").tobytes()], "rest": [pa.compress(rest.tobytes(), "zstd", asbytes=True)], "doc": [planes(doc[part], "i8")], "text_key": [planes(key[part], "i8")], "at": [planes(at[part], "i8")]})
 
 
 def _runs(length: int, borders: Broadcast):
@@ -384,10 +388,11 @@ def _merged(length: int, borders: Broadcast):
                 continue
             for common, rest, *ids in zip(*(b.column(c).to_pylist() for c in ("common", "rest", "doc", "text_key", "at")), strict=True):
                 common = np.frombuffer(common, "u2")
+                rest = pa.decompress(rest, int(size * len(common) - common.sum(dtype=np.int64)), "zstd", asbytes=True)
                 runs.append(decode_run(common, rest, size))
                 commons.append(common.tolist())
                 for column, raw in zip(columns, ids, strict=True):
-                    column.append(np.frombuffer(raw, np.int64))
+                    column.append(from_planes(raw, "i8"))
         if k < 0 or not runs:
             return
         order, common = merge_runs(runs, commons, size)
