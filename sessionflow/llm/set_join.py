@@ -34,6 +34,8 @@ SEGMENTS = 64
 #: Entries a task gathers before it sends them, and entries a bucket gets on average at most.
 FLUSH_ENTRIES = 1 << 20
 BUCKET_ENTRIES = 500_000
+#: Ids and keys of wanted sets that are sent to every executor at most, some 10 MB; more are joined by a shuffle.
+BROADCAST_KEYS = 400_000
 _LOW = np.uint64((1 << 48) - 1)
 
 UNITS = pa.schema(
@@ -330,7 +332,10 @@ def verify(pairs: DataFrame, units: DataFrame, docs: DataFrame, sets_of: SetsOf,
     pairs = hand_off(pairs, f"{name}-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     places = first_places(units.join(needed, "key", "left_semi"))
-    wanted = places.groupBy("doc_id").agg(F.collect_list("key").alias("wanted"))
+    wanted = hand_off(places.groupBy("doc_id").agg(F.collect_list("key").alias("wanted")), f"{name}-wanted")
+    size = wanted.agg(F.count("*").alias("n"), F.sum(F.size("wanted")).alias("keys")).first()
+    if size.n + (size.keys or 0) <= BROADCAST_KEYS:  # few enough for every executor: the texts stay where they are
+        wanted = F.broadcast(wanted)
     sets = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_sets(sets_of), ddl(SETS))
     sets = hand_off(sets, f"{name}-sets")
     with_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
