@@ -18,6 +18,8 @@ from sessionflow.llm.words import Sets, line_sets
 SIMILARITY = Similarity(9, 10)
 #: Distinct words a line needs to be compared at all; shorter lines stay.
 MIN_WORDS = 5
+#: Lines of a token that are compared with each other at once; tokens of more lines are frequent.
+FREQUENT = 128
 
 
 def _lines(min_words: int):
@@ -42,14 +44,14 @@ def repeated_lines(docs: DataFrame, similarity: Similarity = SIMILARITY, min_wor
     """(doc_id, text_key, unit): the lines of ``docs`` (doc_id, text) that go, unit being the line's number in its text.
 
     A line goes if an earlier line, by doc_id and number, has the same set of words or a similar one. All lines of the
-    input count as earlier lines, those that go as well. Lines of equal sets are one class; a class meets a leader for
-    each token of its prefix first, and only classes that this leaves in place meet all others that share a token.
+    input count as earlier lines, those that go as well. Lines of equal sets are one class. By a frequent token a
+    class meets a leader first, and only classes that this leaves in place meet all others that share it.
     """
     texts, sets_of = keyed(docs), _lines(min_words)
     units, ranks, n_tokens = read_units(texts, sets_of, "lines")
-    postings = shared_postings(texts, sets_of, ranks, n_tokens, similarity, "lines", lean=False)
+    postings, met = shared_postings(texts, sets_of, ranks, n_tokens, similarity, "lines", lean=False, limit=FREQUENT)
     places = hand_off(first_places(units), "lines-places")
-    tried = hand_off(pairs_with_leader(postings, similarity), "lines-tried")
+    tried = hand_off(met.unionByName(pairs_with_leader(postings, similarity)).distinct(), "lines-tried")
     gone = hand_off(_later(verify(tried, units, texts, sets_of, similarity, "lines"), places), "lines-gone")
     rest = pairs_between(postings.join(gone, "key", "left_anti"), postings, similarity, F.col("x.key") != F.col("y.key"))
     rest = rest.join(tried, ["a", "b"], "left_anti")

@@ -26,7 +26,7 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     """
     texts = keyed(docs)
     units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram")
-    postings = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True)
+    postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
     tried = hand_off(pairs_with_leader(postings, similarity), "ngram-tried")
     links = verify(tried, units, texts, shingle_sets, similarity, "ngram")
     roots = hand_off(components(links), "ngram-roots")

@@ -4,11 +4,12 @@ Units (documents or lines) with equal sets form one class, named by a 64-bit key
 
 1. ``read_units`` reads the texts once: a row per unit, and counts of all tokens in a table of 2^20 hashed counters. The
    table has a fixed size; it ranks every token by how many units hold it, tokens in one counter by their hash.
-2. ``shared_postings`` puts the prefix of each class in that order into buckets of tokens and keeps the entries whose
-   token has at least two classes. A task sends a token's first entry only and marks it if the task has more of them;
-   the others are known to be shared and go past the buckets. So no bucket gets more than one entry per token and flush.
-3. ``pairs_with_leader`` pairs every class with one class of the same token only; ``pairs_between`` joins two sets of
-   entries on the token. Both keep a pair only if size, positions and bitmaps allow the similarity.
+2. ``shared_postings`` puts the prefix of each class in that order into buckets of tokens. Tokens of one class are
+   dropped, tokens of few classes (up to a limit) give pairs at once, and the entries of others are kept as rows. Of a
+   token with more entries than the limit a task sends one, marked, to the bucket and the others past the buckets, so a
+   frequent token never fills a bucket.
+3. For frequent tokens ``pairs_with_leader`` pairs every class with one class of the token only, and ``pairs_between``
+   joins two sets of entries on the token. All pairs pass the filters on size, positions and bitmaps.
 4. ``verify`` brings the sets of the pairs together and counts their overlap.
 """
 
@@ -185,14 +186,18 @@ def _packed(bucket: int, entries: dict[str, np.ndarray]) -> dict[str, list]:
     return {"bucket": [bucket], **{c: [planes(entries[c], t)] for c, t in TYPES.items()}}
 
 
-def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Entries by bucket; of a token with more than ``limit`` of them the first alone, marked, and the others apart."""
     entries, first, count = _by_token(_join(parts))
-    many = count > 1
+    many = count > limit
     entries["many"] = np.zeros(len(entries["token"]), np.uint8)
     known = {c: v[np.repeat(many, count)] for c, v in entries.items()}
     if len(known["token"]):  # spread over as many groups as there are buckets
         yield batch(PACKED, **_packed(-1 - int(known["key"][0] % n_buckets), known))
-    heads = {c: v[first] for c, v in entries.items()} | {"many": many.astype(np.uint8)}
+    entries["many"][first] = many
+    stay = ~np.repeat(many, count)
+    stay[first] = True
+    heads = {c: v[stay] for c, v in entries.items()}
     bucket = (((heads["token"] & _LOW) >> np.uint64(16)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     heads, bucket = {c: v[order] for c, v in heads.items()}, bucket[order]
@@ -200,7 +205,7 @@ def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int) -> Iterator[pa.Rec
         yield batch(PACKED, **_packed(int(bucket[part[0]]), {c: v[part] for c, v in heads.items()}))
 
 
-def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets: int, lean: bool) -> Callable:
+def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets: int, lean: bool, limit: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in batches:
@@ -211,10 +216,10 @@ def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets:
                     parts.append(entries)
                     held += len(entries["token"])
                 if held >= FLUSH_ENTRIES:
-                    yield from _pack(parts, n_buckets)
+                    yield from _pack(parts, n_buckets, limit)
                     parts, held = [], 0
         if parts:
-            yield from _pack(parts, n_buckets)
+            yield from _pack(parts, n_buckets, limit)
 
     return run
 
@@ -223,29 +228,60 @@ def _postings(entries: dict[str, np.ndarray]) -> pa.RecordBatch:
     return batch(POSTINGS, **{c: entries[c].view(np.int64) if entries[c].dtype == np.uint64 else entries[c].astype(np.int64) for c in POSTINGS.names})
 
 
-def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = []
-    for b in batches:
-        for row in b.select(list(TYPES)).to_pylist():
-            entries = {c: from_planes(row[c], t) for c, t in TYPES.items()}
-            if key[0].as_py() < 0:
-                yield _postings(entries)
-            else:
-                parts.append(entries)
-    if parts:
+def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similarity) -> np.ndarray:
+    """Distinct pairs of classes that share a token here and pass the length, positional and bitmap filters.
+
+    ``count``: entries of each token, which follow each other. One step per distance between two entries of a token.
+    """
+    n, pos, sig, key = entries["n"].astype(np.int64), entries["pos"].astype(np.int64), entries["sig"], entries["key"]
+    left = np.repeat(np.cumsum(count), count) - np.arange(len(key)) - 1  # entries of the token after this one
+    x, step, found = np.flatnonzero(left > 0), 1, []
+    while len(x):
+        y = x + step
+        need = similarity.overlap(n[x], n[y])
+        ok = similarity.den * np.minimum(n[x], n[y]) >= similarity.num * np.maximum(n[x], n[y])
+        ok &= np.minimum(pos[x], pos[y]) + 1 + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+        ok &= np.bitwise_count((sig[x] ^ sig[y]).view(np.uint64)) <= n[x] + n[y] - 2 * need
+        found.append(np.stack([np.minimum(key[x[ok]], key[y[ok]]), np.maximum(key[x[ok]], key[y[ok]])], axis=1))
+        step += 1
+        x = x[left[x] >= step]
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def _shared(similarity: Similarity, limit: int) -> Callable:
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for b in batches:
+            for row in b.select(list(TYPES)).to_pylist():
+                entries = {c: from_planes(row[c], t) for c, t in TYPES.items()}
+                if key[0].as_py() < 0:
+                    yield _postings(entries)
+                else:
+                    parts.append(entries)
+        if not parts:
+            return
         entries, first, count = _by_token(_join(parts))
-        shared = (count > 1) | (np.maximum.reduceat(entries["many"], first) > 0)
-        keep = np.repeat(shared, count) & (entries["many"] == 0)
+        marked = np.maximum.reduceat(entries["many"], first) > 0
+        frequent = marked | (count > limit)
+        keep = np.repeat(frequent, count) & (entries["many"] == 0)
         yield _postings({c: v[keep] for c, v in entries.items()})
+        few = ~frequent & (count > 1)
+        pairs = _met({c: v[np.repeat(few, count)] for c, v in entries.items()}, count[few], similarity)
+        none = np.zeros(len(pairs), np.int64)
+        yield batch(POSTINGS, token=pairs[:, 0], key=pairs[:, 1], n=none, pos=none - 1, sig=none, doc=none)
+
+    return run
 
 
-def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_tokens: int, similarity: Similarity, name: str, lean: bool) -> DataFrame:
-    """(token, key, n, pos, sig, doc): prefix entries whose token two classes have. ``lean``: without sig and doc."""
+def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_tokens: int, similarity: Similarity, name: str, lean: bool, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(token, key, n, pos, sig, doc): prefix entries whose token more than ``limit`` classes have; and (a, b): the
+    pairs of classes that may be similar by a token of fewer. ``lean``: entries without sig and doc."""
     spark = docs.sparkSession
     share = 1 - similarity.num / similarity.den
     n_buckets = max(partitions(spark), int(n_tokens * share) // BUCKET_ENTRIES)
-    sent = docs.mapInArrow(_sent(sets_of, spark.sparkContext.broadcast(ranks), similarity, n_buckets, lean), ddl(PACKED))
-    return hand_off(sent.groupBy("bucket").applyInArrow(_shared, ddl(POSTINGS)), f"{name}-postings")
+    sent = docs.mapInArrow(_sent(sets_of, spark.sparkContext.broadcast(ranks), similarity, n_buckets, lean, limit), ddl(PACKED))
+    found = hand_off(sent.groupBy("bucket").applyInArrow(_shared(similarity, limit), ddl(POSTINGS)), f"{name}-postings")
+    return found.filter("pos >= 0"), found.filter("pos < 0").select(F.col("token").alias("a"), F.col("key").alias("b"))
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
