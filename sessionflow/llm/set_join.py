@@ -41,11 +41,13 @@ _LOW = np.uint64((1 << 48) - 1)
 
 UNITS = pa.schema(
     [("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
-     ("sig", pa.int64()), ("segment", pa.int32()), ("counts", pa.binary())]
+     ("segment", pa.int32()), ("counts", pa.binary())]
 )
-PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("token", "key", "n", "pos", "sig", "doc", "many")]])
-POSTINGS = pa.schema([(c, pa.int64()) for c in ("token", "key", "n", "pos", "sig", "doc")])
-TYPES = {"token": "u8", "key": "i8", "n": "u4", "pos": "u4", "sig": "i8", "doc": "i8", "many": "u1"}
+#: A bitmap of 256 bits in four columns.
+SIGNATURE = ("sig0", "sig1", "sig2", "sig3")
+TYPES = {"token": "u8", "key": "i8", "n": "u4", "pos": "u4", **{c: "i8" for c in SIGNATURE}, "doc": "i8", "many": "u1"}
+PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in TYPES]])
+POSTINGS = pa.schema([(c, pa.int64()) for c in TYPES if c != "many"])
 
 
 def ddl(schema: pa.Schema) -> str:
@@ -76,7 +78,7 @@ class Similarity:
         both = self.num + self.den
         need = F.expr(f"({self.num} * ({x}.n + {y}.n) + {both - 1}) div {both}")
         most = F.least(c(x, "pos"), c(y, "pos")) + 1 + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
-        differ = F.bit_count(c(x, "sig").bitwiseXOR(c(y, "sig")))
+        differ = sum((F.bit_count(c(x, s).bitwiseXOR(c(y, s))) for s in SIGNATURE), F.lit(0))
         return (
             (self.den * F.least(c(x, "n"), c(y, "n")) >= self.num * F.greatest(c(x, "n"), c(y, "n")))
             & (most >= need)
@@ -84,14 +86,17 @@ class Similarity:
         )
 
 
-def _signatures(sets: Sets) -> np.ndarray:
-    """64-bit bitmap per set in which each token flips a bit; sets that differ in d tokens differ in at most d bits."""
-    out = np.zeros(len(sets.row), np.uint64)
+def _signatures(sets: Sets) -> dict[str, np.ndarray]:
+    """A bitmap per set in which each token flips a bit; sets that differ in d tokens differ in at most d bits."""
     filled = np.flatnonzero(sets.sizes > 0)
-    if len(filled):
-        bits = np.uint64(1) << (sets.flat & np.uint64(63))
-        out[filled] = np.bitwise_xor.reduceat(bits, sets.starts[filled])
-    return out.view(np.int64)
+    bits, word = np.uint64(1) << (sets.flat & np.uint64(63)), (sets.flat >> np.uint64(6)) & np.uint64(3)
+    out = {}
+    for i, c in enumerate(SIGNATURE):
+        column = np.zeros(len(sets.row), np.uint64)
+        if len(filled):
+            column[filled] = np.bitwise_xor.reduceat(np.where(word == i, bits, np.uint64(0)), sets.starts[filled])
+        out[c] = column.view(np.int64)
+    return out
 
 
 def _counted(sets_of: SetsOf) -> Callable:
@@ -102,11 +107,11 @@ def _counted(sets_of: SetsOf) -> Callable:
             for sets in sets_of(b.column("text")):
                 counts += np.bincount((sets.flat >> np.uint64(64 - COUNTER_BITS)).view(np.int64), minlength=len(counts)).astype(np.uint32)
                 none = [None] * len(sets.row)
-                yield batch(UNITS, doc_id=ids[sets.row], text_key=text_keys[sets.row], unit=sets.unit, key=sets.keys(), n=sets.sizes, sig=_signatures(sets), segment=none, counts=none)
+                yield batch(UNITS, doc_id=ids[sets.row], text_key=text_keys[sets.row], unit=sets.unit, key=sets.keys(), n=sets.sizes, segment=none, counts=none)
         if counts.any():
             none = [None] * SEGMENTS
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SEGMENTS)]
-            yield batch(UNITS, doc_id=none, text_key=none, unit=none, key=none, n=none, sig=none, segment=range(SEGMENTS), counts=parts)
+            yield batch(UNITS, doc_id=none, text_key=none, unit=none, key=none, n=none, segment=range(SEGMENTS), counts=parts)
 
     return run
 
@@ -125,7 +130,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def read_units(docs: DataFrame, sets_of: SetsOf, name: str) -> tuple[DataFrame, np.ndarray, int]:
-    """(doc_id, text_key, unit, key, n, sig) per unit, the rank of each counter by rarity, and the number of tokens."""
+    """(doc_id, text_key, unit, key, n) per unit, the rank of each counter by rarity, and the number of tokens."""
     rows = hand_off(docs.mapInArrow(_counted(sets_of), ddl(UNITS)), f"{name}-units")
     summed = rows.filter("segment IS NOT NULL").select("segment", "counts").groupBy("segment").applyInArrow(_sum_counts, "segment int, counts binary")
     counts = np.zeros((SEGMENTS, (1 << COUNTER_BITS) // SEGMENTS), np.uint64)
@@ -154,7 +159,7 @@ def _prefixes(sets: Sets, ids: np.ndarray, ranks: np.ndarray, similarity: Simila
         "key": rep(keys[first]),
         "n": rep(sizes).astype(np.uint32),
         "pos": pos.astype(np.uint32),
-        "sig": zero if lean else rep(_signatures(sets)[first]),
+        **({c: zero for c in SIGNATURE} if lean else {c: rep(v[first]) for c, v in _signatures(sets).items()}),
         "doc": zero if lean else rep(ids[sets.row[first]]),
     }
 
@@ -229,11 +234,12 @@ def _postings(entries: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 
 def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similarity) -> np.ndarray:
-    """Distinct pairs of classes that share a token here and pass the length, positional and bitmap filters.
+    """Distinct pairs of classes that share a token here and pass the length, positional and bitmap filters: rows of the
+    class that was seen in the smaller doc_id, the other class, and that doc_id.
 
     ``count``: entries of each token, which follow each other. One step per distance between two entries of a token.
     """
-    n, pos, sig, key = entries["n"].astype(np.int64), entries["pos"].astype(np.int64), entries["sig"], entries["key"]
+    n, pos, key, doc = entries["n"].astype(np.int64), entries["pos"].astype(np.int64), entries["key"], entries["doc"]
     left = np.repeat(np.cumsum(count), count) - np.arange(len(key)) - 1  # entries of the token after this one
     x, step, found = np.flatnonzero(left > 0), 1, []
     while len(x):
@@ -241,11 +247,15 @@ def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similari
         need = similarity.overlap(n[x], n[y])
         ok = similarity.den * np.minimum(n[x], n[y]) >= similarity.num * np.maximum(n[x], n[y])
         ok &= np.minimum(pos[x], pos[y]) + 1 + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
-        ok &= np.bitwise_count((sig[x] ^ sig[y]).view(np.uint64)) <= n[x] + n[y] - 2 * need
-        found.append(np.stack([np.minimum(key[x[ok]], key[y[ok]]), np.maximum(key[x[ok]], key[y[ok]])], axis=1))
+        met, other, most = x[ok], y[ok], (n[x] + n[y] - 2 * need)[ok]
+        differ = sum(np.bitwise_count((entries[c][met] ^ entries[c][other]).view(np.uint64)).astype(np.int64) for c in SIGNATURE)
+        met, other = met[differ <= most], other[differ <= most]
+        swap = (doc[other] < doc[met]) | ((doc[other] == doc[met]) & (key[other] < key[met]))
+        met, other = np.where(swap, other, met), np.where(swap, met, other)
+        found.append(np.stack([key[met], key[other], doc[met]], axis=1))
         step += 1
         x = x[left[x] >= step]
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
 def _shared(similarity: Similarity, limit: int) -> Callable:
@@ -268,39 +278,40 @@ def _shared(similarity: Similarity, limit: int) -> Callable:
         few = ~frequent & (count > 1)
         pairs = _met({c: v[np.repeat(few, count)] for c, v in entries.items()}, count[few], similarity)
         none = np.zeros(len(pairs), np.int64)
-        yield batch(POSTINGS, token=pairs[:, 0], key=pairs[:, 1], n=none, pos=none - 1, sig=none, doc=none)
+        yield batch(POSTINGS, token=pairs[:, 0], key=pairs[:, 1], n=none, pos=none - 1, doc=pairs[:, 2], **{c: none for c in SIGNATURE})
 
     return run
 
 
 def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_tokens: int, similarity: Similarity, name: str, lean: bool, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(token, key, n, pos, sig, doc): prefix entries whose token more than ``limit`` classes have; and (a, b): the
-    pairs of classes that may be similar by a token of fewer. ``lean``: entries without sig and doc."""
+    """(token, key, n, pos, bitmap, doc): prefix entries whose token more than ``limit`` classes have; and (a, b, doc):
+    the pairs of classes that may be similar by a token of fewer, a being seen in the smaller doc_id. ``lean``: entries
+    without bitmap and doc."""
     spark = docs.sparkSession
     share = 1 - similarity.num / similarity.den
     n_buckets = max(partitions(spark), int(n_tokens * share) // BUCKET_ENTRIES)
     sent = docs.mapInArrow(_sent(sets_of, spark.sparkContext.broadcast(ranks), similarity, n_buckets, lean, limit), ddl(PACKED))
     found = hand_off(sent.groupBy("bucket").applyInArrow(_shared(similarity, limit), ddl(POSTINGS)), f"{name}-postings")
-    return found.filter("pos >= 0"), found.filter("pos < 0").select(F.col("token").alias("a"), F.col("key").alias("b"))
+    return found.filter("pos >= 0"), found.filter("pos < 0").select(F.col("token").alias("a"), F.col("key").alias("b"), "doc")
 
 
-def _pair(a: Column, b: Column) -> list[Column]:
+def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def pairs_with_leader(postings: DataFrame, similarity: Similarity) -> DataFrame:
     """Distinct (a, b): every class with the first class of each of its tokens."""
-    leader = postings.groupBy("token").agg(F.min(F.struct("doc", "key", "n", "pos", "sig")).alias("l")).select("token", "l.*")
+    leader = postings.groupBy("token").agg(F.min(F.struct("doc", "key", "n", "pos", *SIGNATURE)).alias("l")).select("token", "l.*")
     x, y = postings.alias("x"), leader.alias("y")
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & similarity.allows("x", "y"))
-    return met.select(*_pair(F.col("x.key"), F.col("y.key"))).distinct()
+    return met.select(*ordered(F.col("x.key"), F.col("y.key"))).distinct()
 
 
 def pairs_between(left: DataFrame, right: DataFrame, similarity: Similarity, also: Column) -> DataFrame:
     """Distinct (a, b): classes of ``left`` and ``right`` that share a token, where ``also`` holds for entries x and y."""
     x, y = left.alias("x"), right.alias("y")
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & also & similarity.allows("x", "y"))
-    return met.select(*_pair(F.col("x.key"), F.col("y.key"))).distinct()
+    return met.select(*ordered(F.col("x.key"), F.col("y.key"))).distinct()
 
 
 SETS = pa.schema([("key", pa.int64()), ("tokens", pa.binary())])
