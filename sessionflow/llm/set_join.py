@@ -33,8 +33,8 @@ SetsOf = Callable[[pa.Array], Iterator[Sets]]
 COUNTER_BITS = 20
 SEGMENTS = 64
 #: Entries a task gathers before it sends them, and entries a bucket gets on average at most.
-FLUSH_ENTRIES = 1 << 20
-BUCKET_ENTRIES = 500_000
+FLUSH_ENTRIES = 1 << 18
+BUCKET_ENTRIES = 200_000
 #: Ids and keys of wanted sets that are sent to every executor at most, some 10 MB; more are joined by a shuffle.
 BROADCAST_KEYS = 400_000
 _LOW = np.uint64((1 << 48) - 1)

@@ -33,7 +33,7 @@ from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 
 LENGTH = 100
 #: Points a task gathers before it sends them; suffixes in a run; points of a bucket and suffixes of a range on average.
-FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 19, 1 << 17, 250_000, 50_000
+FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 19, 1 << 16, 250_000, 50_000
 #: Documents, and suffixes of each, in the sample from which the borders of the ranges are taken.
 SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 20
 
