@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm.components import components
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import Similarity, keyed, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import UNITS, Similarity, counted_units, ddl, keyed, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
@@ -51,11 +51,10 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
 
 def _without_id(docs: DataFrame) -> DataFrame:
     """Rows without a doc_id: their set is counted, they link with nothing."""
-    from sessionflow.llm.set_join import UNITS, _counted, ddl
-
-    rows = docs.filter("doc_id IS NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.lit(0).cast("bigint").alias("text_key"))
-    counted = rows.mapInArrow(_counted(shingle_sets), ddl(UNITS)).filter("segment IS NULL")
-    return counted.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    rows = docs.filter("doc_id IS NULL").select(F.lit(0).cast("bigint").alias("doc_id"), "text", F.lit(0).cast("bigint").alias("text_key"))
+    counted = rows.mapInArrow(counted_units(shingle_sets), ddl(UNITS)).filter("segment IS NULL")
+    none = F.lit(None).cast("bigint")
+    return counted.select(none.alias("doc_id"), F.col("n").alias("n_shingles"), none.alias("component_id"))
 
 
 def representatives(docs: DataFrame, similarity: Similarity = SIMILARITY) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, from_planes, hand_off, partitions, planes
+from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes
 from sessionflow.llm.words import Sets
 
 SetsOf = Callable[[pa.Array], Iterator[Sets]]
@@ -99,7 +99,7 @@ def _signatures(sets: Sets) -> dict[str, np.ndarray]:
     return out
 
 
-def _counted(sets_of: SetsOf) -> Callable:
+def counted_units(sets_of: SetsOf) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
         for b in batches:
@@ -131,7 +131,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def read_units(docs: DataFrame, sets_of: SetsOf, name: str) -> tuple[DataFrame, np.ndarray, int]:
     """(doc_id, text_key, unit, key, n) per unit, the rank of each counter by rarity, and the number of tokens."""
-    rows = hand_off(docs.mapInArrow(_counted(sets_of), ddl(UNITS)), f"{name}-units")
+    rows = hand_off(docs.mapInArrow(counted_units(sets_of), ddl(UNITS)), f"{name}-units")
     summed = rows.filter("segment IS NOT NULL").select("segment", "counts").groupBy("segment").applyInArrow(_sum_counts, "segment int, counts binary")
     counts = np.zeros((SEGMENTS, (1 << COUNTER_BITS) // SEGMENTS), np.uint64)
     for segment, part in summed.collect():  # 2^20 numbers whatever the input
@@ -278,6 +278,8 @@ def _shared(similarity: Similarity, limit: int) -> Callable:
         few = ~frequent & (count > 1)
         pairs = _met({c: v[np.repeat(few, count)] for c, v in entries.items()}, count[few], similarity)
         none = np.zeros(len(pairs), np.int64)
+        del entries, parts
+        give_back()
         yield batch(POSTINGS, token=pairs[:, 0], key=pairs[:, 1], n=none, pos=none - 1, doc=pairs[:, 2], **{c: none for c in SIGNATURE})
 
     return run

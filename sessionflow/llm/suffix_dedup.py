@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, from_planes, hand_off, partitions, planes
+from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes
 from sessionflow.llm.set_join import ddl, keyed
 from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 
@@ -137,7 +137,10 @@ def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
         count = np.diff(np.append(first, len(gram)))
         shared = np.repeat((count > 1) | (np.maximum.reduceat(many, first) > 0), count) & (many == 0)
-        yield _by_doc(doc[shared], pos[shared])
+        found = _by_doc(doc[shared], pos[shared])
+        del parts, gram, doc, pos, many, order, shared
+        give_back()
+        yield found
 
 
 # -- sorted runs -------------------------------------------------------------------------------------------------------
@@ -405,6 +408,8 @@ def _merged(length: int, borders: Broadcast):
         border = lambda i: np.frombuffer(all_borders[i].ljust(size, b"\0"), np.uint8) if 0 <= i < len(all_borders) else None
         beyond = np.maximum(_prefix_with(rows, border(k - 1)), _prefix_with(rows, border(k)))
         yield from _resolve(rows, np.array(common), doc, text_key, at, length, beyond)
+        del rows, doc, text_key, at, place, order, common, commons, columns
+        give_back()
 
     return run
 

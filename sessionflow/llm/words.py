@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from sessionflow.llm.frames import give_back
+
 #: Bytes of text handled at once; a single longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 #: Words per shingle.
@@ -71,13 +73,13 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each begins; null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null(b"")
+        column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     n = len(column)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     return data, offsets - offsets[0]
@@ -91,6 +93,7 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    give_back()
 
 
 def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
