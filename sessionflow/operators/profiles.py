@@ -53,15 +53,18 @@ def engagement_stats(events: DataFrame) -> DataFrame:
 
 
 def preferences(plays: DataFrame, user: str, dim: str, n: int) -> DataFrame:
-    """(user, preferred): each user's ``n`` most played values of ``dim``, most played first, ties by name."""
-    most = Window.partitionBy(user).orderBy(F.desc("_plays"), F.asc(dim))
+    """(user, preferred): each user's ``n`` most played values of ``dim``, most played first, ties by name.
+
+    Plays without a value are no taste; a user with no other plays has an empty list.
+    """
+    most = Window.partitionBy(user).orderBy(F.col(dim).isNull(), F.desc("_plays"), F.asc(dim))
     return (
         plays.groupBy(user, dim)
         .agg(F.count(F.lit(1)).alias("_plays"))
         .withColumn("_rank", F.row_number().over(most))
-        .filter(F.col("_rank") <= n)
+        .filter((F.col("_rank") <= n) | F.col(dim).isNull())
         .groupBy(user)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", dim))).alias("_ranked"))
+        .agg(F.array_sort(F.collect_list(F.when(F.col(dim).isNotNull(), F.struct("_rank", dim)))).alias("_ranked"))
         .select(user, F.transform("_ranked", lambda r: r[dim]).alias(f"preferred_{dim}s"))
     )
 

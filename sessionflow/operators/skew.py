@@ -6,7 +6,7 @@ the plan is built, in a sample of the key columns, the way a range partitioner f
 decides how the work is spread: every row is kept, and the result is exact for any set of hot keys. Where no key is
 hot, operators take their plain form.
 
-``policy_for`` skips the search for inputs so small that no key can be hot.
+The search runs at every size; in an input where no key reaches ``SkewPolicy.min_rows`` it finds none.
 """
 
 from __future__ import annotations
@@ -44,13 +44,13 @@ class SkewPolicy:
 DEFAULT_SKEW = SkewPolicy()
 
 
-def policy_for(*tables: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> SkewPolicy | None:
-    """The policy for operators over these tables: None when none of them has ``skew.min_rows`` rows.
+def policy_for(*tables: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> SkewPolicy:
+    """The policy for operators over these tables, whatever their size.
 
     Counting a stored table reads no column, only the row counts in the file footers.
     """
     rows = max(table.count() for table in tables)
-    return replace(skew, rows=rows) if rows >= skew.min_rows else None
+    return replace(skew, rows=rows)
 
 
 @dataclass(frozen=True)

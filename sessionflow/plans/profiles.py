@@ -105,10 +105,10 @@ _PROFILES = f"""
 {_HEARD},
 genres AS (
   SELECT user_id, genre, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, genre) AS rank
-  FROM played GROUP BY user_id, genre QUALIFY rank <= 2),
+  FROM played WHERE genre IS NOT NULL GROUP BY user_id, genre QUALIFY rank <= 2),
 emotions AS (
   SELECT user_id, emotion, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, emotion) AS rank
-  FROM played GROUP BY user_id, emotion QUALIFY rank <= 1),
+  FROM played WHERE emotion IS NOT NULL GROUP BY user_id, emotion QUALIFY rank <= 1),
 recent AS (
   SELECT user_id, track_id, us, event_id,
     row_number() OVER (PARTITION BY user_id ORDER BY us DESC, event_id DESC) AS back
@@ -140,8 +140,8 @@ UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), {_STATS} FROM heard GROUP BY
 WITH {_PROFILES}
 SELECT 'user_' || CASE WHEN user_id < 100 THEN lpad(CAST(user_id AS VARCHAR), 3, '0') ELSE CAST(user_id AS VARCHAR) END
     AS user_name,
-  (SELECT string_agg(genre, ',' ORDER BY rank) FROM genres g WHERE g.user_id = u.user_id) AS preferred_genres,
-  (SELECT string_agg(emotion, ',' ORDER BY rank) FROM emotions e WHERE e.user_id = u.user_id) AS preferred_emotions,
+  coalesce((SELECT string_agg(genre, ',' ORDER BY rank) FROM genres g WHERE g.user_id = u.user_id), '') AS preferred_genres,
+  coalesce((SELECT string_agg(emotion, ',' ORDER BY rank) FROM emotions e WHERE e.user_id = u.user_id), '') AS preferred_emotions,
   (SELECT string_agg(track_id, ',' ORDER BY back DESC) FROM recent r WHERE r.user_id = u.user_id) AS recent_tracks,
   (SELECT CAST(count(*) FILTER (event_type = 'skip') AS DOUBLE) / count(*) FROM heard) AS skip_rate
 FROM (SELECT DISTINCT user_id FROM played) u""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,15 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a scratch folder only where none is set (tests)."""
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Where none is set, a session in one process gets a scratch folder of its own; on a cluster that is an error.
+    """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="run-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")

@@ -24,15 +24,28 @@ class Job:
     recommendations: StreamingQuery
 
     def await_end(self) -> None:
-        for query in (self.sessions, self.recommendations):
-            query.awaitTermination()
+        """Wait until both queries end. If one fails, the other is stopped and the failure raised."""
+        queries = (self.sessions, self.recommendations)
+        try:
+            while any(query.isActive for query in queries):
+                for query in queries:
+                    query.awaitTermination(1)
+            for query in queries:
+                query.awaitTermination()
+        finally:
+            self.stop()
 
     def stop(self) -> None:
-        """Finish the input seen so far, then stop; the checkpoints let the next start go on from there."""
+        """Stop both queries; the checkpoints let the next start repeat an unfinished batch and go on from there."""
         for query in (self.sessions, self.recommendations):
-            query.processAllAvailable()
             query.stop()
 
+    def finish(self) -> None:
+        """Finish the input seen so far, then stop: for sources that stand still, since a busy topic never ends."""
+        for query in (self.sessions, self.recommendations):
+            query.processAllAvailable()
+        self.stop()
+
 
 def start_job(
     messages: DataFrame,

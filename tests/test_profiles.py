@@ -102,3 +102,12 @@ def test_engagement_defaults_and_totals(spark):
     assert got[("user", "u1")] == (2, 0.5, 100.0)
     assert P.engagement_stats(events.filter("false")).count() <= 1
     assert events.select(P.skip_rate(events.filter("false")).alias("x")).first()["x"] == 0.2
+
+
+def test_plays_without_genre_are_no_taste(spark):
+    rows = [(1, t, g, e, "play") for t, g, e in ((1, None, None), (2, None, None), (3, None, None), (4, "pop", None), (5, "rock", None))]
+    rows += [(2, 1, None, None, "play")]
+    plays = spark.createDataFrame(rows, "user_id int, track_id int, genre string, emotion string, event_type string")
+    found = lambda dim, n: {r[0]: r[1] for r in P.preferences(plays, "user_id", dim, n).collect()}
+    assert found("genre", 2) == {1: ["pop", "rock"], 2: []}
+    assert found("emotion", 1) == {1: [], 2: []}

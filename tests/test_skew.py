@@ -42,8 +42,8 @@ def test_hot_keys_are_bounded(rows):
     assert hot_keys(rows, ["id"], policy).table is None
 
 
-def test_small_inputs_need_no_policy(rows):
-    assert policy_for(rows) is None
+def test_small_inputs_are_searched_as_well(rows):
+    assert policy_for(rows).rows == rows.count()
     assert policy_for(rows, skew=SkewPolicy(min_rows=10)).rows == 2000
 
 
