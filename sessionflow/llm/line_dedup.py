@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import hand_off
+from sessionflow.llm.frames import give_back, hand_off
 from sessionflow.llm.set_join import Similarity, first_places, keyed, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import Sets, line_sets
 
@@ -81,6 +81,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [b.column("row"), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())]
         digests = [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(digests)], names=["row", "text", "n_lines", "n_removed", "sha256"])
+        del texts, columns, digests
+        give_back()
 
 
 def dedup_lines(docs: DataFrame, similarity: Similarity = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from sessionflow.llm.frames import batch
+from sessionflow.llm.frames import batch, give_back
 from sessionflow.llm.set_join import ddl
 from sessionflow.llm.tokens import library_encoder
 
@@ -136,6 +136,8 @@ def _packed(path: str, end_id: int, capacity: int, segments: int):
                     ids, held = [], []
         if held:
             yield packed()
+        ids, held = [], []
+        give_back()
 
     return run
 

@@ -225,6 +225,8 @@ def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets:
                     parts, held = [], 0
         if parts:
             yield from _pack(parts, n_buckets, limit)
+        del parts
+        give_back()
 
     return run
 

@@ -109,6 +109,8 @@ def _points(length: int, n_buckets: int):
                     parts, held = [], 0
         if parts:
             yield from _send(parts, n_buckets)
+        del parts
+        give_back()
 
     return run
 
@@ -239,6 +241,8 @@ def _runs(length: int, borders: Broadcast):
                     parts, held = [], 0
         if parts:
             yield from _run(parts, borders.value, length)
+        del parts
+        give_back()
 
     return run
 
@@ -476,6 +480,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out[name].append(value)
         arrays = [b.column("row"), pa.array(out["text"], pa.string()), *[pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")], pa.array(out["kept_sha256"], pa.string())]
         yield pa.RecordBatch.from_arrays(arrays, names=["row", *out])
+        del out, arrays
+        give_back()
 
 
 def dedup_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:

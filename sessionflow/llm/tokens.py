@@ -17,9 +17,9 @@ import pyarrow as pa
 from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 
 #: Distinct pieces whose ids a worker remembers; then it starts anew.
-REMEMBERED = 4_000_000
+REMEMBERED = 1_000_000
 #: Bytes of text cut at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 _WHITE, _LETTER, _DIGIT, _OTHER, _APOSTROPHE, _UNKNOWN = range(6)
 _CLASS = np.full(256, _OTHER, np.uint8)
