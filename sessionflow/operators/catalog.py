@@ -16,7 +16,7 @@ from sessionflow.functions.music import (
     similar_tracks,
 )
 from sessionflow.functions.text import flag_columns, flag_tags, strip, track_id
-from sessionflow.operators.prefix import number_rows, width_bucket_of
+from sessionflow.operators.prefix import number_rows
 
 # Raw column -> catalog column, required columns, defaults, rows per chunk.
 COLUMN_NAMES = {
@@ -91,15 +91,9 @@ def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull())
 
 
-def with_chunk(
-    tracks: DataFrame, chunk_size: int = CHUNK_SIZE, order: str = "order_key", bounds: DataFrame | None = None
-) -> DataFrame:
-    """Add ``row_no`` (0-based along ``order``, a unique bigint) and ``chunk_no`` (from 1).
-
-    ``bounds`` may name a cheaper table whose range of ``order`` covers that of ``tracks``, such as the raw rows.
-    """
-    bucket = width_bucket_of(tracks if bounds is None else bounds, order)
-    numbered = number_rows(tracks, [order], bucket, "row_no")
+def with_chunk(tracks: DataFrame, chunk_size: int = CHUNK_SIZE, order: str = "order_key") -> DataFrame:
+    """Add ``row_no`` (0-based along ``order``, a unique bigint) and ``chunk_no`` (from 1)."""
+    numbered = number_rows(tracks, [order], "row_no")
     return numbered.withColumn("chunk_no", F.floor(F.col("row_no") / chunk_size) + 1)
 
 
@@ -120,7 +114,7 @@ def dimension_ids(tracks: DataFrame, dim: str, order: str = "order_key") -> Data
     values = (
         tracks.filter(F.col(dim).isNotNull()).groupBy(F.col(dim).alias("value")).agg(F.min(order).alias("_first"))
     )
-    numbered = number_rows(values, ["_first", "value"], width_bucket_of(values, "_first"), "id")
+    numbered = number_rows(values, ["_first", "value"], "id")
     return numbered.select(F.lit(dim).alias("dim"), "value", "id")
 
 

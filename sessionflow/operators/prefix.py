@@ -1,7 +1,8 @@
 """Running totals and dense row numbers over a whole table without sorting it in one task.
 
-The caller names an order-preserving bucket. Totals per bucket are tiny (one row per bucket), their prefix sums give
-each bucket its offset, and the rest is a window inside the bucket.
+The rows are cut into ranges of the order by samples of their values, and handed off with the number of their range. The
+number of ranges follows the number of rows, and uneven values get even ranges. Totals per range are tiny, their prefix
+sums give each range its offset, and the rest is a window inside the range.
 """
 
 from __future__ import annotations
@@ -11,44 +12,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+from sessionflow.storage import hand_off
 
+#: Rows of a range, about; one task sorts them.
+RANGE_ROWS = 1_000_000
 
-def width_bucket_of(df: DataFrame, column: str, buckets: int = BUCKETS) -> Column:
-    """Equal-width bucket of a bigint column between its exact minimum and maximum."""
-    bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    low = bounds.select("lo").scalar()
-    width = bounds.select(F.floor((F.col("hi") - F.col("lo")) / buckets) + 1).scalar()
-    return F.floor((F.col(column) - low) / width).cast("int")
 
+def running_sum(df: DataFrame, value: Column, order: Sequence[str], out: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Add the sum of ``value`` over all rows before this one in ``order`` (exclusive), a total order.
 
-def md5_bucket_of(column: Column | str) -> Column:
-    """Bucket of an md5 hex digest by its first two digits: 256 even buckets in digest order."""
-    return F.conv(F.substring(column, 1, 2), 16, 10).cast("int")
-
-
-def running_sum(df: DataFrame, value: Column, order: Sequence[str], bucket: Column, out: str) -> DataFrame:
-    """Add the sum of ``value`` over all rows before this one in ``order`` (exclusive).
-
-    ``bucket`` must not decrease along ``order`` and takes at most a few thousand values.
+    The ranges are written once to the shared folder, so that all later steps and repeated tasks see the same cuts.
     """
-    rows = df.withColumn("_value", value.cast("long")).withColumn("_bucket", bucket)
-    before = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket, so the window without partition keys stays small
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.withColumn("_value", value.cast("long")).repartitionByRange(max(least, df.count() // range_rows), *order)
+    rows = hand_off(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range, so the window without partition keys stays small
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("_bucket")
+        rows.groupBy("_range")
         .agg(F.sum("_value").alias("_total"))
-        .select("_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
     )
     return (
         rows.withColumn(out, F.coalesce(F.sum("_value").over(before), F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), "_range")
         .withColumn(out, F.col(out) + F.col("_offset"))
-        .drop("_offset", "_bucket", "_value")
+        .drop("_offset", "_range", "_value")
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str], bucket: Column, out: str) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], out: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add a dense 0-based row number along ``order``."""
-    return running_sum(df, F.lit(1), order, bucket, out)
+    return running_sum(df, F.lit(1), order, out, range_rows)

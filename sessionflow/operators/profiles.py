@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionflow.functions.draws import draw
-from sessionflow.operators.prefix import md5_bucket_of, running_sum
+from sessionflow.operators.prefix import running_sum
 from sessionflow.operators.sessions import last_n_tracks
 
 # Defaults where no event tells, bounds of a skip, shortest share of a play, profile sizes.
@@ -19,6 +19,7 @@ PLAY_SHARE = 0.7
 PREFERRED_GENRES = 2
 PREFERRED_EMOTIONS = 1
 RECENT_TRACKS = 5
+#: Buckets of the line at least; with more values there is one for each.
 PICK_BUCKETS = 1024
 
 
@@ -100,18 +101,19 @@ def weighted_pick(
 ) -> DataFrame:
     """(user, pick_no, value): ``picks`` independent draws per user, with replacement, by integer weight.
 
-    The values lie one after another on a line, each as long as its weight. The line is cut into equal buckets, so a
-    draw finds its value by an equality on the bucket and a range test within it; a bucket holds few values.
+    The values lie one after another on a line, each as long as its weight. The line is cut into equal buckets, as
+    many as there are values, so a draw finds its value by an equality on the bucket and a range test within it: among
+    about two values on average, whatever their number and weights.
     """
     line = running_sum(
         weights.select(F.col(value), F.col(weight).cast("long").alias("_w")).withColumn("_h", F.md5(F.col(value))),
         F.col("_w"),
         ["_h", value],
-        md5_bucket_of("_h"),
         "_low",
     ).withColumn("_high", F.col("_low") + F.col("_w"))
     total = weights.agg(F.sum(F.col(weight).cast("long"))).scalar()
-    width = F.floor(total / PICK_BUCKETS) + 1
+    values = weights.agg(F.count(F.lit(1))).scalar()
+    width = F.floor(total / F.greatest(values, F.lit(PICK_BUCKETS).cast("bigint"))) + 1
     pieces = line.filter(F.col("_w") > 0).select(
         value,
         "_low",

@@ -52,8 +52,7 @@ def _tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = B.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("order_key"))
-    return C.with_chunk(_tracks(spark, sf_dir), CHUNK, bounds=keys)
+    return C.with_chunk(_tracks(spark, sf_dir), CHUNK)
 
 
 def catalog_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

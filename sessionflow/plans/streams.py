@@ -155,13 +155,16 @@ def stream_sink_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed counts of every micro-batch, summed."""
+    """Stored counts of every micro-batch, summed."""
     folder = new_folder(spark, "metrics")
-    events = metrics.observe_events(_event_stream(spark, sf_dir)).filter(F.col("event_type") == "play")
-    query = sinks.run_to_table(events, f"{folder}/out", f"{folder}/checkpoint")
-    rows = [(m["events"], m["plays"], m["skips"]) for m in metrics.observed(query)]
-    counted = spark.createDataFrame(rows, "events bigint, plays bigint, skips bigint")
-    return counted.agg(*[F.sum(c).alias(c) for c in counted.columns])
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counts = metrics.event_counts()
+        metrics.write_counted(batch, batch_id, f"{folder}/out", counts, f"{folder}/counts", F.col("event_type") == "play")
+
+    sinks.start(_event_stream(spark, sf_dir), store, f"{folder}/checkpoint", trigger=sinks.WAIT).awaitTermination()
+    counted = spark.read.schema("events bigint, plays bigint, skips bigint").parquet(f"{folder}/counts")
+    return counted.agg(*[F.sum(c).alias(c) for c in ("events", "plays", "skips")])
 
 
 QUERIES = {

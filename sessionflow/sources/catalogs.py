@@ -29,6 +29,11 @@ def read_tracks(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/tracks")
 
 
+def read_chunk(spark: SparkSession, folder: str, chunk_file: str) -> DataFrame:
+    """The tracks of one chunk by the name that the index holds; only that chunk's folder is read."""
+    return read_tracks(spark, folder).filter(F.col("chunk_file") == chunk_file)
+
+
 def read_dimensions(spark: SparkSession, folder: str) -> DataFrame:
     """(dim, value, id) of genres and emotions."""
     return spark.read.parquet(f"{folder}/dimensions")
@@ -39,7 +44,7 @@ def prepare_catalog(
 ) -> DataFrame:
     """The catalog job: tracks, quarantine, dimension ids, index, statistics and sample as tables below ``folder``.
 
-    The tracks are written once; everything else reads that table, so the raw rows are parsed once and a lost
+    The tracks are written once, each chunk in a folder ``chunk_file=`` with the name that the index holds; everything else reads that table, so the raw rows are parsed once and a lost
     executor never sends a later step back to them. Returns the statistics table.
     """
     spark = raw.sparkSession
@@ -48,9 +53,8 @@ def prepare_catalog(
     stored = spark.read.schema(parsed.schema).parquet(f"{folder}/parsed")
     C.quarantined(stored).write.mode("overwrite").parquet(f"{folder}/quarantine")
     valid = C.clean_tracks(stored)
-    C.with_chunk(valid, chunk_size).write.mode("overwrite").option("maxRecordsPerFile", chunk_size).parquet(
-        f"{folder}/tracks"
-    )
+    chunked = C.with_chunk(valid, chunk_size).withColumn("chunk_file", C.chunk_file(F.col("chunk_no")))
+    chunked.write.mode("overwrite").partitionBy("chunk_file").parquet(f"{folder}/tracks")
     tracks = read_tracks(spark, folder)
     C.union_chunks(C.dimension_ids(tracks, "genre"), C.dimension_ids(tracks, "emotion")).write.mode(
         "overwrite"

@@ -44,12 +44,15 @@ def table_stream(
 
 
 def decode(messages: DataFrame, schema: T.StructType = schemas.EVENT, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Messages as events. A message that is no JSON object of the schema keeps its text in ``_corrupt_record``."""
+    """Messages as events. A message that is no JSON object of the schema keeps its text in ``_corrupt_record``.
+
+    The one-element array keeps later filters above the decode, so that each message is decoded once.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     event = F.from_json(
         F.col("value").cast("string"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return messages.select(*carry, event.alias("event")).select(*carry, "event.*")
+    return messages.select(*carry, F.inline(F.array(event)))
 
 
 def valid_events(decoded: DataFrame) -> DataFrame:

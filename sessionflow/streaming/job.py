@@ -1,10 +1,11 @@
-"""The streaming job: messages in, session windows and recommendations out."""
+"""The streaming job: messages in; session windows, recommendations, rejected messages and counts out."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionflow.operators.recommend import DEFAULT_TOP_N
@@ -22,27 +23,31 @@ class Job:
     folder: str
     sessions: StreamingQuery
     recommendations: StreamingQuery
+    quarantine: StreamingQuery
+
+    @property
+    def queries(self) -> tuple[StreamingQuery, ...]:
+        return (self.sessions, self.recommendations, self.quarantine)
 
     def await_end(self) -> None:
-        """Wait until both queries end. If one fails, the other is stopped and the failure raised."""
-        queries = (self.sessions, self.recommendations)
+        """Wait until all queries end. If one fails, the others are stopped and the failure raised."""
         try:
-            while any(query.isActive for query in queries):
-                for query in queries:
+            while any(query.isActive for query in self.queries):
+                for query in self.queries:
                     query.awaitTermination(1)
-            for query in queries:
+            for query in self.queries:
                 query.awaitTermination()
         finally:
             self.stop()
 
     def stop(self) -> None:
-        """Stop both queries; the checkpoints let the next start repeat an unfinished batch and go on from there."""
-        for query in (self.sessions, self.recommendations):
+        """Stop all queries; the checkpoints let the next start repeat an unfinished batch and go on from there."""
+        for query in self.queries:
             query.stop()
 
     def finish(self) -> None:
         """Finish the input seen so far, then stop: for sources that stand still, since a busy topic never ends."""
-        for query in (self.sessions, self.recommendations):
+        for query in self.queries:
             query.processAllAvailable()
         self.stop()
 
@@ -55,11 +60,13 @@ def start_job(
     top_n: int = DEFAULT_TOP_N,
     trigger: dict | None = None,
 ) -> Job:
-    """Start the session and recommendation queries over a stream of messages.
+    """Start the session, recommendation and quarantine queries over a stream of messages.
 
-    Tables below ``folder``: session_lists (track lists in slices), sessions (final windows), recommendations. Event
-    counts are observed on the session query instead of by queries of their own.
+    Tables below ``folder``: session_lists (track lists in slices), sessions (final windows), recommendations,
+    quarantine (messages that are unreadable or have no readable time, with their text) and event_counts (a row per
+    batch). Each has a folder per micro-batch.
     """
+    everything = E.with_event_time(E.decode(messages))
     decoded = E.valid_events(E.decode(messages))
     trigger = trigger or EVERY
 
@@ -71,11 +78,17 @@ def start_job(
         finally:
             pieces.unpersist()
 
-    windows = sessions.session_piece_stream(E.plays_of(metrics.observe_events(decoded)), window, delay)
+    def store_rejected(batch: DataFrame, batch_id: int) -> None:
+        rejected = F.col(E.CORRUPT).isNotNull() | F.col("event_time").isNull()
+        counts = metrics.message_counts()
+        metrics.write_counted(batch, batch_id, f"{folder}/quarantine", counts, f"{folder}/event_counts", rejected)
+
+    windows = sessions.session_piece_stream(E.plays_of(decoded), window, delay)
     return Job(
         folder,
         sinks.start(windows, store_sessions, f"{folder}/checkpoints/sessions", trigger=trigger),
         recommendations.start_recommendations(
             E.plays_of(decoded), f"{folder}/recommendations", f"{folder}/checkpoints/recommendations", top_n, trigger
         ),
+        sinks.start(everything, store_rejected, f"{folder}/checkpoints/quarantine", trigger=trigger),
     )

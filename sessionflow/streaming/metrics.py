@@ -1,42 +1,55 @@
-"""Counts per micro-batch without an extra pass: observed metrics and a listener that collects them."""
+"""Counts per micro-batch without an extra pass: observed metrics, stored in a table by batch."""
 
 from __future__ import annotations
 
 import json
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-METRICS = "event_counts"
+from sessionflow.sources.events import CORRUPT
+from sessionflow.streaming import sinks
+
 log = logging.getLogger(__name__)
 
 
-def observe_events(events: DataFrame, name: str = METRICS) -> DataFrame:
-    """Events with counts of all, playable and skipped events attached to the plan."""
-    return events.observe(
-        name,
+def event_counts() -> list[Column]:
+    """Counts of all, playable and skipped events."""
+    return [
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "play").alias("plays"),
         F.count_if(F.col("event_type") == "skip").alias("skips"),
-    )
+    ]
+
+
+def message_counts() -> list[Column]:
+    """Counts of decoded messages: unreadable ones, ones without a readable time, and the readable events by type."""
+    readable = F.col(CORRUPT).isNull()
+    return [
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(~readable).alias("corrupt"),
+        F.count_if(readable & F.col("event_time").isNull()).alias("bad_time"),
+        F.count_if(readable & (F.col("event_type") == "play")).alias("plays"),
+        F.count_if(readable & (F.col("event_type") == "skip")).alias("skips"),
+    ]
+
 
+def write_counted(batch: DataFrame, batch_id: int, path: str, counts: list[Column], counts_path: str, keep: Column) -> None:
+    """Write the rows of a micro-batch where ``keep`` holds, and the counts of all its rows as a table of their own.
 
-def observed(query: StreamingQuery, name: str = METRICS) -> list[dict]:
-    """The observed counts of each recent micro-batch: {batch_id, events, plays, skips}."""
-    found = []
-    for progress in query.recentProgress:
-        report = progress if isinstance(progress, dict) else json.loads(progress.json)
-        metrics = (report.get("observedMetrics") or {}).get(name)
-        if metrics:
-            row = metrics if isinstance(metrics, dict) else metrics.asDict()
-            found.append({"batch_id": report["batchId"], **row})
-    return found
+    One pass does both. Both tables have a folder per batch, so a replay replaces them and no batch is ever left out.
+    """
+    seen = Observation()
+    sinks.write_batch(batch.observe(seen, *counts).filter(keep), batch_id, path)
+    found = seen.get
+    kinds = ", ".join(f"{name} bigint" for name in found)
+    sinks.write_batch(batch.sparkSession.createDataFrame([tuple(found.values())], kinds), batch_id, counts_path)
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """State rows dropped behind the watermark, over the recent micro-batches."""
+    """State rows dropped behind the watermark, over the newest micro-batches that Spark keeps reports of (100)."""
     return sum(
         state["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

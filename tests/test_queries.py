@@ -76,3 +76,9 @@ def test_hot_users_are_cut_and_cold_sessions_left_alone(spark, hot_keys):
     assert "_part" in plan_of(entry.queries()["recent_tracks"](spark, SF_DIR))
     assert "_slice" in plan_of(entry.queries()["event_enrichment"](spark, SF_DIR))
     assert "_slice" not in plan_of(entry.queries()["cooccurrence_counts"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["plays_filter", "event_time_parse", "event_json_parse"])
+def test_a_message_is_decoded_once(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sessionflow.operators.prefix import md5_bucket_of, number_rows, running_sum, width_bucket_of
+from sessionflow.operators.prefix import number_rows, running_sum
 from sessionflow.operators.skew import (
     SkewPolicy,
     hot_keys,
@@ -88,13 +88,28 @@ def test_with_previous(rows, policy, n):
 
 
 def test_number_rows(rows):
-    got = number_rows(rows, ["id"], width_bucket_of(rows, "id", 7), "no")
+    got = number_rows(rows, ["id"], "no")
     assert got.filter(F.col("no") != F.col("id")).count() == 0
 
 
+@pytest.mark.parametrize("far", [10**12, 5 * 10**4])
+def test_row_numbers_of_uneven_keys_come_from_even_ranges(spark, monkeypatch, far):
+    """Clustered keys and one far from them: the ranges grow with the rows, and none holds many more than the others."""
+    from sessionflow.operators import prefix
+
+    handed = []
+    monkeypatch.setattr(prefix, "hand_off", lambda df, name, f=prefix.hand_off: handed.append(f(df, name)) or handed[-1])
+    keys = spark.range(100_000).select(F.col("id").alias("k")).filter(F.col("k") != far).union(spark.range(1).select(F.lit(far).alias("k")))
+    got = number_rows(keys, ["k"], "no", range_rows=2_000)
+    order = got.orderBy("k").collect()
+    assert [r["no"] for r in order] == list(range(len(order)))
+    sizes = [r["count"] for r in handed[0].groupBy("_range").count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 6_000
+
+
 def test_running_sum_in_digest_order(spark):
     df = spark.range(300).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("h"))
-    got = running_sum(df, F.col("id"), ["h"], md5_bucket_of("h"), "before").collect()
+    got = running_sum(df, F.col("id"), ["h"], "before").collect()
     total = 0
     for row in sorted(got, key=lambda r: r["h"]):
         assert row["before"] == total

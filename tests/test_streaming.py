@@ -90,13 +90,19 @@ def test_play_log_model_uses_all_batches(spark, tmp_path):
     assert got == want
 
 
-def test_observed_counts(spark, tmp_path):
-    folder = str(tmp_path / "in")
-    add_file(spark, folder, [(1, 10), (2, 20)])
-    query = sinks.run_to_table(
-        metrics.observe_events(play_stream(spark, folder)), str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    )
-    assert [(m["events"], m["plays"], m["skips"]) for m in metrics.observed(query)] == [(2, 2, 0)]
+def test_every_batch_leaves_its_counts(spark, tmp_path):
+    folder, out, counts = (str(tmp_path / n) for n in ("in", "out", "counts"))
+    for i in range(12):
+        add_file(spark, folder, [(2 * i, 10), (2 * i + 1, 20)])
+
+    def store(batch, batch_id):
+        for _ in range(2):  # a replay changes nothing
+            metrics.write_counted(batch, batch_id, out, metrics.event_counts(), counts, F.col("t") > 10)
+
+    sinks.start(play_stream(spark, folder), store, str(tmp_path / "checkpoint"), trigger=sinks.WAIT).awaitTermination()
+    rows = spark.read.parquet(counts).collect()
+    assert [(r["events"], r["plays"], r["skips"]) for r in rows] == [(2, 2, 0)] * 12
+    assert spark.read.parquet(out).count() == 12
 
 
 def test_table_stream_reads_a_file_and_a_folder(spark, tmp_path):
@@ -129,10 +135,15 @@ def test_the_job_from_messages_to_tables(spark, tmp_path):
         E.publish(E.to_event_record(events), "parquet", topic)
 
     send([("u", "s", "a", "A", "play", 10.0), ("u", "s", "b", "B", "skip", 20.0), ("u", "s", "c", "C", "play", 30.5)])
+    bad = [('{"user_id": ', ), ('{"user_id": "u", "event_type": "play", "timestamp": "yesterday"}',)]
+    texts = spark.createDataFrame(bad, "value string").select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"))
+    texts.write.mode("append").parquet(topic)
     job = start_job(E.message_stream(spark, "parquet", topic), folder, trigger=sinks.WAIT)
     job.await_end()
-    counts = metrics.observed(job.sessions)
-    assert [(m["events"], m["plays"], m["skips"]) for m in counts if m["events"]] == [(3, 2, 1)]
+    counts = spark.read.parquet(f"{folder}/event_counts").agg(*[F.sum(c) for c in ("messages", "corrupt", "bad_time", "plays", "skips")])
+    assert tuple(counts.first()) == (5, 1, 1, 3, 1)
+    rejected = spark.read.parquet(f"{folder}/quarantine").collect()
+    assert sorted((r[E.CORRUPT] or "", r["timestamp"] or "") for r in rejected) == [("", "yesterday"), ('{"user_id": ', "")]
     send([("v", "x", "d", "D", "play", 400.0)])  # moves the watermark past the first window
     start_job(E.message_stream(spark, "parquet", topic), folder, trigger=sinks.WAIT).await_end()
     stored = spark.read.parquet(f"{folder}/sessions").collect()
