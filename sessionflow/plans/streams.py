@@ -40,12 +40,8 @@ def stream_sessions_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sessions.session_piece_stream(_enriched_stream(spark, sf_dir))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            sinks.write_batch(batch, batch_id, f"{folder}/lists")
-            sinks.write_batch(sessions.sessions_of_pieces(batch), batch_id, f"{folder}/out")
-        finally:
-            batch.unpersist()
+        stored = sinks.write_and_reread(batch, batch_id, f"{folder}/lists")
+        sinks.write_batch(sessions.sessions_of_pieces(stored), batch_id, f"{folder}/out")
 
     sinks.start(pieces, store, f"{folder}/checkpoint", trigger=sinks.WAIT).awaitTermination()
     done = _batches(spark, folder, sessions.sessions_of_pieces(pieces))

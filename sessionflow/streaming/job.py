@@ -71,12 +71,8 @@ def start_job(
     trigger = trigger or EVERY
 
     def store_sessions(pieces: DataFrame, batch_id: int) -> None:
-        pieces.persist()
-        try:
-            sinks.write_batch(pieces, batch_id, f"{folder}/session_lists")
-            sinks.write_batch(sessions.sessions_of_pieces(pieces), batch_id, f"{folder}/sessions")
-        finally:
-            pieces.unpersist()
+        stored = sinks.write_and_reread(pieces, batch_id, f"{folder}/session_lists")
+        sinks.write_batch(sessions.sessions_of_pieces(stored), batch_id, f"{folder}/sessions")
 
     def store_rejected(batch: DataFrame, batch_id: int) -> None:
         rejected = F.col(E.CORRUPT).isNotNull() | F.col("event_time").isNull()

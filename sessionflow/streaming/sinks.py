@@ -21,6 +21,12 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_and_reread(batch: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """Write a micro-batch and go on from what was written, so that later steps of the batch do not compute it again."""
+    write_batch(batch, batch_id, path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}")
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All batches written so far, with their batch_id."""
     with_id = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType(), True)])
