@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm.components import components
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import UNITS, Similarity, counted_units, ddl, keyed, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
@@ -25,7 +25,7 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     component_id null, and link with nothing. Repeated rows are copies. Other columns are ignored.
     """
     texts = keyed(docs)
-    units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram")
+    units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE)
     postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
     tried = hand_off(pairs_with_leader(postings, similarity), "ngram-tried")
     links = verify(tried, units, texts, shingle_sets, similarity, "ngram")
@@ -33,8 +33,11 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
 
     placed = postings.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     open_tokens = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    placed = hand_off(placed.join(open_tokens.select("token"), "token", "left_semi"), "ngram-open")
-    rest = pairs_between(placed, placed, similarity, F.col("x.root") < F.col("y.root")).join(tried, ["a", "b"], "left_anti")
+    placed = placed.drop(*SIGNATURE).join(open_tokens.select("token"), "token", "left_semi")
+    # the entries were sent without bitmaps; what is left gets wide ones, or a group's members meet those near it in vain
+    bitmaps = units.filter("n > 0").select("key", *WIDE_SIGNATURE).dropDuplicates(["key"])
+    placed = hand_off(placed.join(bitmaps, "key"), "ngram-open")
+    rest = pairs_between(placed, placed, similarity, F.col("x.root") < F.col("y.root"), WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti")
     more = verify(rest, units, texts, shingle_sets, similarity, "ngram-rest")
     # the first round's components as links, so that the second starts from stars
     all_links = more.unionByName(roots.filter("key != root").select(F.col("root").alias("a"), F.col("key").alias("b")))

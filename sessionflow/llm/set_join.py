@@ -45,6 +45,8 @@ UNITS = pa.schema(
 )
 #: A bitmap of 256 bits in four columns.
 SIGNATURE = ("sig0", "sig1", "sig2", "sig3")
+#: One of 1024 bits, for sets as large as those of whole texts.
+WIDE_SIGNATURE = tuple(f"sig{i}" for i in range(16))
 TYPES = {"token": "u8", "key": "i8", "n": "u4", "pos": "u4", **{c: "i8" for c in SIGNATURE}, "doc": "i8", "many": "u1"}
 PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in TYPES]])
 POSTINGS = pa.schema([(c, pa.int64()) for c in TYPES if c != "many"])
@@ -71,14 +73,14 @@ class Similarity:
         both = self.num + self.den
         return (self.num * (a + b) + both - 1) // both
 
-    def allows(self, x: str, y: str) -> Column:
+    def allows(self, x: str, y: str, signature: tuple[str, ...] = SIGNATURE) -> Column:
         """Length, positional and bitmap filter on two entries of one token."""
         c = lambda side, name: F.col(f"{side}.{name}")
         total = c(x, "n") + c(y, "n")
         both = self.num + self.den
         need = F.expr(f"({self.num} * ({x}.n + {y}.n) + {both - 1}) div {both}")
         most = F.least(c(x, "pos"), c(y, "pos")) + 1 + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
-        differ = sum((F.bit_count(c(x, s).bitwiseXOR(c(y, s))) for s in SIGNATURE), F.lit(0))
+        differ = sum((F.bit_count(c(x, s).bitwiseXOR(c(y, s))) for s in signature), F.lit(0))
         return (
             (self.den * F.least(c(x, "n"), c(y, "n")) >= self.num * F.greatest(c(x, "n"), c(y, "n")))
             & (most >= need)
@@ -86,12 +88,12 @@ class Similarity:
         )
 
 
-def _signatures(sets: Sets) -> dict[str, np.ndarray]:
+def _signatures(sets: Sets, signature: tuple[str, ...] = SIGNATURE) -> dict[str, np.ndarray]:
     """A bitmap per set in which each token flips a bit; sets that differ in d tokens differ in at most d bits."""
     filled = np.flatnonzero(sets.sizes > 0)
-    bits, word = np.uint64(1) << (sets.flat & np.uint64(63)), (sets.flat >> np.uint64(6)) & np.uint64(3)
+    bits, word = np.uint64(1) << (sets.flat & np.uint64(63)), (sets.flat >> np.uint64(6)) % np.uint64(len(signature))
     out = {}
-    for i, c in enumerate(SIGNATURE):
+    for i, c in enumerate(signature):
         column = np.zeros(len(sets.row), np.uint64)
         if len(filled):
             column[filled] = np.bitwise_xor.reduceat(np.where(word == i, bits, np.uint64(0)), sets.starts[filled])
@@ -99,7 +101,9 @@ def _signatures(sets: Sets) -> dict[str, np.ndarray]:
     return out
 
 
-def counted_units(sets_of: SetsOf) -> Callable:
+def counted_units(sets_of: SetsOf, signature: tuple[str, ...] = ()) -> Callable:
+    schema = units_schema(signature)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
         for b in batches:
@@ -107,15 +111,21 @@ def counted_units(sets_of: SetsOf) -> Callable:
             for sets in sets_of(b.column("text")):
                 counts += np.bincount((sets.flat >> np.uint64(64 - COUNTER_BITS)).view(np.int64), minlength=len(counts)).astype(np.uint32)
                 none = [None] * len(sets.row)
-                yield batch(UNITS, doc_id=ids[sets.row], text_key=text_keys[sets.row], unit=sets.unit, key=sets.keys(), n=sets.sizes, segment=none, counts=none)
+                bits = _signatures(sets, signature)
+                yield batch(schema, doc_id=ids[sets.row], text_key=text_keys[sets.row], unit=sets.unit, key=sets.keys(), n=sets.sizes, segment=none, counts=none, **bits)
         if counts.any():
             none = [None] * SEGMENTS
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SEGMENTS)]
-            yield batch(UNITS, doc_id=none, text_key=none, unit=none, key=none, n=none, segment=range(SEGMENTS), counts=parts)
+            empty = dict.fromkeys(("doc_id", "text_key", "unit", "key", "n", *signature), none)
+            yield batch(schema, segment=range(SEGMENTS), counts=parts, **empty)
 
     return run
 
 
+def units_schema(signature: tuple[str, ...] = ()) -> pa.Schema:
+    return pa.schema([*UNITS, *[pa.field(c, pa.int64()) for c in signature]])
+
+
 def _sum_counts(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((1 << COUNTER_BITS) // SEGMENTS, np.uint64)
     for b in batches:
@@ -129,9 +139,10 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
 
-def read_units(docs: DataFrame, sets_of: SetsOf, name: str) -> tuple[DataFrame, np.ndarray, int]:
-    """(doc_id, text_key, unit, key, n) per unit, the rank of each counter by rarity, and the number of tokens."""
-    rows = hand_off(docs.mapInArrow(counted_units(sets_of), ddl(UNITS)), f"{name}-units")
+def read_units(docs: DataFrame, sets_of: SetsOf, name: str, signature: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray, int]:
+    """(doc_id, text_key, unit, key, n, the bitmap asked for) per unit, the rank of each counter by rarity, and the
+    number of tokens."""
+    rows = hand_off(docs.mapInArrow(counted_units(sets_of, signature), ddl(units_schema(signature))), f"{name}-units")
     summed = rows.filter("segment IS NOT NULL").select("segment", "counts").groupBy("segment").applyInArrow(_sum_counts, "segment int, counts binary")
     counts = np.zeros((SEGMENTS, (1 << COUNTER_BITS) // SEGMENTS), np.uint64)
     for segment, part in summed.collect():  # 2^20 numbers whatever the input
@@ -311,10 +322,10 @@ def pairs_with_leader(postings: DataFrame, similarity: Similarity) -> DataFrame:
     return met.select(*ordered(F.col("x.key"), F.col("y.key"))).distinct()
 
 
-def pairs_between(left: DataFrame, right: DataFrame, similarity: Similarity, also: Column) -> DataFrame:
+def pairs_between(left: DataFrame, right: DataFrame, similarity: Similarity, also: Column, signature: tuple[str, ...] = SIGNATURE) -> DataFrame:
     """Distinct (a, b): classes of ``left`` and ``right`` that share a token, where ``also`` holds for entries x and y."""
     x, y = left.alias("x"), right.alias("y")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & also & similarity.allows("x", "y"))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & also & similarity.allows("x", "y", signature))
     return met.select(*ordered(F.col("x.key"), F.col("y.key"))).distinct()
 
 
