@@ -16,8 +16,8 @@ from sessionflow.llm.words import Sets, line_sets
 
 #: Jaccard similarity of the lines' distinct words that makes the later one go.
 SIMILARITY = Similarity(9, 10)
-#: Distinct words a line needs to be compared at all; shorter lines stay.
-MIN_WORDS = 5
+#: Distinct words a line needs to be compared at all: every line with a word is.
+MIN_WORDS = 1
 #: Lines of a token that are compared with each other at once; tokens of more lines are frequent.
 FREQUENT = 128
 
@@ -46,11 +46,12 @@ def repeated_lines(docs: DataFrame, similarity: Similarity = SIMILARITY, min_wor
     A line goes if an earlier line, by doc_id and number, has the same set of words or a similar one. All lines of the
     input count as earlier lines, those that go as well. Lines of equal sets are one class. A class meets one
     earlier class first, for each of its frequent tokens and by the others; only where this leaves it in place it meets
-    all others that may be similar.
+    all others that may be similar. Sets so small that only equal ones are similar to them meet no other class.
     """
     texts, sets_of = keyed(docs), _lines(min_words)
     units, ranks, n_tokens = read_units(texts, sets_of, "lines")
-    postings, met = shared_postings(texts, sets_of, ranks, n_tokens, similarity, "lines", lean=False, limit=FREQUENT)
+    meeting = _lines(max(min_words, similarity.least_with_others))
+    postings, met = shared_postings(texts, meeting, ranks, n_tokens, similarity, "lines", lean=False, limit=FREQUENT)
     places = hand_off(first_places(units), "lines-places")
     # of the pairs found in buckets one for each later class at first
     first = met.groupBy("b").agg(F.min_by("a", F.struct("doc", "a")).alias("a")).select(*ordered(F.col("a"), F.col("b")))

@@ -64,6 +64,11 @@ class Similarity:
     num: int
     den: int
 
+    @property
+    def least_with_others(self) -> int:
+        """The least size of a set to which another than an equal one can be similar: one with a token more."""
+        return -(-self.num // (self.den - self.num)) if self.num < self.den else 1
+
     def prefix(self, n: np.ndarray) -> np.ndarray:
         """How many of the rarest tokens must hold one that a similar set has in its own prefix."""
         return n - (self.num * n + self.den - 1) // self.den + 1

@@ -125,6 +125,29 @@ def test_common_lines_and_their_variants(spark):
     assert Counter(map(tuple, found.collect())) == expected_lines(rows)
 
 
+def test_short_lines_and_lines_without_blanks(spark):
+    """Any line with a word goes when its set of words came before, whatever its length; wordless lines stay."""
+    east = "这是一行没有空格的很长的中文文本它会在很多文档里重复出现"
+    texts = ["Menu\n\nread more\nhome about contact us\n" + east, "menu\nmore  READ\n\n  \nhome about contact you", east + "\nสวัสดีชาวโลก\nmenu", "สวัสดีชาวโลก\n" + east + "一", "one two three four five six seven eight nine\nmenu\nmenu", "one two three four five six seven eight nine ten"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    left = {r.doc_id: r.text.split("\n") for r in dedup_lines(df).select("row.doc_id", "text").collect()}
+    assert left == {
+        0: ["Menu", "", "read more", "home about contact us", east],
+        1: ["", "  ", "home about contact you"],
+        2: ["สวัสดีชาวโลก"],
+        3: [east + "一"],
+        4: ["one two three four five six seven eight nine"],
+        5: [""],
+    }
+
+
+@pytest.mark.parametrize("num,den", [(9, 10), (3, 4), (4, 5), (1, 2), (1, 1)])
+def test_least_size_with_other_similar_sets(num, den):
+    similarity = line_dedup.Similarity(num, den)
+    others = [n for n in range(1, 40) if den * n >= num * (n + 1)]  # a set of n words and one with a word more
+    assert similarity.least_with_others == min(others, default=1)
+
+
 def expected_passages(rows, length):
     first = {}
     raws = [(i, (t or "").encode()) for i, t in rows]
