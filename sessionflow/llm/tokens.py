@@ -60,6 +60,10 @@ class Encoder:
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
 
+    def _forget(self) -> None:
+        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Adds new pieces; ``hashes`` ascend."""
         new = self.encode(pieces)
@@ -81,7 +85,7 @@ class Encoder:
         ends = np.append(begins[1:], len(data))
         distinct, which = np.unique(span_hashes(prefix_hashes(data), begins, ends), return_inverse=True)
         if len(self.hashes) > REMEMBERED:
-            self.__init__(self.encode)
+            self._forget()
         at = np.searchsorted(self.hashes, distinct)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == distinct[known]

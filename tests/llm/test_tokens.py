@@ -7,6 +7,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from cases import documents, no_documents, odd_documents
 from conftest import SF_DIR
 from public_tokenizers import PATTERN
 
+from sessionflow.llm import bpe, packing, token_files, tokens
 from sessionflow.llm.bpe import BytePairEncoder, encode_decode
 from sessionflow.llm.packing import pack_documents, plan
 from sessionflow.llm.queries import vocabulary
@@ -57,6 +59,29 @@ def test_library_encoder_equals_whole_texts():
         assert ids.tolist() == e.ids
 
 
+def test_forgetting_pieces_changes_nothing(monkeypatch):
+    """The tasks of op3, op4 and op9 where a worker starts anew before almost every chunk."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "CHUNK", 200)
+    monkeypatch.setattr(bpe, "_encoders", {})
+    monkeypatch.setattr(tokens, "_encoders", {})
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = odd_texts()[:300]
+    docs = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(300), pa.int64()), "text": texts})]
+    found = [r for b in bpe._codes(RANKS, PATTERN, False)(iter(docs)) for r in b.to_pylist()]
+    library = reference()
+    assert [(np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"].decode()) for r in found] == [(library.encode_ordinary(t), t) for t in texts]
+    whole = [e.ids for e in tokenizer(WORDS).encode_batch_fast(texts, add_special_tokens=False)]
+    cuts = SimpleNamespace(value=np.zeros(0, np.int64))
+    found = [r["ids"] for b in token_files._encode(WORDS, 0, 16, cuts)(iter(docs)) for r in b.to_pylist()]
+    assert [np.frombuffer(x, "<u2").tolist() for x in found] == [[*ids, 0] for ids in whole]
+    pieces = [r for b in packing._packed(WORDS, 1, 2048, 256)(iter(docs)) for r in b.to_pylist()]
+    assert sum(p["length"] for p in pieces) == sum(len(ids) + 1 for ids in whole)
+    for p in pieces:
+        ids = np.array([*whole[p["doc_id"]], 1], "<u4")[p["start"] : p["start"] + p["length"]]
+        assert p["ids_crc32"] == zlib.crc32(ids.tobytes())
+
+
 @pytest.mark.parametrize("table", TABLES)
 def test_encode_decode(spark, table):
     df, library = TABLES[table](spark), reference()
