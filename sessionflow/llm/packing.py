@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sessionflow.llm.frames import batch, give_back
 from sessionflow.llm.set_join import ddl
@@ -27,6 +28,8 @@ SEQUENCE_TOKENS, SEQUENCE_SEGMENTS = 2048, 256
 GROUP = 2048
 PIECES = pa.schema([(c, pa.int64()) for c in ("item", "start", "length", "sequence", "offset")])
 PACKED = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
+#: With prompts also the loss-bearing tokens of each piece.
+PACKED_LOSS = PACKED.append(pa.field("loss_tokens", pa.int64()))
 
 
 def _loss(start: int, length: int, prompt: int) -> int:
@@ -113,40 +116,52 @@ def _whole(total: int, capacity: int) -> list[int]:
     return [1 << k for k in range(total.bit_length() - 1, -1, -1) if total >> k & 1]
 
 
-def _packed(path: str, end_id: int, capacity: int, segments: int):
+def _packed(path: str, end_id: int, capacity: int, segments: int, loss: int | None = None, with_prompts: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = library_encoder(path), np.array([end_id], "<u4")
-        base, used, ids, held = TaskContext.get().partitionId() << 33, 0, [], []
+        base, used, ids, held, prompts = TaskContext.get().partitionId() << 33, 0, [], [], []
 
         def packed():
             nonlocal used
-            rows = list(plan([len(x) for x in held], None, capacity, segments))
+            rows = list(plan([len(x) for x in held], prompts, capacity, segments, loss))
             pieces = np.array(rows, np.int64).reshape(-1, 5).T
             crcs = [zlib.crc32(held[i][s : s + n]) for i, s, n, _, _ in rows]
-            out = batch(PACKED, doc_id=[ids[i] for i in pieces[0]], start=pieces[1], length=pieces[2], ids_crc32=crcs, doc_tokens=[len(held[i]) for i in pieces[0]], sequence_id=pieces[3] + (base + used), offset=pieces[4])
+            columns = {"loss_tokens": [_loss(s, n, prompts[i]) for i, s, n, _, _ in rows]} if with_prompts else {}
+            out = batch(PACKED_LOSS if with_prompts else PACKED, doc_id=[ids[i] for i in pieces[0]], start=pieces[1], length=pieces[2], ids_crc32=crcs, doc_tokens=[len(held[i]) for i in pieces[0]], sequence_id=pieces[3] + (base + used), offset=pieces[4], **columns)
             used += int(pieces[3].max()) + 1 if len(rows) else 0
             return out
 
         for b in batches:
-            for doc_id, x in zip(b.column("doc_id").to_pylist(), encoder.rows(b.column("text")), strict=True):
+            first = b.column("prompt").to_pylist() if with_prompts else [0] * b.num_rows
+            for doc_id, p, x in zip(b.column("doc_id").to_pylist(), first, encoder.rows(b.column("text")), strict=True):
                 ids.append(doc_id)
+                prompts.append(max(p or 0, 0))
                 held.append(np.concatenate([x, end]).astype("<u4"))
                 if len(held) == GROUP:
                     yield packed()
-                    ids, held = [], []
+                    ids, held, prompts = [], [], []
         if held:
             yield packed()
-        ids, held = [], []
+        ids, held, prompts = [], [], []
         give_back()
 
     return run
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 1, capacity: int = SEQUENCE_TOKENS, segments: int = SEQUENCE_SEGMENTS) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, end_id: int = 1, capacity: int = SEQUENCE_TOKENS, segments: int = SEQUENCE_SEGMENTS, prompt: str | None = None, loss: int | None = None
+) -> DataFrame:
     """Packs the ids of ``docs`` (doc_id, text), each document ended by ``end_id``, into sequences.
 
-    Returns a row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. All tokens bear loss.
+    Returns a row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. ``prompt`` names a column
+    of ``docs`` that says how many first tokens of a document bear no loss (null or negative: none; more than it has:
+    all), and adds loss_tokens, those of the piece that do; without it all tokens bear loss. ``loss`` is the most
+    loss-bearing tokens of a sequence (default: as many as tokens).
     Null or empty text is the end id alone. Repeated rows and rows without a doc_id are packed like any other; sequence
     ids are unique, not gapless. Other columns are ignored. A task that runs again gives the same pieces and ids.
     """
-    return docs.select("doc_id", "text").mapInArrow(_packed(path, end_id, capacity, segments), ddl(PACKED))
+    if min(capacity, segments, capacity if loss is None else loss) < 1:
+        raise ValueError("limits must be positive")
+    prompts = [] if prompt is None else [F.col(prompt).cast("bigint").alias("prompt")]
+    run = _packed(path, end_id, capacity, segments, loss, bool(prompts))
+    return docs.select("doc_id", "text", *prompts).mapInArrow(run, ddl(PACKED_LOSS if prompts else PACKED))

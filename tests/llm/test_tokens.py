@@ -173,3 +173,30 @@ def test_pack_documents(spark, table):
         size = sum(n for _, n in rows)
         assert size == 2048 or (size < 2048 and size & (size - 1) == 0)
         assert [o for o, _ in sorted(rows)] == np.cumsum([0, *[n for _, n in sorted(rows)]])[:-1].tolist()
+
+
+@pytest.mark.parametrize("table", ["odd", "conversations"])
+def test_pack_documents_keeps_the_loss_limit(spark, table):
+    """Instruction data: the first tokens of a document are its prompt, which bears no loss."""
+    if table == "odd":
+        df = odd_documents(spark).selectExpr("doc_id", "text", "if(doc_id % 4 = 0, NULL, doc_id * 7 - 20) AS asked")
+    else:
+        turns = spark.read.parquet(f"{SF_DIR}/conversations.parquet").filter("text IS NOT NULL")
+        df = turns.selectExpr("conv_id * 1000 + turn AS doc_id", "text", "if(role = 'user', 1000000, turn % 5) AS asked")
+    library, capacity, segments, loss = tokenizer(WORDS), 64, 3, 20
+    pieces = pack_documents(df, WORDS, capacity=capacity, segments=segments, prompt="asked", loss=loss).collect()
+    expected = Counter()
+    for r in df.collect():
+        n = len(library.encode(r.text or "", add_special_tokens=False).ids) + 1
+        expected[r.doc_id, n] += np.array([n, n - min(max(r.asked or 0, 0), n)])
+    total, parts = Counter(), defaultdict(list)
+    for p in pieces:
+        total[p.doc_id, p.doc_tokens] += np.array([p.length, p.loss_tokens])
+        parts[p.sequence_id].append(p)
+    assert {k: v.tolist() for k, v in total.items()} == {k: v.tolist() for k, v in expected.items()}
+    for rows in parts.values():
+        size = sum(p.length for p in rows)
+        assert size == capacity or (size < capacity and size & (size - 1) == 0)
+        assert len(rows) <= segments and sum(p.loss_tokens for p in rows) <= loss
+    unlimited = pack_documents(df, WORDS, capacity=capacity, segments=segments).groupBy("sequence_id").sum("length")
+    assert unlimited.filter(f"`sum(length)` > {loss}").count() > 0
