@@ -2,12 +2,14 @@
 
 The pattern of the byte-level vocabularies never joins text across certain borders (a word and the white space after it,
 letters and digits, letters and punctuation away from apostrophes). Texts are cut there with numpy, the library encodes
-the distinct pieces, and their ids are put together again. Where a border is not certain, no cut is made.
+the distinct pieces, and their ids are put together again. Where a border is not certain, no cut is made. Strings of added
+tokens (<|endoftext|>) are pieces of their own, for the library takes them out of a text before all else.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -30,8 +32,8 @@ _CLASS[39] = _APOSTROPHE
 _CLASS[128:] = _UNKNOWN
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the pieces of a chunk begin. No match of the pattern crosses such a place."""
+def piece_starts(data: np.ndarray, offsets: np.ndarray, added: re.Pattern | None = None) -> np.ndarray:
+    """Where the pieces of a chunk begin. No match of the pattern crosses such a place; what ``added`` finds is whole."""
     kind = _CLASS[data]
     after = np.flatnonzero(data[:-1] == 0xC3) + 1  # U+00C0 to U+00FF: letters but for the signs of product and quotient
     letters = after[(data[after] != 0x97) & (data[after] != 0xB7)]
@@ -47,14 +49,22 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sure = ((lead(2) >= 0xC3) & (lead(2) <= 0xDF)) | ((lead(3) >= 0xE4) & (lead(3) <= 0xEF)) | ((lead(4) >= 0xF0) & (lead(4) <= 0xF4))
     begins[at[sure]] = True
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    if added and added.search(raw := data.tobytes()):
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            for found in added.finditer(raw, a, b):  # within one row
+                begins[found.start() : found.end()] = False
+                begins[found.start()] = True
+                begins[found.end() : found.end() + 1] = True
     return np.flatnonzero(begins)
 
 
 @dataclass
 class Encoder:
-    """Encodes chunks; ``encode`` gives the ids of many pieces, and is asked once per distinct piece."""
+    """Encodes chunks; ``encode`` gives the ids of many pieces, and is asked once per distinct piece. ``added`` finds the
+    strings that are tokens before all else."""
 
     encode: Callable[[list[bytes]], list]
+    added: re.Pattern | None = None
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -81,7 +91,7 @@ class Encoder:
         n = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        begins = piece_starts(data, offsets)
+        begins = piece_starts(data, offsets, self.added)
         ends = np.append(begins[1:], len(data))
         distinct, which = np.unique(span_hashes(prefix_hashes(data), begins, ends), return_inverse=True)
         if len(self.hashes) > REMEMBERED:
@@ -111,13 +121,20 @@ class Encoder:
 
 
 def tokenizer(path: str):
-    """The vocabulary in a task; strings of special tokens in a text are ordinary text."""
+    """The vocabulary in a task, as the library reads it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(path)
+
+
+def added_strings(loaded) -> re.Pattern | None:
+    """Finds the strings of added tokens in UTF-8; of several at one place the longest."""
+    tokens = loaded.get_added_tokens_decoder().values()
+    if odd := [t.content for t in tokens if t.lstrip or t.rstrip or t.single_word or (t.normalized and loaded.normalizer)]:
+        raise ValueError(f"added tokens that take more than their own string are not supported: {odd}")
+    strings = sorted({t.content.encode() for t in tokens if t.content}, key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, strings))) if strings else None
 
 
 def vocabulary_size(path: str) -> int:
@@ -131,5 +148,6 @@ def library_encoder(path: str) -> Encoder:
     """One encoder per worker process and vocabulary; it keeps what it has learnt for the next task."""
     if path not in _encoders:
         loaded = tokenizer(path)
-        _encoders[path] = Encoder(lambda pieces: [e.ids for e in loaded.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)])
+        encode = lambda pieces: [e.ids for e in loaded.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        _encoders[path] = Encoder(encode, added_strings(loaded))
     return _encoders[path]

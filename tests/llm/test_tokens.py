@@ -59,6 +59,18 @@ def test_library_encoder_equals_whole_texts():
         assert ids.tolist() == e.ids
 
 
+def test_strings_of_added_tokens_equal_the_unchanged_library():
+    from tokenizers import Tokenizer
+
+    library, end = Tokenizer.from_file(WORDS), "<|endoftext|>"
+    draw = random.Random(5)
+    parts = [end, end[:7], end[7:], "it's", " ", "  ", "\n", "x", "9", "<|", "é", "中", "<"]
+    texts = [end, f" {end} ", f"a{end}b", f"{end}{end}", end[:7], end[7:], *("".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(3000))]
+    assert library.token_to_id(end) in library.encode(f"a{end}b", add_special_tokens=False).ids
+    for text, ids in zip(texts, library_encoder(WORDS).rows(pa.array(texts)), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_forgetting_pieces_changes_nothing(monkeypatch):
     """The tasks of op3, op4 and op9 where a worker starts anew before almost every chunk."""
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
