@@ -21,6 +21,7 @@ from sessionflow.llm.language import identify
 from sessionflow.llm.line_dedup import dedup_lines
 from sessionflow.llm.ngram_join import near_duplicates
 from sessionflow.llm.packing import pack_documents
+from sessionflow.llm.sharding import shuffle_into_shards
 from sessionflow.llm.suffix_dedup import dedup_passages
 from sessionflow.llm.token_files import read_token_files, write_token_files
 from sessionflow.llm.topk import exact_top_k
@@ -95,6 +96,20 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"), shards=24)
+    text = F.coalesce("row.text", F.lit(""))
+    return found.select(
+        "row.doc_id",
+        (F.octet_length(text) + 8).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +121,7 @@ def _shipped(query):
 
 QUERIES = {
     query.__name__: _shipped(query)
-    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann)
+    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann, op13_sharding)
 }
 
 ORACLES = {
