@@ -21,6 +21,7 @@ from sessionflow.llm.language import identify
 from sessionflow.llm.line_dedup import dedup_lines
 from sessionflow.llm.ngram_join import near_duplicates
 from sessionflow.llm.packing import pack_documents
+from sessionflow.llm.periodic import collapse_runs
 from sessionflow.llm.sharding import shuffle_into_shards
 from sessionflow.llm.suffix_dedup import dedup_passages
 from sessionflow.llm.token_files import read_token_files, write_token_files
@@ -96,6 +97,39 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), those of every tenth checksum of doc_id with their words repeating from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(words):
+        n, g = F.size(words).cast("bigint"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.transform(F.sequence(a, n - 1), lambda i: words[(a + (i - a) % p).cast("int")])
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")).otherwise("")
+
+    changed = F.element_at(F.transform(F.array(words), repeated), 1)
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_runs(with_periods(documents(spark, sf_dir)))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    best = found.select("row", "runs", "text", longest.alias("longest"))
+    return best.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.floor(F.col("longest.length") * 1000 / -F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"), shards=24)
     text = F.coalesce("row.text", F.lit(""))
@@ -121,7 +155,7 @@ def _shipped(query):
 
 QUERIES = {
     query.__name__: _shipped(query)
-    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann, op13_sharding)
+    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann, op11_periodic_runs, op13_sharding)
 }
 
 ORACLES = {
