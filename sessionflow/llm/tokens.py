@@ -12,14 +12,15 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
+from sessionflow.llm.words import chunks, distinct_spans
 
 #: Distinct pieces whose ids a worker remembers; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Bytes of text cut at once.
 CHUNK = 2 << 20
 
@@ -60,30 +61,31 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, added: re.Pattern | None
 
 @dataclass
 class Encoder:
-    """Encodes chunks; ``encode`` gives the ids of many pieces, and is asked once per distinct piece. ``added`` finds the
-    strings that are tokens before all else."""
+    """Encodes chunks; ``encode`` gives the ids of many pieces, and is asked once per distinct piece, told by its bytes.
+
+    ``starts_of`` says where the pieces of a chunk begin (by default ``piece_starts``); ``added`` finds the strings that are
+    tokens before all else.
+    """
 
     encode: Callable[[list[bytes]], list]
     added: re.Pattern | None = None
-    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    starts_of: Callable[[np.ndarray, np.ndarray, re.Pattern | None], np.ndarray] = piece_starts
+    known: dict[bytes, int] = field(default_factory=dict)
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
 
     def _forget(self) -> None:
-        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.known = {}
+        self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Adds new pieces; ``hashes`` ascend."""
+    def _learn(self, pieces: list[bytes]) -> None:
         new = self.encode(pieces)
         counts = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter((i for x in new for i in x), np.uint32, int(counts.sum()))
-        at = np.searchsorted(self.hashes, hashes)
-        starts = len(self.ids) + np.cumsum(counts) - counts
-        self.hashes = np.insert(self.hashes, at, hashes)
-        self.starts = np.insert(self.starts, at, starts)
-        self.counts = np.insert(self.counts, at, counts)
+        flat = np.fromiter(chain.from_iterable(new), np.uint32, int(counts.sum()))
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
         self.ids = np.concatenate([self.ids, flat])
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,22 +93,13 @@ class Encoder:
         n = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        begins = piece_starts(data, offsets, self.added)
-        ends = np.append(begins[1:], len(data))
-        distinct, which = np.unique(span_hashes(prefix_hashes(data), begins, ends), return_inverse=True)
-        if len(self.hashes) > REMEMBERED:
+        begins = self.starts_of(data, offsets, self.added)
+        distinct, which = distinct_spans(data, np.append(begins, len(data)))
+        if len(self.known) > REMEMBERED:
             self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        known = at < len(self.hashes)
-        known[known] = self.hashes[at[known]] == distinct[known]
-        if not known.all():
-            one = np.empty(len(distinct), np.int64)
-            one[which] = np.arange(len(which))
-            one = one[~known]
-            raw = data.tobytes()
-            pieces = [raw[a:b] for a, b in zip(begins[one].tolist(), ends[one].tolist(), strict=True)]
-            self._learn(distinct[~known], pieces)
-            at = np.searchsorted(self.hashes, distinct)
+        if new := [p for p in distinct if p not in self.known]:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         starts, counts = self.starts[at][which], self.counts[at][which]
         upto = np.concatenate([[0], np.cumsum(counts)])
         ids = self.ids[np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])]
@@ -141,13 +134,17 @@ def vocabulary_size(path: str) -> int:
     return tokenizer(path).get_vocab_size()
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
 
+def library_encoder(path: str, special: bool = True) -> Encoder:
+    """One encoder per worker process and vocabulary; it keeps what it has learnt for the next task.
 
-def library_encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary; it keeps what it has learnt for the next task."""
-    if path not in _encoders:
+    Strings of special tokens in a text are those tokens, or ordinary text where ``special`` is false.
+    """
+    if (path, special) not in _encoders:
         loaded = tokenizer(path)
+        loaded.encode_special_tokens = not special
         encode = lambda pieces: [e.ids for e in loaded.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        _encoders[path] = Encoder(encode, added_strings(loaded))
-    return _encoders[path]
+        _encoders[path, special] = Encoder(encode, added_strings(loaded) if special else None)
+    return _encoders[path, special]

@@ -1,7 +1,8 @@
 """Words, shingles and lines of whole text columns as 64-bit hashes, computed on Arrow buffers with numpy.
 
-A polynomial prefix sum over the bytes of a chunk gives the hash of any span as one subtraction and one multiplication,
-so no Python object is made per word. Two words differ in their hash unless 64 bits collide.
+The words of a chunk are told apart by their bytes, and each distinct one is hashed by itself (XXH3), so that no Python
+object is made per word. Polynomial prefix sums give the hash of any span of bytes at once, but modulo a power of two they
+collide on regular texts: they only choose where to look.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from sessionflow.llm.frames import give_back
 
@@ -33,9 +35,9 @@ _LOW, _LOW_INVERSE = _powers(_BASE, _BLOCK), _powers(_INVERSE, _BLOCK)
 _STEP, _STEP_INVERSE = pow(_BASE, _BLOCK, 1 << 64), pow(_INVERSE, _BLOCK, 1 << 64)
 _random = np.random.default_rng(20240611)
 BYTES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: The same table with A-Z read as a-z.
-LOWER_BYTES = BYTES.copy()
-LOWER_BYTES[65:91] = BYTES[97:123]
+#: A-Z read as a-z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] = LOWER[97:123]
 #: space, and \x09 to \x0D
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -49,12 +51,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def prefix_hashes(data: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
-    """Sums of table[byte] * base^position before every position."""
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """Sums of BYTES[byte] * base^position before every position."""
     n = len(data)
     out = np.empty(n + 1, np.uint64)
     out[0] = 0
-    values = table[data]
+    values = BYTES[data]
     factor = 1
     for start in range(0, n, _BLOCK):
         part = values[start : start + _BLOCK]
@@ -113,6 +115,23 @@ def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(begins), np.flatnonzero(ends)
 
 
+def distinct_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct spans of ``data`` between neighbouring bounds, and which of them each span is."""
+    kind, width = (pa.binary(), np.int32) if len(data) < 1 << 31 else (pa.large_binary(), np.int64)
+    parts = [None, pa.py_buffer(np.ascontiguousarray(bounds, width)), pa.py_buffer(np.ascontiguousarray(data))]
+    found = pa.Array.from_buffers(kind, len(bounds) - 1, parts).dictionary_encode()
+    return found.dictionary.to_pylist(), np.asarray(found.indices).astype(np.int64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of the lower-cased words of a chunk, which stand at ``starts`` to ``ends``."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lowered = LOWER[data[~SPACE[data]]]
+    distinct, which = distinct_spans(lowered, np.concatenate([[0], np.cumsum(ends - starts)]))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[which]
+
+
 @dataclass
 class Sets:
     """Sets of 64-bit tokens one after another: set i is flat[starts[i]:starts[i + 1]], distinct and ascending."""
@@ -150,7 +169,7 @@ def shingle_sets(column: pa.Array) -> Iterator[Sets]:
     """Per row the distinct shingles of five lower-cased words; shorter texts give one shingle of all their words."""
     for first, data, offsets in chunks(column):
         starts, ends = _word_spans(data, offsets)
-        words = span_hashes(prefix_hashes(data, LOWER_BYTES), starts, ends)
+        words = word_hashes(data, starts, ends)
         n_rows = len(offsets) - 1
         row = np.searchsorted(offsets, starts, "right") - 1
         per_row = np.bincount(row, minlength=n_rows)
@@ -171,7 +190,7 @@ def line_sets(column: pa.Array) -> Iterator[Sets]:
     """Per line (text between line feeds) with a word, the distinct lower-cased words; ``unit`` is the line's number."""
     for first, data, offsets in chunks(column):
         starts, ends = _word_spans(data, offsets)
-        tokens = span_hashes(prefix_hashes(data, LOWER_BYTES), starts, ends)
+        tokens = word_hashes(data, starts, ends)
         feeds = np.flatnonzero(data == 10)
         row = np.searchsorted(offsets, starts, "right") - 1
         line = np.searchsorted(feeds, starts) - np.searchsorted(feeds, offsets[:-1])[row]
