@@ -14,6 +14,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionflow.llm.align import align
 from sessionflow.llm.ann import nearest
 from sessionflow.llm.bpe import encode_decode
 from sessionflow.llm.frames import table
@@ -130,6 +131,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"), shards=24)
     text = F.coalesce("row.text", F.lit(""))
@@ -155,7 +161,7 @@ def _shipped(query):
 
 QUERIES = {
     query.__name__: _shipped(query)
-    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann, op11_periodic_runs, op13_sharding)
+    for query in (op1_warc, op2_ngram_join, op3_bpe, op4_token_files, op5_suffix_dedup, op6_line_dedup, op7_language, op8_top_k, op9_packing, op10_ann, op11_periodic_runs, op12_alignment, op13_sharding)
 }
 
 ORACLES = {
