@@ -153,3 +153,26 @@ def _assign_by_window(events: DataFrame, user: str, gap_seconds: int) -> DataFra
         .withColumn("session_start_us", F.max(F.when(F.col("_new"), F.col("_us"))).over(by_time))
         .drop("_us", "_new")
     )
+
+
+def assign_from_sessions(
+    events: DataFrame, sessions: DataFrame, user: str = "user_id", gap_seconds: int = 8 * 3600, skew: SkewPolicy | None = DEFAULT_SKEW
+) -> DataFrame:
+    """The events of stored sessions (user, first_us, last_us) with session_no (from 1 per user) and session_start_us.
+
+    All events of a user in one gap-wide bucket belong to one session, so a session is found by an equality join on its
+    buckets. Events of sessions that are not stored are left out.
+    """
+    by_start = Window.partitionBy(user).orderBy("first_us")
+    step = F.lit(gap_seconds * 1_000_000).cast("bigint")
+    numbered = sessions.withColumn("session_no", F.row_number().over(by_start).cast("long"))
+    buckets = numbered.select(
+        user,
+        F.col("first_us").alias("session_start_us"),
+        F.col("last_us").alias("_last"),
+        "session_no",
+        F.explode(F.sequence(_gap_bucket(F.col("first_us"), gap_seconds), _gap_bucket(F.col("last_us"), gap_seconds), step)).alias("_bucket"),
+    )
+    us = F.unix_micros("event_time")
+    joined = lookup_join(events.withColumn("_bucket", _gap_bucket(us, gap_seconds)), buckets, [user, "_bucket"], "inner", skew)
+    return joined.filter(us.between(F.col("session_start_us"), F.col("_last"))).drop("_bucket", "_last")

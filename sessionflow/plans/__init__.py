@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from sessionflow.plans import catalog, events, profiles, recommendations, sessions, streams
+    from sessionflow.plans import catalog, events, profiles, recommendations, sessions, stateful, streams
 
-    return (events, sessions, recommendations, catalog, profiles, streams)
+    return (events, sessions, recommendations, catalog, profiles, streams, stateful)
 
 
 def _in_utc(query: Query) -> Query:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sessionflow.operators.recommend import DEFAULT_TOP_N
+from sessionflow.operators.recommend import DEFAULT_TOP_N, enrich_sessions
 from sessionflow.sources import events as E
-from sessionflow.streaming import metrics, recommendations, sessions, sinks
+from sessionflow.streaming import documents, metrics, recommendations, sessions, sinks
 
 # Fixed value: trigger of the main queries.
 EVERY = {"processingTime": "20 seconds"}
@@ -64,7 +64,9 @@ def start_job(
 
     Tables below ``folder``: session_lists (track lists in slices), sessions (final windows), recommendations,
     quarantine (messages that are unreadable or have no readable time, with their text) and event_counts (a row per
-    batch). Each has a folder per micro-batch.
+    batch). Each has a folder per micro-batch. Besides there are two document stores, upserted by key: session_documents
+    (a document per user, session and window) and recommendation_documents (the newest per user and session); read them with
+    ``session_documents`` and ``recommendation_documents``.
     """
     everything = E.with_event_time(E.decode(messages))
     decoded = E.valid_events(E.decode(messages))
@@ -72,7 +74,12 @@ def start_job(
 
     def store_sessions(pieces: DataFrame, batch_id: int) -> None:
         stored = sinks.write_and_reread(pieces, batch_id, f"{folder}/session_lists")
-        sinks.write_batch(sessions.sessions_of_pieces(stored), batch_id, f"{folder}/sessions")
+        final = sinks.write_and_reread(sessions.sessions_of_pieces(stored), batch_id, f"{folder}/sessions")
+        documents.upsert(final, batch_id, f"{folder}/session_documents")
+
+    def store_recommendations(batch: DataFrame, batch_id: int) -> None:
+        made = recommendations.recommend_batch(batch, batch_id, f"{folder}/recommendations", top_n)
+        documents.upsert(made, batch_id, f"{folder}/recommendation_documents")
 
     def store_rejected(batch: DataFrame, batch_id: int) -> None:
         rejected = F.col(E.CORRUPT).isNotNull() | F.col("event_time").isNull()
@@ -83,8 +90,23 @@ def start_job(
     return Job(
         folder,
         sinks.start(windows, store_sessions, f"{folder}/checkpoints/sessions", trigger=trigger),
-        recommendations.start_recommendations(
-            E.plays_of(decoded), f"{folder}/recommendations", f"{folder}/checkpoints/recommendations", top_n, trigger
-        ),
+        sinks.start(E.plays_of(decoded), store_recommendations, f"{folder}/checkpoints/recommendations", trigger=trigger),
         sinks.start(everything, store_rejected, f"{folder}/checkpoints/quarantine", trigger=trigger),
     )
+
+
+def session_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The final session windows that the job below ``folder`` has stored, one document per user, session and window."""
+    schema = spark.read.parquet(f"{folder}/sessions").drop("batch_id").schema
+    return documents.read_documents(spark, f"{folder}/session_documents", schema, sessions.KEYS)
+
+
+def recommendation_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest recommendation of every user and session."""
+    schema = spark.read.parquet(f"{folder}/recommendations").drop("batch_id").schema
+    return documents.read_documents(spark, f"{folder}/recommendation_documents", schema, ("user_id", "session_id"))
+
+
+def job_enriched_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The job's session windows with the track recommended for their session."""
+    return enrich_sessions(session_documents(spark, folder), recommendation_documents(spark, folder))

@@ -8,17 +8,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sessionflow.operators.recommend import DEFAULT_TOP_N, enrich_sessions, generate_recommendations
 from sessionflow.operators.skew import policy_for
+from sessionflow.storage import hand_off
 from sessionflow.streaming import sinks
 
 
-def recommend_batch(plays: DataFrame, batch_id: int, folder: str, top_n: int = DEFAULT_TOP_N) -> None:
-    """Store the recommendations of one micro-batch. The batch is kept while the plan reads it several times."""
-    plays.persist()
-    try:
-        recommendations = generate_recommendations(plays, top_n=top_n, skew=policy_for(plays))
-        sinks.write_batch(recommendations, batch_id, folder)
-    finally:
-        plays.unpersist()
+def recommend_batch(plays: DataFrame, batch_id: int, folder: str, top_n: int = DEFAULT_TOP_N) -> DataFrame:
+    """Store the recommendations of one micro-batch, and return them as stored.
+
+    The plan reads the batch several times, so it goes on from the plays written to the shared folder.
+    """
+    kept = hand_off(plays, "batch-plays")
+    return sinks.write_and_reread(generate_recommendations(kept, top_n=top_n, skew=policy_for(kept)), batch_id, folder)
 
 
 def start_recommendations(
