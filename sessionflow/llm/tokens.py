@@ -17,12 +17,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from sessionflow.llm.words import chunks, distinct_spans
+from sessionflow.llm.words import chunks, distinct_spans, short_keys
 
 #: Distinct pieces whose ids a worker remembers; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Bytes of text cut at once.
-CHUNK = 2 << 20
+CHUNK = 4 << 20
+#: Pieces of up to so many bytes are told apart as numbers.
+SHORT = 7
 
 _WHITE, _LETTER, _DIGIT, _OTHER, _APOSTROPHE, _UNKNOWN = range(6)
 _CLASS = np.full(256, _OTHER, np.uint8)
@@ -71,22 +73,46 @@ class Encoder:
     added: re.Pattern | None = None
     starts_of: Callable[[np.ndarray, np.ndarray, re.Pattern | None], np.ndarray] = piece_starts
     known: dict[bytes, int] = field(default_factory=dict)
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    places: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
 
     def _forget(self) -> None:
-        self.known = {}
+        self.known, self.keys, self.places = {}, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
+        """Encodes new pieces; returns their places among all that are known."""
         new = self.encode(pieces)
         counts = np.fromiter(map(len, new), np.int64, len(new))
         flat = np.fromiter(chain.from_iterable(new), np.uint32, int(counts.sum()))
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        first = len(self.counts)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.ids = np.concatenate([self.ids, flat])
+        return np.arange(first, first + len(pieces))
+
+    def _short(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The place of each short piece; ``keys`` ascend."""
+        keys, one, which = np.unique(short_keys(data, starts, sizes), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, keys)
+        held = at < len(self.keys)
+        held[held] = self.keys[at[held]] == keys[held]
+        if not held.all():
+            a, n = starts[one[~held]].tolist(), sizes[one[~held]].tolist()
+            places = self._learn([data[x : x + size].tobytes() for x, size in zip(a, n, strict=True)])
+            self.keys, self.places = np.insert(self.keys, at[~held], keys[~held]), np.insert(self.places, at[~held], places)
+            at = np.searchsorted(self.keys, keys)
+        return self.places[at][which]
+
+    def _long(self, data: np.ndarray, bounds: np.ndarray, long: np.ndarray) -> np.ndarray:
+        """The place of each longer piece."""
+        distinct, which = distinct_spans(data, bounds, long)
+        if new := [p for p in distinct if p not in self.known]:
+            self.known.update(zip(new, self._learn(new).tolist(), strict=True))
+        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[which]
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows of a chunk, and where each row's ids begin."""
@@ -94,13 +120,16 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
         begins = self.starts_of(data, offsets, self.added)
-        distinct, which = distinct_spans(data, np.append(begins, len(data)))
-        if len(self.known) > REMEMBERED:
+        bounds = np.append(begins, len(data))
+        sizes = np.diff(bounds)
+        if len(self.counts) > REMEMBERED:
             self._forget()
-        if new := [p for p in distinct if p not in self.known]:
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        starts, counts = self.starts[at][which], self.counts[at][which]
+        long = sizes > SHORT
+        place = np.empty(len(begins), np.int64)
+        place[~long] = self._short(data, begins[~long], sizes[~long])
+        if long.any():
+            place[long] = self._long(data, bounds, long)
+        starts, counts = self.starts[place], self.counts[place]
         upto = np.concatenate([[0], np.cumsum(counts)])
         ids = self.ids[np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(begins, offsets)]

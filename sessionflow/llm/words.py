@@ -115,11 +115,20 @@ def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(begins), np.flatnonzero(ends)
 
 
-def distinct_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct spans of ``data`` between neighbouring bounds, and which of them each span is."""
+def short_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Spans of up to seven bytes as numbers: their bytes, and their size above them."""
+    word = np.ndarray((len(data) + 1,), np.uint64, np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    sizes = sizes.astype(np.uint64)
+    inside = (np.uint64(1) << (sizes * np.uint64(8))) - np.uint64(1)
+    return (word[starts] & inside) | (sizes << np.uint64(56))
+
+
+def distinct_spans(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
+    """The distinct spans of ``data`` between neighbouring bounds, and which of them each span is; of those in ``keep``."""
     kind, width = (pa.binary(), np.int32) if len(data) < 1 << 31 else (pa.large_binary(), np.int64)
     parts = [None, pa.py_buffer(np.ascontiguousarray(bounds, width)), pa.py_buffer(np.ascontiguousarray(data))]
-    found = pa.Array.from_buffers(kind, len(bounds) - 1, parts).dictionary_encode()
+    spans = pa.Array.from_buffers(kind, len(bounds) - 1, parts)
+    found = (spans if keep is None else spans.filter(pa.array(keep))).dictionary_encode()
     return found.dictionary.to_pylist(), np.asarray(found.indices).astype(np.int64)
 
 
