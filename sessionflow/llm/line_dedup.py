@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionflow.llm.frames import give_back, hand_off
-from sessionflow.llm.set_join import Similarity, first_places, keyed, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import Similarity, first_places, keyed, once_each, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import Sets, line_sets
 
 #: Jaccard similarity of the lines' distinct words that makes the later one go.
@@ -46,22 +46,23 @@ def repeated_lines(docs: DataFrame, similarity: Similarity = SIMILARITY, min_wor
     A line goes if an earlier line, by doc_id and number, has the same set of words or a similar one. All lines of the
     input count as earlier lines, those that go as well. Lines of equal sets are one class. A class meets one
     earlier class first, for each of its frequent tokens and by the others; only where this leaves it in place it meets
-    all others that may be similar. Sets so small that only equal ones are similar to them meet no other class.
+    all others that may be similar and begin in an earlier document or the same. Sets so small that only equal ones are similar to them meet no other class.
     """
     texts, sets_of = keyed(docs), _lines(min_words)
     units, ranks, n_tokens = read_units(texts, sets_of, "lines")
     meeting = _lines(max(min_words, similarity.least_with_others))
     postings, met = shared_postings(texts, meeting, ranks, n_tokens, similarity, "lines", lean=False, limit=FREQUENT)
+    postings = hand_off(once_each(postings), "lines-entries")
     places = hand_off(first_places(units), "lines-places")
     # of the pairs found in buckets one for each later class at first
     first = met.groupBy("b").agg(F.min_by("a", F.struct("doc", "a")).alias("a")).select(*ordered(F.col("a"), F.col("b")))
     tried = hand_off(first.unionByName(pairs_with_leader(postings, similarity)).distinct(), "lines-tried")
     gone = hand_off(_later(verify(tried, units, texts, sets_of, similarity, "lines"), places), "lines-gone")
-    rest = pairs_between(postings.join(gone, "key", "left_anti"), postings, similarity, F.col("x.key") != F.col("y.key"))
-    # and of those in buckets the pairs in which a class is still in place
-    for side in ("a", "b"):
-        still = met.join(gone.withColumnRenamed("key", side), side, "left_anti")
-        rest = rest.unionByName(still.select(*ordered(F.col("a"), F.col("b"))))
+    earlier = (F.col("x.key") != F.col("y.key")) & (F.col("y.doc") <= F.col("x.doc"))
+    rest = pairs_between(postings.join(gone, "key", "left_anti"), postings, similarity, earlier)
+    # and of those in buckets the pairs whose later class is still in place
+    still = met.join(gone.withColumnRenamed("key", "b"), "b", "left_anti")
+    rest = rest.unionByName(still.select(*ordered(F.col("a"), F.col("b"))))
     rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
     gone = gone.unionByName(_later(verify(rest, units, texts, sets_of, similarity, "lines-rest"), places)).distinct()
     classes = places.select("key", F.col("doc_id").alias("first_doc"), F.col("unit").alias("first_unit"))

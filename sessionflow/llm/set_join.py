@@ -160,7 +160,9 @@ def read_units(docs: DataFrame, sets_of: SetsOf, name: str, signature: tuple[str
 def _prefixes(sets: Sets, ids: np.ndarray, ranks: np.ndarray, similarity: Similarity, lean: bool) -> dict[str, np.ndarray]:
     """Entries of the prefixes, each class once. The top 16 bits of a token are its rank, the others its hash."""
     keys = sets.keys()
-    _, first = np.unique(keys, return_index=True)
+    by_doc = np.argsort(ids[sets.row], kind="stable")
+    _, first = np.unique(keys[by_doc], return_index=True)
+    first = by_doc[first]  # of the smallest doc_id
     first = first[sets.sizes[first] > 0]
     tokens = (ranks[sets.flat >> np.uint64(64 - COUNTER_BITS)].astype(np.uint64) << np.uint64(48)) | (sets.flat & _LOW)
     starts, sizes = sets.starts[first], sets.sizes[first]
@@ -185,8 +187,9 @@ def _join(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
 
 
 def _by_token(entries: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Entries by token with each class once, the first entry of each token, and the number of each token's entries."""
-    order = np.lexsort((entries["key"], entries["token"]))
+    """Entries by token with each class once, in its smallest doc_id, the first entry of each token, and the number of each
+    token's entries."""
+    order = np.lexsort((entries["doc"], entries["key"], entries["token"]))
     entries = {c: v[order] for c, v in entries.items()}
     token, key = entries["token"], entries["key"]
     keep = np.ones(len(token), bool)
@@ -253,7 +256,7 @@ def _postings(entries: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similarity) -> np.ndarray:
     """Distinct pairs of classes that share a token here and pass the length, positional and bitmap filters: rows of the
-    class that was seen in the smaller doc_id, the other class, and that doc_id.
+    class whose smallest doc_id is smaller, the other class, and that doc_id; of one doc_id, both orders.
 
     ``count``: entries of each token, which follow each other. One step per distance between two entries of a token.
     """
@@ -268,8 +271,10 @@ def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similari
         met, other, most = x[ok], y[ok], (n[x] + n[y] - 2 * need)[ok]
         differ = sum(np.bitwise_count((entries[c][met] ^ entries[c][other]).view(np.uint64)).astype(np.int64) for c in SIGNATURE)
         met, other = met[differ <= most], other[differ <= most]
-        swap = (doc[other] < doc[met]) | ((doc[other] == doc[met]) & (key[other] < key[met]))
-        met, other = np.where(swap, other, met), np.where(swap, met, other)
+        both = doc[other] == doc[met]
+        swap = doc[other] < doc[met]
+        met, other, again = np.where(swap, other, met), np.where(swap, met, other), (other[both], met[both])
+        met, other = np.concatenate([met, again[0]]), np.concatenate([other, again[1]])
         found.append(np.stack([key[met], key[other], doc[met]], axis=1))
         step += 1
         x = x[left[x] >= step]
@@ -305,8 +310,9 @@ def _shared(similarity: Similarity, limit: int) -> Callable:
 
 def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_tokens: int, similarity: Similarity, name: str, lean: bool, limit: int) -> tuple[DataFrame, DataFrame]:
     """(token, key, n, pos, bitmap, doc): prefix entries whose token more than ``limit`` classes have; and (a, b, doc):
-    the pairs of classes that may be similar by a token of fewer, a being seen in the smaller doc_id. ``lean``: entries
-    without bitmap and doc."""
+    the pairs of classes that may be similar by a token of fewer, a having the smaller smallest doc_id; where both have the
+    same, the pair is there in both orders. ``lean``: entries without bitmap and doc, and pairs in any order. A class may
+    have several entries of one token, with the smallest doc_id that a task has seen."""
     spark = docs.sparkSession
     share = 1 - similarity.num / similarity.den
     n_buckets = max(partitions(spark), int(n_tokens * share) // BUCKET_ENTRIES)
@@ -315,6 +321,11 @@ def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_token
     return found.filter("pos >= 0"), found.filter("pos < 0").select(F.col("token").alias("a"), F.col("key").alias("b"), "doc")
 
 
+def once_each(postings: DataFrame) -> DataFrame:
+    """The postings with each class once per token, in its smallest doc_id: copies of a class come from many tasks."""
+    return postings.groupBy("token", "key", "n", "pos", *SIGNATURE).agg(F.min("doc").alias("doc"))
+
+
 def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
