@@ -35,6 +35,8 @@ DEFAULT_TEMPO = 120.0
 DEFAULT_LOUDNESS = -10.0
 DEFAULT_KEY = 0
 CHUNK_SIZE = 10_000
+#: Column with the text of a raw line that is no JSON object.
+CORRUPT = "_corrupt_record"
 
 
 def require_columns(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -50,7 +52,12 @@ def _unreadable(column: str) -> Column:
 
 
 def parse_catalog(raw: DataFrame, carry: tuple[str, ...] = ("order_key",)) -> DataFrame:
-    """Every raw row as a typed track, with ``reject_reason`` set where the row is unusable."""
+    """Every raw row as a typed track, with ``reject_reason`` set where the row is unusable.
+
+    Where ``raw`` has the text of malformed lines, so has the result, in ``line``.
+    """
+    lines = [F.col(CORRUPT).alias("line")] if CORRUPT in raw.columns else []
+    malformed = F.col(CORRUPT).isNotNull() if lines else F.lit(False)
     named = raw.withColumns(
         {"_tags": flag_tags(flag_columns(raw.columns)), "_features": audio_features(raw.columns)}
     ).withColumnsRenamed(COLUMN_NAMES)
@@ -61,7 +68,8 @@ def parse_catalog(raw: DataFrame, carry: tuple[str, ...] = ("order_key",)) -> Da
     )
     named = named.withColumn("_similar", similar_items(F.col("similar_songs")))
     reason = (
-        F.when(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUIRED]), "missing name")
+        F.when(malformed, "malformed line")
+        .when(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUIRED]), "missing name")
         .when(_unreadable("tempo"), "bad tempo")
         .when(_unreadable("loudness"), "bad loudness")
         .when(similar_is_bad(F.col("_similar")), "bad similar songs")
@@ -80,11 +88,12 @@ def parse_catalog(raw: DataFrame, carry: tuple[str, ...] = ("order_key",)) -> Da
         similar_tracks(F.col("_similar")).alias("similar_tracks"),
         F.col("_features").alias("audio_features"),
         reason.alias("reject_reason"),
+        *lines,
     )
 
 
 def clean_tracks(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "line")
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:

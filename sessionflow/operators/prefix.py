@@ -1,7 +1,7 @@
 """Running totals and dense row numbers over a whole table without sorting it in one task.
 
-The rows are cut into ranges of the order by samples of their values, and handed off with the number of their range. The
-number of ranges follows the number of rows, and uneven values get even ranges. Totals per range are tiny, their prefix
+The rows are written once, cut into ranges of the order by samples of their values, and handed off with the number of their
+range. The number of ranges follows the number of rows, and uneven values get even ranges. Totals per range are tiny, their prefix
 sums give each range its offset, and the rest is a window inside the range.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionflow.storage import hand_off
+from sessionflow.storage import hand_off, hand_off_counted
 
 #: Rows of a range, about; one task sorts them.
 RANGE_ROWS = 1_000_000
@@ -21,11 +21,15 @@ RANGE_ROWS = 1_000_000
 def running_sum(df: DataFrame, value: Column, order: Sequence[str], out: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add the sum of ``value`` over all rows before this one in ``order`` (exclusive), a total order.
 
-    The ranges are written once to the shared folder, so that all later steps and repeated tasks see the same cuts.
+    The rows are computed once, written to the shared folder and counted on the way. What fits one range is one; otherwise
+    the ranges are written as well, so that all later steps and repeated tasks see the same cuts.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = df.withColumn("_value", value.cast("long")).repartitionByRange(max(least, df.count() // range_rows), *order)
-    rows = hand_off(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    rows, n = hand_off_counted(df.withColumn("_value", value.cast("long")), "rows-to-number")
+    n_ranges = -(-n // range_rows)
+    if n_ranges <= 1:
+        whole = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(out, F.coalesce(F.sum("_value").over(whole), F.lit(0))).drop("_value")
+    rows = hand_off(rows.repartitionByRange(n_ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     # one row per range, so the window without partition keys stays small
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -36,7 +40,7 @@ def running_sum(df: DataFrame, value: Column, order: Sequence[str], out: str, ra
     )
     return (
         rows.withColumn(out, F.coalesce(F.sum("_value").over(before), F.lit(0)))
-        .join(F.broadcast(offsets), "_range")
+        .join(offsets, "_range")
         .withColumn(out, F.col(out) + F.col("_offset"))
         .drop("_offset", "_range", "_value")
     )

@@ -130,3 +130,27 @@ def weighted_pick(
         .filter((F.col("_at") >= F.col("_low")) & (F.col("_at") < F.col("_high")))
         .select(user, "pick_no", value)
     )
+
+
+def weighted_sample(weights: DataFrame, by: str, value: str, weight: str, seed: str, k: int) -> DataFrame:
+    """(by, pick_no, value): ``k`` values drawn without replacement for each ``by``, by weight, or all if there are fewer.
+
+    Every pair of ``by`` and value draws an exponential key -ln(u) / weight, and the ``k`` least keys win, which is the law of
+    draws one after another. The least keys of parts give the least of the whole, so each task sends ``k`` rows per ``by`` at
+    most. Weights that are null or not positive, and null values, take no part; ``weights`` has each value once per ``by``.
+    """
+    usable = weights.filter((F.col(weight) > 0) & F.col(value).isNotNull())
+    even = (draw(seed, F.col(by), F.col(value)) + 1) / F.lit(float(1 << 60))  # above 0, up to 1
+    least = Window.partitionBy(by).orderBy("_key", value)
+    drawn = usable.withColumn("_key", -F.log(even) / F.col(weight)).withColumn("pick_no", F.row_number().over(least))
+    return drawn.filter(F.col("pick_no") <= k).select(by, F.col("pick_no").cast("bigint").alias("pick_no"), value)
+
+
+def taste_draw(plays: DataFrame, seed: str, genres: int = PREFERRED_GENRES, emotions: int = PREFERRED_EMOTIONS, user: str = "user_id") -> DataFrame:
+    """(user, dim, pick_no, value): genres and emotions drawn for each user, by how often the user played them."""
+    parts = []
+    for dim, k in (("genre", genres), ("emotion", emotions)):
+        heard = plays.groupBy(user, dim).agg(F.count(F.lit(1)).alias("_plays"))
+        drawn = weighted_sample(heard, user, dim, "_plays", f"{seed}-{dim}", k)
+        parts.append(drawn.select(user, F.lit(dim).alias("dim"), "pick_no", F.col(dim).alias("value")))
+    return parts[0].unionByName(parts[1])

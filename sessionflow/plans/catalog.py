@@ -19,6 +19,7 @@ from sessionflow.storage import new_folder
 CHUNK = 250
 SAMPLE_MAX = 500
 SEED = "catalog"
+BROKEN = 41
 
 
 def _text(name: str, alias: str):
@@ -43,6 +44,30 @@ def catalog_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _raw_file(spark: SparkSession, sf_dir: str) -> str:
+    """The raw rows as files of JSON lines in order, without a column for it; some lines are broken."""
+    folder = new_folder(spark, "raw-file")
+    raw = B.raw_catalog(spark, sf_dir).orderBy("order_key")
+    names = [F.col(f"`{c}`") for c in raw.columns if c != "order_key"]
+    broken = F.concat(F.lit('{"song": broken '), F.col("order_key").cast("string"))
+    line = F.when(F.col("order_key") % BROKEN == 3, broken).otherwise(F.to_json(F.struct(*names)))
+    raw.select(line.alias("value")).write.text(folder)
+    return folder
+
+
+def catalog_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of raw files in order, with the text of those that are no JSON."""
+    scanned = catalogs.read_raw_lines(spark, _raw_file(spark, sf_dir), B.FLAG_COLUMNS)
+    return scanned.select(F.col("order_key").alias("line_no"), _text("song", "song"), _text(C.CORRUPT, "line"))
+
+
+def catalog_file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index that the catalog job makes of raw files."""
+    folder = new_folder(spark, "catalog-job")
+    catalogs.prepare_catalog_files(spark, _raw_file(spark, sf_dir), folder, B.FLAG_COLUMNS, CHUNK)
+    return catalogs.read_index(spark, folder)
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.parse_catalog(B.raw_catalog(spark, sf_dir))
 
@@ -147,6 +172,8 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "catalog_json_scan": catalog_json_scan,
+    "catalog_raw_lines": catalog_raw_lines,
+    "catalog_file_index": catalog_file_index,
     "catalog_clean": catalog_clean,
     "catalog_quarantine": catalog_quarantine,
     "catalog_union": catalog_union,
@@ -227,6 +254,18 @@ WITH {_RAW}
 SELECT order_key, coalesce(artist, '') AS artist, song, coalesce(emotion, '') AS emotion, coalesce(genre, '') AS genre,
   coalesce(tempo, '') AS tempo, coalesce(key_name, '') AS key_name, coalesce(loudness, '') AS loudness,
   coalesce(similar_songs, '') AS similar_songs FROM raw""",
+    "catalog_raw_lines": f"""
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS line_no,
+  CASE WHEN p_partkey % {BROKEN} = 3 THEN '' ELSE p_name END AS song,
+  CASE WHEN p_partkey % {BROKEN} = 3 THEN '{{"song": broken ' || p_partkey ELSE '' END AS line FROM part""",
+    "catalog_file_index": f"""
+WITH {_CLEAN},
+whole AS (SELECT * FROM clean WHERE order_key % {BROKEN} <> 3),
+chunked AS (
+  SELECT *, 'tracks_chunk_' || lpad(CAST((row_number() OVER (ORDER BY order_key) - 1) // {CHUNK} + 1 AS VARCHAR), 4, '0')
+    || '.json' AS chunk_file FROM whole)
+SELECT track_id, artist, song_title, genre, emotion, chunk_file FROM chunked
+QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY order_key DESC) = 1""",
     "catalog_clean": f"""
 WITH {_CLEAN}
 SELECT order_key, track_id, artist, song_title, emotion, genre, tempo, key, loudness FROM clean""",

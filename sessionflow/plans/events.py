@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionflow.functions.times import format_iso
+from sessionflow.operators.lengths import DEFAULT_SECONDS, LEAST_PLAYS, length_sketches, merge_sketches, typical_lengths
 from sessionflow.operators.profiles import classify_play
 from sessionflow.operators.sessions import assign_sessions
+from sessionflow.operators.skew import lookup_join
 from sessionflow.plans.sql import EVENTS, PLAYS, TRACKS
 from sessionflow.sources import bindings as B
 from sessionflow.sources import events as E
@@ -86,10 +88,20 @@ def session_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def play_skip_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typical = (F.pmod("track_id", F.lit(60)) + 20).cast("int")
-    return B.events(spark, sf_dir).select(
-        "event_id", "duration_played", classify_play(F.col("duration_played"), typical).alias("outcome")
-    )
+    """Events against the typical length of their track, which the plays themselves give."""
+    skew = B.skew_of(spark, sf_dir, "events")
+    typical = typical_lengths(length_sketches(B.plays(spark, sf_dir)), B.tracks(spark, sf_dir), skew=skew)
+    joined = lookup_join(B.events(spark, sf_dir), typical, ["track_id"], "left", skew)
+    known = F.coalesce("typical", F.lit(DEFAULT_SECONDS).cast("bigint"))
+    return joined.select("event_id", "duration_played", classify_play(F.col("duration_played"), known).alias("outcome"))
+
+
+def typical_play_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typical length of every track, from sketches of two halves of the plays united."""
+    plays, tracks = B.plays(spark, sf_dir), B.tracks(spark, sf_dir)
+    halves = [length_sketches(plays.filter(F.col("event_id") % 2 == i)) for i in range(2)]
+    united = merge_sketches(halves[0].unionByName(halves[1]), "track_id")
+    return typical_lengths(united, tracks, skew=B.skew_of(spark, sf_dir, "events"))
 
 
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +123,16 @@ QUERIES = {
     "session_assign": session_assign,
     "play_skip_classify": play_skip_classify,
     "batch_metrics": batch_metrics,
+    "typical_play_lengths": typical_play_lengths,
 }
 
+_TYPICAL = f"""
+own AS (SELECT track_id, count(*) AS n, quantile_disc(duration_played, 0.5) AS med FROM plays GROUP BY track_id),
+of_genre AS (SELECT genre, quantile_disc(duration_played, 0.5) AS med FROM plays JOIN tracks USING (track_id) GROUP BY genre),
+typical AS (
+  SELECT t.track_id, CAST(coalesce(CASE WHEN o.n >= {LEAST_PLAYS} THEN o.med END, g.med, {DEFAULT_SECONDS}) AS BIGINT) AS typical
+  FROM tracks t LEFT JOIN own o USING (track_id) LEFT JOIN of_genre g USING (genre))"""
+
 _MESSAGES = EVENTS + """,
 msg AS (
   SELECT event_id AS message_id, event_id % 97 = 0 AS is_corrupt, event_id % 89 = 0 AS bad_time,
@@ -161,11 +181,15 @@ numbered AS (
 SELECT event_id, user_id, session_no, min(us) OVER (PARTITION BY user_id, session_no) AS session_start_us
 FROM numbered""",
     "play_skip_classify": f"""
-WITH {EVENTS}
+WITH {PLAYS}, {TRACKS}, {_TYPICAL}, timed AS (
+  SELECT event_id, duration_played, coalesce(typical, {DEFAULT_SECONDS}) AS typical FROM ev LEFT JOIN typical USING (track_id))
 SELECT event_id, duration_played,
-  CASE WHEN duration_played >= floor((track_id % 60 + 20) * CAST(0.7 AS DOUBLE)) THEN 'play'
-       WHEN duration_played <= least(track_id % 60 + 20, 30) THEN 'skip' ELSE 'partial' END AS outcome
-FROM ev""",
+  CASE WHEN duration_played >= floor(typical * CAST(0.7 AS DOUBLE)) THEN 'play'
+       WHEN duration_played <= least(typical, 30) THEN 'skip' ELSE 'partial' END AS outcome
+FROM timed""",
+    "typical_play_lengths": f"""
+WITH {PLAYS}, {TRACKS}, {_TYPICAL}
+SELECT track_id, typical FROM typical""",
     "batch_metrics": f"""
 WITH {_MESSAGES}
 SELECT count(*) AS messages, count(*) FILTER (is_corrupt) AS corrupt, count(*) FILTER (bad_time AND NOT is_corrupt) AS bad_time,

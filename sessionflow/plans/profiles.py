@@ -82,6 +82,12 @@ def weighted_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def taste_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two genres and one emotion per user, drawn without replacement by the user's plays of them."""
+    plays = E.enrich(B.plays(spark, sf_dir), B.tracks(spark, sf_dir), B.skew_of(spark, sf_dir, "events"))
+    return P.taste_draw(plays, TASTE_SEED)
+
+
 QUERIES = {
     "engagement_stats": engagement_stats,
     "user_profiles": user_profiles,
@@ -89,6 +95,7 @@ QUERIES = {
     "recent_exclusion": recent_exclusion,
     "candidate_pick": candidate_pick,
     "weighted_pick": weighted_pick,
+    "taste_draw": taste_draw,
 }
 
 _HEARD = f"""
@@ -164,4 +171,15 @@ drawn AS (
     AS BIGINT) % (SELECT count(*) FROM tracks) AS spot
   FROM customer CROSS JOIN (SELECT unnest([1, 2]) AS pick_no))
 SELECT user_id, CAST(pick_no AS BIGINT) AS pick_no, artist FROM drawn JOIN line ON spot >= high - w AND spot < high""",
+    "taste_draw": f"""
+WITH {_HEARD},
+counted AS (
+  SELECT user_id, 'genre' AS dim, genre AS value, 2 AS k, count(*) AS n FROM played WHERE genre IS NOT NULL GROUP BY user_id, genre
+  UNION ALL
+  SELECT user_id, 'emotion', emotion, 1, count(*) FROM played WHERE emotion IS NOT NULL GROUP BY user_id, emotion),
+keyed AS (
+  SELECT *, -ln((CAST('0x' || substr(md5(user_id || '#' || value || '#{TASTE_SEED}-' || dim), 1, 15) AS BIGINT) + 1)
+    / CAST({1 << 60} AS DOUBLE)) / n AS key FROM counted)
+SELECT user_id, dim, CAST(row_number() OVER (PARTITION BY user_id, dim ORDER BY key, value) AS BIGINT) AS pick_no, value
+FROM keyed QUALIFY pick_no <= k""",
 }

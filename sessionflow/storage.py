@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -40,3 +41,10 @@ def hand_off(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def hand_off_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The same, with the number of rows, which are counted while they are written."""
+    seen = Observation()
+    written = hand_off(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return written, seen.get["n"]

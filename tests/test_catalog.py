@@ -155,3 +155,30 @@ def test_even_sample_takes_the_quota_of_each_chunk(spark):
     assert max(per_chunk) <= 10 and len(per_chunk) == 10
     again = {r["order_key"] for r in C.even_sample(tracks.repartition(7), 95, "s").collect()}
     assert {r["order_key"] for r in got.collect()} == again
+
+
+def test_raw_files_are_numbered_by_line_and_keep_broken_ones(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    line = lambda i: '{"Artist(s)": "A%d", "song": "s%d", "Genre": "g%d"}' % (i, i, i % 3)
+    files = {"b.json": [line(i) for i in range(500, 900)], "a.json": [line(i) for i in range(500)], "c.json": ["", "not json", line(900), "[1]", '"text"', line(901), ""]}
+    for name, lines in files.items():
+        (folder / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # many splits, and small files packed together
+    try:
+        got = {r["order_key"]: r for r in catalogs.read_raw_lines(spark, str(folder), []).collect()}
+        stats = catalogs.prepare_catalog_files(spark, str(folder), str(tmp_path / "catalog"), [], 100, 5)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [got[i]["song"] for i in range(900)] == [f"s{i}" for i in range(900)]
+    assert (got[902]["song"], got[905]["song"]) == ("s900", "s901")
+    assert {i: got[i][C.CORRUPT] for i in (901, 903, 904)} == {901: "not json", 903: "[1]", 904: '"text"'}
+    assert set(range(900, 907)) - set(got) == {900, 906}  # blank lines
+    assert {(r["metric"], r["key"]): r["value"] for r in stats.collect()}[("total_tracks", "")] == 902
+    kept = catalogs.read_quarantine(spark, str(tmp_path / "catalog"))
+    assert sorted((r["order_key"], r["reject_reason"], r["line"]) for r in kept.collect()) == [(901, "malformed line", "not json"), (903, "malformed line", "[1]"), (904, "malformed line", '"text"')]
+    index = {r["track_id"]: r["chunk_file"] for r in catalogs.read_index(spark, str(tmp_path / "catalog")).collect()}
+    assert index[hashed("a250", "s250")] == "tracks_chunk_0003.json" and index[hashed("a901", "s901")] == "tracks_chunk_0010.json"
+    chunk = catalogs.read_chunk(spark, str(tmp_path / "catalog"), "tracks_chunk_0003.json")
+    assert sorted(r["order_key"] for r in chunk.collect()) == list(range(200, 300))

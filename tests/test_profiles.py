@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionflow.operators import candidates as K
+from sessionflow.operators import lengths as L
 from sessionflow.operators import profiles as P
 from sessionflow.operators.skew import SkewPolicy
 
@@ -111,3 +112,29 @@ def test_plays_without_genre_are_no_taste(spark):
     found = lambda dim, n: {r[0]: r[1] for r in P.preferences(plays, "user_id", dim, n).collect()}
     assert found("genre", 2) == {1: ["pop", "rock"], 2: []}
     assert found("emotion", 1) == {1: [], 2: []}
+
+
+def test_weighted_sample_draws_without_replacement_by_weight(spark):
+    weights = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("z", 5.0), ("none", 0.0), ("null", None), (None, 3.0)], "v string, w double")
+    many = spark.range(6000).select(F.col("id").alias("u")).join(weights)
+    got = P.weighted_sample(many, "u", "v", "w", "s", 2)
+    rows = got.collect()
+    assert len(rows) == 12000 and {r["v"] for r in rows} == {"x", "y", "z"}
+    first = {v: sum(r["v"] == v and r["pick_no"] == 1 for r in rows) / 6000 for v in "xyz"}
+    assert all(abs(first[v] - w / 8) < 0.03 for v, w in (("x", 1), ("y", 2), ("z", 5)))
+    second = sum(r["v"] == "y" and r["pick_no"] == 2 for r in rows) / 6000  # after x: 2/7, after z: 2/3
+    assert abs(second - (1 / 8 * 2 / 7 + 5 / 8 * 2 / 3)) < 0.03
+    assert {tuple(r) for r in P.weighted_sample(many.repartition(7), "u", "v", "w", "s", 2).collect()} == {tuple(r) for r in rows}
+    assert P.weighted_sample(many, "u", "v", "w", "s", 9).count() == 18000
+
+
+def test_typical_lengths_stay_within_the_rank_error_and_fall_back(spark):
+    plays = spark.range(30_000).select(F.lit(1).cast("bigint").alias("track_id"), F.pmod(F.xxhash64("id"), F.lit(10_007)).cast("int").alias("duration_played"))
+    few = spark.createDataFrame([(2, 10), (2, 20), (3, 7), (3, 8), (3, 9), (4, None)], "track_id bigint, duration_played int")
+    tracks = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, None), (6, "b")], "track_id bigint, genre string")
+    parts = [L.length_sketches(plays.filter(F.pmod("duration_played", F.lit(3)) == i)) for i in range(3)] + [L.length_sketches(few)]
+    united = L.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), "track_id")
+    typical = {r["track_id"]: r["typical"] for r in L.typical_lengths(united, tracks, skew=None).collect()}
+    rank = plays.filter(F.col("duration_played") <= typical[1]).count() / 30_000
+    assert abs(rank - 0.5) < 0.005
+    assert (typical[2], typical[3], typical[4], typical[5], typical[6]) == (9, 8, 180, 180, 9)
