@@ -1,9 +1,12 @@
 """Exact top-k search by inner product without random access.
 
-Within a block each dimension has a list of the rows, sorted by component. A query reads all lists from their better end
-a stretch at a time and sums what it meets. A row's lower bound takes the worst component of each list it was not met
-in, its upper bound the component where that list stands. Reading ends when no other row's upper bound reaches the lower
-bound of the k-th best; the scores of the rows that may still belong to the best k are then resolved.
+Within a block each dimension has a list of the rows, sorted by component. The queries of a group read all lists from their
+better end, a stretch at a time, and sum what they meet. A row's lower bound takes the worst component of each list it was
+not met in, its upper bound the component where that list stands. A query stops when no other row's upper bound reaches the
+lower bound of its k-th best; the scores of the rows that may still belong to the best k are then resolved.
+
+How far a list has been read is the same for all queries of a group, so what they have met and the bounds of all their rows
+are matrix products. One block is searched first: the k-th best there is a lower bound that all other blocks start from.
 """
 
 from __future__ import annotations
@@ -16,61 +19,64 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch
+from sessionflow.llm import vectors as blocks
+from sessionflow.llm.frames import batch, hand_off
 from sessionflow.llm.set_join import ddl
-from sessionflow.llm.vectors import best, groups, in_blocks, matrix, usable
+from sessionflow.llm.vectors import best, best_rows, groups, in_blocks, matrix, usable
 
 SCALE = 256
-#: Of a list that a query reads at first, and by how much the stretch then grows.
-FIRST_SHARE, GROWTH = 1 / 16, 2
+#: Up to which share of the lists the queries read before the bounds are compared.
+SHARES = (0.5, 0.7, 0.8, 0.9, 1.0)
+#: Queries that read together; bounds a task's memory.
+TOGETHER = 256
 FOUND = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 class Lists:
-    """The sorted lists of a block."""
+    """The sorted lists of a block. ``read`` notes the share of the lists read by each query."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # a row of ids per dimension, ascending
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
-
-    def search(self, query: np.ndarray, k: int, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows that hold the k best scores (ties included) and their scores; rows in ``skip`` take no part."""
-        n = len(self.vectors)
-        used = np.flatnonzero(query)
-        q = query[used]
-        down = q > 0  # read from the large end
-        worst = np.where(down, self.values[used, 0], self.values[used, -1]) * q
-        score, seen = np.zeros(n, np.int64), np.zeros((n, len(used)), bool)
-        depth, stretch = 0, max(1, int(n * FIRST_SHARE))
-        out = np.zeros(n, bool)
-        out[skip] = True
-        while True:
-            upto = min(n, depth + stretch)
-            for j, d in enumerate(used):
-                at = slice(n - upto, n - depth) if down[j] else slice(depth, upto)
-                ids = self.order[d, at]
-                score[ids] += self.values[d, at] * q[j]
-                seen[ids, j] = True
-            depth, stretch = upto, stretch * GROWTH
-            if depth == n:
-                may = ~out
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.values = np.take_along_axis(vectors, order, axis=0)  # each dimension ascending
+        self.place = np.empty(order.shape, np.int32)  # of every row in the list of each dimension
+        np.put_along_axis(self.place, order, np.arange(len(vectors), dtype=np.int32)[:, None], axis=0)
+        self.read: list[float] = []
+
+    def search(self, queries: np.ndarray, k: int, least: np.ndarray, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the rows that may be among its k best, with their scores, at least all that reach ``least``.
+
+        ``own``: queries x rows, rows that take no part.
+        """
+        n, out = len(self.vectors), [None] * len(queries)
+        todo = np.arange(len(queries))
+        for share in SHARES:
+            depth = min(n, int(np.ceil(n * share)))
+            up, down = np.maximum(queries[todo], 0.0), np.minimum(queries[todo], 0.0)  # read from the large end, the small end
+            met_up, met_down = self.place >= n - depth, self.place < depth
+            unseen = np.hstack([~met_up, ~met_down]).astype(np.float64)
+            score = np.hstack([up, down]) @ np.hstack([self.vectors * met_up, self.vectors * met_down]).T
+            front = np.hstack([up * self.values[n - depth], down * self.values[depth - 1]])
+            worst = np.hstack([up * self.values[0], down * self.values[-1]])
+            high, low = front @ unseen.T, worst @ unseen.T
+            high += score
+            low += score
+            high[own[todo]] = low[own[todo]] = -np.inf
+            bound = least[todo]
+            if n > k:
+                low.partition(n - k, axis=1)
+                bound = np.maximum(bound, low[:, n - k])
+            may = high >= np.maximum(bound, np.finfo(np.float64).min)[:, None]
+            stop = may.sum(axis=1) <= max(4 * k, n // 64)  # outsiders cannot qualify: the few that may are resolved
+            stop |= depth == n
+            for at in np.flatnonzero(stop).tolist():
+                ids = np.flatnonzero(may[at])
+                out[todo[at]] = ids, self.vectors[ids] @ queries[todo[at]]
+                self.read.append(depth / n)
+            todo = todo[~stop]
+            if not len(todo):
                 break
-            front = np.where(down, self.values[used, n - depth], self.values[used, depth - 1]) * q
-            unseen = ~seen
-            low, high = score + unseen @ worst, score + unseen @ front
-            low[out] = np.iinfo(np.int64).min
-            if n - len(skip) > k:
-                least = np.partition(low, n - k)[n - k]
-                may = (high >= least) & ~out
-                if may.sum() <= max(4 * k, n // 64):  # outsiders cannot qualify: resolve the few that may
-                    break
-        ids = np.flatnonzero(may)
-        scores = score[ids] if depth == n else self.vectors[ids] @ query
-        if len(ids) > k:
-            top = scores >= np.partition(scores, len(ids) - k)[len(ids) - k]
-            ids, scores = ids[top], scores[top]
-        return ids, scores
+        return out
 
 
 def _search(k: int):
@@ -81,16 +87,16 @@ def _search(k: int):
         column = lambda t, c: t.column(c).combine_chunks() if isinstance(t.column(c), pa.ChunkedArray) else t.column(c)
         a, b = column(rows, "v"), column(queries, "v")
         dims = max(int(np.diff(x.offsets.to_numpy()).max()) for x in (a, b))
-        vectors, asked = (matrix(x, dims).astype(np.int64) for x in (a, b))
-        ids = rows.column("vec_id").to_numpy()
-        by_id = np.argsort(ids, kind="stable")
-        sorted_ids, lists = ids[by_id], Lists(vectors)
-        for row, query_id, query in zip(queries.column("row").to_pylist(), queries.column("vec_id").to_pylist(), asked, strict=True):
-            own = by_id[np.searchsorted(sorted_ids, query_id, "left") : np.searchsorted(sorted_ids, query_id, "right")]
-            found, scores = lists.search(query, k, own)
-            order = np.lexsort((ids[found], -scores))[:k]
-            n = len(order)
-            yield batch(FOUND, row=[row] * n, query_id=[query_id] * n, vec_id=ids[found[order]], score=scores[order])
+        lists, asked = Lists(matrix(a, dims)), matrix(b, dims)  # whole numbers: sums in double precision are exact
+        ids, asking = rows.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
+        row, least = queries.column("row").to_numpy(), column(queries, "least").fill_null(-np.inf).to_numpy()
+        for first in range(0, len(asked), TOGETHER):
+            part = slice(first, first + TOGETHER)
+            found = lists.search(asked[part], k, least[part], asking[part, None] == ids)
+            for i, (held, scores) in enumerate(found):
+                order = np.lexsort((ids[held], -scores))[:k]
+                n = len(order)
+                yield batch(FOUND, row=[row[first + i]] * n, query_id=[asking[first + i]] * n, vec_id=ids[held[order]], score=scores[order].astype(np.int64))
 
     return run
 
@@ -104,6 +110,13 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     candidates: all of them. Other columns are ignored.
     """
     rows = usable(vectors)
-    rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * SCALE).cast("double")))
+    rows = rows.select("row", "vec_id", F.transform("v", lambda x: F.floor(x * SCALE).cast("double")).alias("v"), F.lit(None).cast("double").alias("least"))
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    return best(in_blocks(rows, queries, _search(k), ddl(FOUND)), k)
+    n_blocks = max(1, -(-rows.agg(F.count("*").alias("n")).first().n // blocks.BLOCK_ROWS))
+    first = F.pmod(F.xxhash64("row", F.lit("first")), F.lit(n_blocks)) == 0
+    begun = hand_off(in_blocks(rows.filter(first), queries, _search(k), ddl(FOUND)), "top-k-first")
+    if n_blocks == 1:
+        return best(begun, k)
+    kth = best_rows(begun, k).filter(F.col("rank") == k).select("row", F.col("score").cast("double").alias("least"))
+    bounded = queries.drop("least").join(kth, "row", "left").select(*rows.columns)
+    return best(begun.unionByName(in_blocks(rows.filter(~first), bounded, _search(k), ddl(FOUND))), k)

@@ -55,10 +55,14 @@ def in_blocks(rows: DataFrame, queries: DataFrame, search: Callable, schema: str
     return both.groupBy("deal").applyInArrow(search, schema)
 
 
-def best(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query: highest score, then smallest vec_id."""
+def best_rows(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query with their rank: highest score, then smallest vec_id."""
     order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def best(found: DataFrame, k: int) -> DataFrame:
+    return best_rows(found, k).select("query_id", "rank", "vec_id", "score")
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table, pa.Table]:
