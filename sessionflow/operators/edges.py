@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionflow.operators.skew import DEFAULT_SKEW, SkewPolicy, lookup_join, with_last, with_previous
+from sessionflow.operators.skew import DEFAULT_SKEW, HotKeys, SkewPolicy, lookup_join, with_last, with_previous
 from sessionflow.storage import hand_off
 
 
 def cooccurrence_counts(
-    plays: DataFrame, keys: Sequence[str], order: Sequence[str], skew: SkewPolicy | None = DEFAULT_SKEW
+    plays: DataFrame, keys: Sequence[str], order: Sequence[str], skew: SkewPolicy | None = DEFAULT_SKEW, hot: HotKeys | None = None
 ) -> DataFrame:
     """(last_track, track_id, pair_count): each play paired with the last track of its session.
 
@@ -20,7 +20,7 @@ def cooccurrence_counts(
     play pairs that play with itself only, which is no pair.
     """
     return (
-        with_last(plays.select(*keys, "track_id", *[c for c in order if c != "track_id"]), keys, order, "track_id", "last_track", skew)
+        with_last(plays.select(*keys, "track_id", *[c for c in order if c != "track_id"]), keys, order, "track_id", "last_track", skew, hot)
         .filter(F.col("last_track") != F.col("track_id"))
         .groupBy("last_track", "track_id")
         .agg(F.count(F.lit(1)).alias("pair_count"))

@@ -15,7 +15,7 @@ from sessionflow.operators.edges import (
 )
 from sessionflow.operators.popularity import play_counts, popularity_list, popularity_topn
 from sessionflow.operators.sessions import last_tracks
-from sessionflow.operators.skew import DEFAULT_SKEW, HotKeys, SkewPolicy, hot_keys, lookup_join
+from sessionflow.operators.skew import DEFAULT_SKEW, HotKeys, SkewPolicy, hot_keys, hot_keys_together, lookup_join
 
 DEFAULT_TOP_N = 5
 EMPTY_LIST = "array<struct<track:{0},weight:double>>"
@@ -80,16 +80,20 @@ def generate_recommendations(
     top_n: int = DEFAULT_TOP_N,
     skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> DataFrame:
-    """Recommendations for every session of ``plays``: one lazy plan, no action; empty input gives an empty result."""
+    """Recommendations for every session of ``plays``; empty input gives an empty result.
+
+    A lazy plan. With a skew policy one job over a sample of the plays looks for hot sessions and hot tracks beforehand.
+    """
     keys = list(keys)
+    hot_sessions, hot_tracks = (None, None) if skew is None else hot_keys_together(plays, [keys, ["track_id"]], skew)
     sessions = last_tracks(plays, keys, order)
-    pairs = cooccurrence_counts(plays, keys, order, skew)
+    pairs = cooccurrence_counts(plays, keys, order, skew, hot_sessions)
     recommended = recommend(
         sessions.drop("track_count"),
         edge_topn(pairs, top_n, "cooccurrence_weight"),
         popularity_topn(play_counts(plays), top_n),
         skew=skew,
-        hot=hot_last_tracks(plays, skew),
+        hot=None if hot_tracks is None else hot_tracks.renamed("last_track"),
     )
     return recommended.withColumn("timestamp", F.current_timestamp())
 

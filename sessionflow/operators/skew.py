@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Sampled rows expected per piece of a hot key: enough to tell a hot key from a cold one.
 SAMPLE_PER_PIECE = 250
@@ -113,6 +114,27 @@ def hot_keys(df: DataFrame, keys: Sequence[str], skew: SkewPolicy, order: Sequen
     return HotKeys(tuple(keys), table)
 
 
+def hot_keys_together(df: DataFrame, key_sets: Sequence[Sequence[str]], skew: SkewPolicy) -> list[HotKeys]:
+    """``hot_keys`` for several sets of key columns at once: one job over one sample of ``df``."""
+    piece = skew.piece(df)
+    fraction = min(1.0, SAMPLE_PER_PIECE / piece)
+    names = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    columns = df.select(*names)
+    sampled = columns.sample(fraction, SEED) if fraction < 1 else columns
+    slices = F.ceil(F.col("_n") / (piece * fraction)).cast("int")
+    counted = sampled.groupingSets([[F.col(c) for c in keys] for keys in key_sets], *names).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")
+    )
+    rows = counted.filter(F.col("_n") >= 0.8 * piece * fraction).select(*names, slices.alias("_slices"), "_set").collect()
+    out = []
+    for keys in key_sets:
+        number = sum((c not in set(keys)) << (len(names) - 1 - i) for i, c in enumerate(names))
+        of_set = [(*[r[c] for c in keys], r["_slices"]) for r in rows if r["_set"] == number]
+        schema = T.StructType([*[df.schema[c] for c in keys], T.StructField("_slices", T.IntegerType())])
+        out.append(HotKeys(tuple(keys), df.sparkSession.createDataFrame(of_set, schema) if of_set else None))
+    return out
+
+
 def _beside(df: DataFrame, hot: HotKeys, columns: Sequence[str]) -> DataFrame:
     """``df`` with columns of its hot key, null for every other row. Null keys count as keys."""
     names = {k: f"_hot_{i}" for i, k in enumerate(hot.keys)}
@@ -167,16 +189,25 @@ def lookup_join(
 
 
 def with_last(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, skew: SkewPolicy | None = DEFAULT_SKEW
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add the ``value`` of the last row of each key to all its rows.
+    """Add the ``value`` of the last row of each key to all its rows. ``hot`` may name the hot keys, where they are known.
 
     One shuffle by key. For the few hot keys the last value is aggregated beforehand, on the map side, and broadcast;
     their rows take part in the shuffle spread over slices.
     """
     keys = list(keys)
     last = F.max_by(value, F.struct(*order))
-    hot = HotKeys(tuple(keys), None) if skew is None else hot_keys(df, keys, skew)
+    if skew is None:
+        hot = HotKeys(tuple(keys), None)
+    elif hot is None:
+        hot = hot_keys(df, keys, skew)
     if hot.table is None:
         return df.withColumn(out, last.over(Window.partitionBy(*keys)))
     of_hot = (

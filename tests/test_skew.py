@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.operators.prefix import number_rows, running_sum
 from sessionflow.operators.skew import (
+    hot_keys_together,
     SkewPolicy,
     hot_keys,
     lookup_join,
@@ -128,3 +129,15 @@ def test_ranges_of_a_hot_key_are_even(spark):
     assert len(sizes) > 80
     assert max(r["n"] for r in sizes) < 2000
     assert all(a["hi"] < b["lo"] for a, b in zip(sizes, sizes[1:]))
+
+
+def test_hot_keys_of_several_sets_in_one_search(spark):
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 1500, F.lit(None)).otherwise(F.col("id") % 900).alias("a"), (F.col("id") % 3).cast("string").alias("b"), (F.col("id") % 2000).alias("c")
+    )
+    policy = SkewPolicy(share=10, min_rows=1)
+    sets = [["a"], ["a", "b"], ["b"], ["c"]]
+    rows = lambda hot: set() if hot.table is None else {tuple(r) for r in hot.table.collect()}
+    together = hot_keys_together(df, sets, policy)
+    assert [rows(h) for h in together] == [rows(hot_keys(df, keys, policy)) for keys in sets]
+    assert [len(rows(h)) for h in together] == [1, 3, 3, 0]
