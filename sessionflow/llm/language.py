@@ -26,7 +26,8 @@ FEATURE_BITS, GRAM = 16, 4
 ROUNDS, SMOOTHING = 8, 0.1
 #: Price of one more language in units of log(number of n-grams); n-grams overlap, so it is well above one half.
 PENALTY = 4.0
-PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+#: A language found in a text, and its share.
+FOUND = pa.struct([("lang", pa.string()), ("share", pa.float64())])
 COUNTS = pa.schema([("lang", pa.string()), ("counts", pa.binary())])
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -164,22 +165,39 @@ def _predict(model: Broadcast):
                 # letters, but too few for an n-gram: the most frequent language, without confidence
                 names = [langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
                 rows = b.slice(first, n)
-                yield batch(PREDICTED, doc_id=rows.column("doc_id"), held_out=rows.column("held_out"), lang_pred=names, score=np.clip(np.where(known, score, 0.0), 0, 1))
+                share = np.where(known[:, None], share, 0.0)
+                at = np.concatenate([[0], np.cumsum((share > 0).sum(axis=1))])
+                row, which = np.nonzero(share)
+                order = np.lexsort((which, -share[row, which], row))
+                row, which = row[order], which[order]
+                found = pa.StructArray.from_arrays([pa.array([langs[k] for k in which.tolist()], pa.string()), pa.array(share[row, which])], fields=list(FOUND))
+                columns = [rows.column("row"), rows.column("text"), rows.column("held_out"), pa.array(names, pa.string()), pa.array(np.clip(np.where(known, score, 0.0), 0, 1)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "held_out", "lang_pred", "score", "languages"])
 
     return run
 
 
-def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) per row of ``docs`` (doc_id, text, and lang to learn from).
+def with_languages(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """(row, text, held_out, lang_pred, score, languages) per row of ``docs``; row holds its columns other than text.
 
-    Learns from the rows of ``labelled`` (default: ``docs``) that are not held out, by crc32 of doc_id, and predicts from
-    the text alone. score: the share of the language in the text, or its probability where it is the only one found.
-    Null text or text without a letter: ``und`` with score 0, as are all rows where no language can be learnt. A null
-    doc_id is not held out. Repeated rows are predicted each; other columns are ignored.
+    Learns from the rows of ``labelled`` (doc_id, text, lang; default: ``docs``) that are not held out, by crc32 of doc_id,
+    and predicts from the text alone. languages lists the languages chosen for the text with their shares, largest first.
+    lang_pred is the first of them; score is its share, or its probability where it is the only one. Null text or text
+    without a letter: ``und`` with score 0 and no languages, as are all rows where no language can be learnt. A null doc_id is
+    not held out. Repeated rows are predicted each; other columns are carried along.
     """
     source = docs if labelled is None else labelled
     langs, logs = fit(source.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     model = docs.sparkSession.sparkContext.broadcast((langs, logs))  # 2^16 numbers per language
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select("doc_id", F.col("text"), held_out(F.col("doc_id")).alias("held_out"), letters.alias("letters"))
-    return rows.mapInArrow(_predict(model), ddl(PREDICTED))
+    row = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    rows = docs.select(row, "text", held_out(F.col("doc_id")).alias("held_out"), letters.alias("letters"))
+    kind = rows.schema["row"].dataType.simpleString()
+    schema = f"row {kind}, text string, held_out boolean, lang_pred string, score double, languages array<struct<lang:string,share:double>>"
+    return rows.mapInArrow(_predict(model), schema)
+
+
+def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, languages) per row of ``docs``, as ``with_languages`` has them."""
+    found = with_languages(docs.select("doc_id", "text"), docs if labelled is None else labelled)
+    return found.select("row.doc_id", "held_out", "lang_pred", "score", "languages")

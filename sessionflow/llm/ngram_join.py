@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm.components import components
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, once_each, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
@@ -24,9 +24,15 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     Null, empty or wordless text: n_shingles 0, linked with nothing. Rows without a doc_id keep their row, with
     component_id null, and link with nothing. Repeated rows are copies. Other columns are ignored.
     """
+    return _named(docs, similarity).drop("text_key").unionByName(_without_id(docs))
+
+
+def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id) of the rows with an id; the key tells apart texts of one id."""
     texts = keyed(docs)
     units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE)
     postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
+    postings = hand_off(once_each(postings), "ngram-entries")
     tried = hand_off(pairs_with_leader(postings, similarity), "ngram-tried")
     links = verify(tried, units, texts, shingle_sets, similarity, "ngram")
     roots = hand_off(components(links), "ngram-roots")
@@ -47,9 +53,9 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     classes = classes.withColumn("root", F.coalesce("root", "key"))
     named = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     names = classes.filter("n > 0").join(named, "root").select("key", "component_id")
-    found = units.filter("n > 0").join(names, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = units.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.unionByName(alone).unionByName(_without_id(docs))
+    found = units.filter("n > 0").join(names, "key").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id")
+    alone = units.filter("n = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return found.unionByName(alone)
 
 
 def _without_id(docs: DataFrame) -> DataFrame:
@@ -63,7 +69,8 @@ def _without_id(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame, similarity: Similarity = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of each group its least doc_id, and all rows without words or id.
 
-    A group's rows that repeat the least doc_id all stay.
+    A group's rows that repeat the least doc_id all stay. Of rows that share an id but not the text each goes or stays alone.
     """
-    found = near_duplicates(docs, similarity).filter("doc_id IS NOT NULL AND doc_id != component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    found = _named(docs, similarity).filter("doc_id != component_id").select("doc_id", "text_key").distinct()
+    going = found.select(F.col("doc_id").alias("_going_id"), F.col("text_key").alias("_going_key"))
+    return docs.join(going, (F.col("doc_id") == F.col("_going_id")) & (F.xxhash64("text") == F.col("_going_key")), "left_anti")

@@ -83,7 +83,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(documents(spark, sf_dir))
+    return identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,25 +159,35 @@ class _Plain:
 
 
 class _Packed:
-    """Records of a file of gzip members, one record each."""
+    """Records of a file of gzip members, of one record or of many."""
 
     def __init__(self, source):
         self.source, self.size = source, source.size()
-        self.next = 0
+        self.next, self.unpacker, self.out = 0, None, b""
 
-    def head(self) -> bytes | None:
-        if self.next >= self.size:
-            return None
+    def _open(self) -> None:
+        """Begins the member at ``next``."""
         self.at = self.next
         start = self.source.read_at(24, self.at)
-        # a member that says its length can be passed over
+        # a member that says its length holds one record and can be passed over
         self.total = struct.unpack("<I", start[16:20])[0] if len(start) == 24 and start[3] & 4 and start[12:14] == b"sl" else None
         self.unpacker, self.out = zlib.decompressobj(31), b""
-        while (end := self.out.find(b"\r\n\r\n")) < 0:
+
+    def head(self) -> bytes | None:
+        while True:
+            if self.unpacker is None:
+                if self.next >= self.size:
+                    return None
+                self._open()
+            self.out = self.out.lstrip(b"\r\n")
+            end = self.out.find(b"\r\n\r\n")
+            if end >= 0:
+                head, self.out = self.out[:end], self.out[end + 4 :]
+                return head
             if not self._more(512 if self.at == self.next else READ_BYTES):
-                raise ValueError("a record ends within its headers")
-        head, self.out = self.out[:end], self.out[end + 4 :]
-        return head
+                if self.out:
+                    raise ValueError("a record ends within its headers")
+                self.next, self.unpacker = self.at - len(self.unpacker.unused_data), None
 
     def _more(self, n: int = READ_BYTES, keep: bool = True) -> bool:
         if self.unpacker.eof:
@@ -191,22 +201,18 @@ class _Packed:
         return True
 
     def block(self, length: int, wanted: bool) -> bytes | None:
-        out = None
-        if wanted:
-            parts, n = [self.out], len(self.out)
-            while n < length:
-                if not self._more(READ_BYTES, keep=False):
-                    raise ValueError("a record ends within its block")
-                parts.append(self.out)
-                n += len(self.out)
-            out = b"".join(parts)[:length]
         if self.total and not wanted:
-            self.next += self.total
-        else:
-            while self._more(READ_BYTES, keep=False):
-                pass
-            self.next = self.at - len(self.unpacker.unused_data)
-        return out
+            self.next, self.unpacker, self.out = self.next + self.total, None, b""
+            return None
+        parts, n = [self.out], len(self.out)
+        while n < length:
+            if not self._more(READ_BYTES, keep=False):
+                raise ValueError("a record ends within its block")
+            n += len(self.out)
+            parts = [*parts, self.out] if wanted else [self.out]
+        over = n - length
+        self.out = parts[-1][len(parts[-1]) - over :]
+        return b"".join(parts)[:length] if wanted else None
 
 
 def read_records(source, packed: bool, matches, payloads: bool, verify: bool) -> Iterator[dict]:
@@ -251,10 +257,18 @@ class WarcReader(DataSourceReader):
         self.payloads = options.get("payload", "true").lower() == "true"
         self.verify = options.get("verify", "true").lower() == "true"
         self.size = int(options.get("partitionbytes", PARTITION_BYTES))
-        self.tests: list[tuple[str, tuple]] = []
+        self.tests: list[tuple[str, tuple]] = [(c, tuple(v)) for c, v in json.loads(options.get("where", "{}")).items()]
+        if odd := {c for c, _ in self.tests} - set(HEADERS):
+            raise ValueError(f"no headers: {sorted(odd)}")
+        self.push = options.get("pushfilters", "false").lower() == "true"
 
     def pushFilters(self, filters):
+        """Takes Spark's filters where the option says so. Spark keeps the reader with them, also for later uses of the same
+        frame without them, so it is for frames that are filtered once; Spark applies every filter itself as well."""
         for f in filters:
+            yield f
+            if not self.push:
+                continue
             column = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
             if column in HEADERS and isinstance(f, EqualTo) and f.value is not None:
                 self.tests.append((column, (f.value,)))
@@ -262,8 +276,6 @@ class WarcReader(DataSourceReader):
                 self.tests.append((column, tuple(v for v in f.value if v is not None)))
             elif column in HEADERS and isinstance(f, IsNotNull):
                 self.tests.append((column, ()))
-            else:
-                yield f
 
     def _matches(self, row: dict) -> bool:
         return all(row[c] in values if values else row[c] is not None for c, values in self.tests)
@@ -352,7 +364,8 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcDataSource(DataSource):
-    """Format ``warc``. Options: path; payload (false: pass over all payloads); verify (digests); partitionBytes."""
+    """Format ``warc``. Options: path; where (see ``read_warc``); payload (false: pass over all payloads); verify
+    (digests); partitionBytes; pushFilters (see ``WarcReader.pushFilters``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -386,6 +399,16 @@ def _with_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 RECORDS = "record_type string, record_id string, target_uri string, payload_digest string, refers_to string, payload_length bigint, payload binary"
 
 
+def read_warc(spark: SparkSession, path: str, where: dict[str, list[str]] | None = None, **options: str) -> DataFrame:
+    """The records of an archive of which each header in ``where`` has one of its values (an empty list: any value).
+
+    The reader tests headers first and passes over the payloads of other records. Every call loads anew, so frames with
+    different predicates do not touch one another; a frame may be filtered and reused like any other.
+    """
+    register(spark)
+    return spark.read.format("warc").options(path=path, where=json.dumps(where or {}), **options).load()
+
+
 def write_pages(pages: DataFrame, folder: str | None = None) -> str:
     """Archives ``pages`` (page_id, url, html) and returns the folder.
 
@@ -421,8 +444,7 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     Lengths of responses are measured on the payloads read, whose digests are checked; a revisit tells the length in the
     HTTP header it kept.
     """
-    register(spark)
-    records = spark.read.format("warc").option("path", folder).load()
+    records = read_warc(spark, folder, {"record_type": ["response", "revisit"]})
     page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("bigint")
     return records.filter(F.col("record_type").isin("response", "revisit")).select(
         page("record_id").alias("page_id"),

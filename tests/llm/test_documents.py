@@ -232,6 +232,72 @@ def test_mixture_of_two_languages():
     assert abs(share[1, 0] - 0.75) < 0.05
 
 
+def plain_em(prob, count, begin, rounds):
+    """Expectation-maximisation for one text, n-gram by n-gram."""
+    share = list(begin)
+    for _ in range(rounds):
+        new = [0.0] * len(share)
+        for p, c in zip(prob, count, strict=True):
+            whole = sum(s * x for s, x in zip(share, p, strict=True))
+            for k, (s, x) in enumerate(zip(share, p, strict=True)):
+                new[k] += c * s * x / whole
+        share = [x / sum(count) for x in new]
+    return share, sum(c * np.log(sum(s * x for s, x in zip(share, p, strict=True))) for p, c in zip(prob, count, strict=True))
+
+
+def test_mixtures_equal_plain_expectation_maximisation():
+    """Proportions, likelihoods and the penalised choice of languages for random texts over three languages."""
+    from sessionflow.llm import language
+
+    draw = np.random.default_rng(4)
+    logs = np.log(draw.dirichlet(np.full(40, 0.3), 3))
+    texts = [draw.choice(40, n, p=np.exp(logs[draw.integers(3)]) if n % 2 else np.exp(logs).mean(axis=0)) for n in (1, 2, 7, 30, 81, 300, 301)]
+    parts = [np.unique(t, return_counts=True) for t in texts]
+    row = np.repeat(np.arange(len(texts)), [len(f) for f, _ in parts])
+    feature, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+    chosen, alone = language.proportions(logs, row, feature, count, len(texts))
+    for i, (f, c) in enumerate(parts):
+        prob = np.exp(logs.T[f])
+        single = [float((np.log(prob[:, k]) * c).sum()) for k in range(3)]
+        full, _ = plain_em(prob, c, [1 / 3] * 3, language.ROUNDS)
+        langs, share, best = [int(np.argmax(single))], [1.0], max(single)
+        while True:
+            left = [k for k in np.argsort([-x for x in full], kind="stable") if k not in langs and full[k] > 1e-3]
+            if not left:
+                break
+            trial = [*langs, int(left[0])]
+            begin = np.maximum([full[k] for k in trial], 1e-3)
+            found, reached = plain_em(prob[:, trial], c, begin / begin.sum(), language.ROUNDS)
+            if reached - best <= language.PENALTY * np.log(c.sum() + 1.0):
+                break
+            langs, share, best = trial, found, reached
+        want = np.zeros(3)
+        want[langs] = share
+        assert np.allclose(chosen[i], want, atol=1e-9)
+        assert np.allclose(alone[i], np.exp(np.array(single) - max(single)) / np.exp(np.array(single) - max(single)).sum())
+
+
+def test_languages_come_with_their_shares(spark):
+    df = documents(spark, "/root/testdata/sf0.01").filter("doc_id < 400")
+    by_lang = {r.lang: r.text for r in df.filter("lang IS NOT NULL AND length(text) > 2000").collect()}
+    first, second = sorted(by_lang)[:2]
+    both = spark.createDataFrame([(-1, by_lang[first][:2000] + " " + by_lang[second][:1000]), (-2, by_lang[first])], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in identify(both, df).collect()}
+    assert [x.lang for x in found[-1].languages] == [first, second] and found[-1].lang_pred == first
+    assert abs(sum(x.share for x in found[-1].languages) - 1) < 1e-6 and found[-1].score == found[-1].languages[0].share
+    assert [(x.lang, x.share) for x in found[-2].languages] == [(first, 1.0)]
+
+
+def test_rows_that_share_an_id_are_judged_by_themselves(spark):
+    base = words(11, 80)
+    rows = [(1, base), (2, base), (2, words(12, 80)), (3, "12 34"), (3, words(13, 80)), (None, base), (None, "56")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = rows_of(corpus_pipeline.language(spark, docs, SF_DIR))
+    assert Counter(kept) == Counter(r for r in rows if r[1] not in ("12 34", "56"))
+    left = rows_of(corpus_pipeline.near_copies(spark, docs, SF_DIR))
+    assert Counter(left) == Counter(r for k, r in enumerate(rows) if k != 1)
+
+
 def test_pipeline_stages(spark):
     """The columns stay up to the last stage, decisions take effect, and each stage equals its operator."""
     docs = documents(spark, SF_DIR)

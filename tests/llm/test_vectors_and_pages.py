@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, differences
 from conftest import SF_DIR
 
@@ -18,7 +19,7 @@ from sessionflow.llm import vectors
 from sessionflow.llm.ann import nearest
 from sessionflow.llm.queries import ORACLES, QUERIES
 from sessionflow.llm.topk import exact_top_k
-from sessionflow.llm.warc import member, read_pages, record, read_records, register, write_pages
+from sessionflow.llm.warc import member, read_pages, read_records, read_warc, record, register, write_pages
 
 EMBEDDINGS = "vec_id bigint, embedding array<float>, label int, row int, v int, block int"
 
@@ -121,6 +122,34 @@ def test_filters_and_payloads_of_the_source(spark):
     assert load(partitionBytes="1").rdd.getNumPartitions() >= load().rdd.getNumPartitions()
 
 
+def test_frames_with_filters_can_be_used_again(spark):
+    folder = write_pages(odd_pages(spark))
+    every = read_warc(spark, folder)
+    n = every.count()
+    parts = [every.filter(F.col("record_type") == t) for t in ("response", "revisit")]
+    assert sum(p.count() for p in parts) == n == every.count() == parts[0].union(parts[1]).count()
+    chosen = [read_warc(spark, folder, {"record_type": [t]}) for t in ("response", "revisit")]
+    assert [c.count() for c in chosen] == [p.count() for p in parts]
+    assert read_warc(spark, folder, {"refers_to": []}).count() == chosen[1].count()
+    pushed = spark.read.format("warc").options(path=folder, pushFilters="true").load().filter("record_type = 'response'")
+    assert pushed.count() == parts[0].count()
+
+
+@pytest.mark.parametrize("split", [1, 2, 5])
+def test_members_of_several_records(split):
+    """Gzip archives in one stream and in members of several records, with payloads that are wanted or not."""
+    noise = np.random.default_rng(2)
+    payloads = [noise.bytes(n) for n in (0, 10, 200_000, 5, 70_000)]
+    records = [record({"record_type": "metadata" if k % 2 else "resource", "record_id": f"<urn:{k}>", "content_type": "text/plain"}, p) for k, p in enumerate(payloads)]
+    raw = b"".join(gzip.compress(b"".join(records[i : i + split])) for i in range(0, len(records), split))
+    for kinds in ({"resource"}, {"metadata"}, {"resource", "metadata"}):
+        rows = list(read_records(Counted(raw), True, lambda row: row["record_type"] in kinds, True, True))
+        want = [(f"urn:{k}", p) for k, p in enumerate(payloads) if ("metadata" if k % 2 else "resource") in kinds]
+        assert [(r["record_id"], r["payload"]) for r in rows] == want
+    with pytest.raises(ValueError):
+        list(read_records(Counted(raw[:-30]), True, lambda row: True, True, True))
+
+
 class Counted:
     """A file that counts the bytes read from it."""
 
