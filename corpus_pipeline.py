@@ -10,22 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.language import UNKNOWN, identify
+from sessionflow.llm.language import UNKNOWN, with_languages
 from sessionflow.llm.line_dedup import dedup_lines
 from sessionflow.llm.ngram_join import representatives
 from sessionflow.llm.packing import pack_documents
 from sessionflow.llm.queries import ship, vocabulary
 from sessionflow.llm.suffix_dedup import dedup_passages
 
-#: A document of which no language has this share is rejected.
-MIN_SHARE = 0.4
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with text in a language that could be learnt; without a doc_id they cannot be told apart, and go."""
+    """Documents with text in languages that could be learnt, one or several; each row is judged by itself."""
     ship(spark)
-    found = identify(docs).filter((F.col("lang_pred") == UNKNOWN) | ((F.col("score") < MIN_SHARE) & (F.col("score") > 0)))
-    return docs.filter("doc_id IS NOT NULL").join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    found = with_languages(docs).filter(F.col("lang_pred") != UNKNOWN)
+    return found.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _with_text(docs: DataFrame, found: DataFrame) -> DataFrame:
