@@ -15,13 +15,14 @@ from sessionflow.plans.sql import EVENTS, PLAYS, TRACKS, model, next_track
 from sessionflow.sources import bindings as B
 from sessionflow.sources import events as E
 from sessionflow.storage import hand_off, new_folder
-from sessionflow.streaming import delivery, documents, gap_sessions, offers, pair_model, sessions, sinks
+from sessionflow.streaming import delivery, documents, gap_sessions, metrics, offers, pair_model, sessions, sinks
 
 DELAY_US = 60_000_000
 LINGER_SECONDS = 3600
 SLICES = 4
 #: Users of whose sessions no recommendation arrives.
 WITHOUT_OFFERS = 3
+SAMPLE_SEED = "sample"
 
 
 def _slices(df: DataFrame, time: str = "event_time", like: DataFrame | None = None) -> Iterator[DataFrame]:
@@ -135,7 +136,44 @@ def stream_session_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.read_documents(spark, f"{folder}/store", schema, KEYS).select(*window_bounds(), *columns[1:])
 
 
+def stream_batch_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sample events of every micro-batch, stored twice as after a failure."""
+    folder, events, number = new_folder(spark, "samples"), B.events(spark, sf_dir), iter(range(SLICES))
+
+    def run(stream: DataFrame) -> None:
+        part = next(number)
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            for _ in range(2):
+                chosen = metrics.sample_events(batch, "event_id", SAMPLE_SEED).select("event_id", "user_id", "event_type")
+                sinks.write_batch(chosen.withColumn("slice", F.lit(part).cast("bigint")), batch_id, f"{folder}/out")
+
+        sinks.start(stream, store, f"{folder}/checkpoint", trigger=sinks.WAIT).awaitTermination()
+
+    _arrive(events, folder, run)
+    return spark.read.parquet(f"{folder}/out").select("slice", "event_id", "user_id", "event_type")
+
+
+def stream_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users, tracks and sessions by sketches stored per micro-batch, each stored twice, beside the exact counts."""
+    folder, plays = new_folder(spark, "distincts"), B.plays(spark, sf_dir)
+    columns = ["user_id", "track_id", "session_id"]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            metrics.write_distincts(batch, batch_id, f"{folder}/out", columns)
+
+    _arrive(plays, folder, lambda stream: sinks.start(stream, store, f"{folder}/checkpoint", trigger=sinks.WAIT).awaitTermination())
+    estimates = metrics.distinct_counts(spark, f"{folder}/out", columns).unpivot([], columns, "what", "estimate")
+    exact = plays.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "what", "exact")
+    error = 3 * 1.04 / 2 ** (metrics.SKETCH_BITS / 2)
+    close = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * error + 1
+    return estimates.join(exact, "what").select("what", "exact", close.alias("within_error"))
+
+
 QUERIES = {
+    "stream_batch_samples": stream_batch_samples,
+    "stream_distinct_counts": stream_distinct_counts,
     "stream_session_assign": stream_session_assign,
     "stream_gap_sessions": stream_gap_sessions,
     "stream_pair_model": stream_pair_model,
@@ -158,6 +196,17 @@ gaps AS (
   HAVING max(us) + {GAP_SECONDS}000001 <= (SELECT max(us) // 1000 * 1000 - {DELAY_US} FROM ev))"""
 
 ORACLES = {
+    "stream_batch_samples": f"""
+WITH {EVENTS},
+bounds AS (SELECT min(us) AS low, (max(us) - min(us)) // {SLICES} + 1 AS width FROM ev),
+sliced AS (SELECT ev.*, (us - low) // width AS slice FROM ev CROSS JOIN bounds)
+SELECT slice, event_id, user_id, event_type FROM sliced
+QUALIFY row_number() OVER (PARTITION BY slice ORDER BY md5(event_id || '#{SAMPLE_SEED}'), event_id) <= 3""",
+    "stream_distinct_counts": f"""
+WITH {PLAYS}
+SELECT 'user_id' AS what, count(DISTINCT user_id) AS exact, true AS within_error FROM plays
+UNION ALL SELECT 'track_id', count(DISTINCT track_id), true FROM plays
+UNION ALL SELECT 'session_id', count(DISTINCT session_id), true FROM plays""",
     "stream_session_assign": f"""
 WITH {EVENTS}, {_NUMBERED}
 SELECT event_id, user_id, session_no, first_us AS session_start_us FROM numbered JOIN gaps USING (user_id, session_no)""",

@@ -63,8 +63,8 @@ def start_job(
     """Start the session, recommendation and quarantine queries over a stream of messages.
 
     Tables below ``folder``: session_lists (track lists in slices), sessions (final windows), recommendations,
-    quarantine (messages that are unreadable or have no readable time, with their text) and event_counts (a row per
-    batch). Each has a folder per micro-batch. Besides there are two document stores, upserted by key: session_documents
+    quarantine (messages that are unreadable or have no readable time, with their text), event_counts (a row per
+    batch) and event_samples (three decoded messages per batch). Each has a folder per micro-batch. Besides there are two document stores, upserted by key: session_documents
     (a document per user, session and window) and recommendation_documents (the newest per user and session); read them with
     ``session_documents`` and ``recommendation_documents``.
     """
@@ -83,6 +83,7 @@ def start_job(
 
     def store_rejected(batch: DataFrame, batch_id: int) -> None:
         rejected = F.col(E.CORRUPT).isNotNull() | F.col("event_time").isNull()
+        sinks.write_batch(metrics.sample_events(batch, "event_id"), batch_id, f"{folder}/event_samples")
         counts = metrics.message_counts()
         metrics.write_counted(batch, batch_id, f"{folder}/quarantine", counts, f"{folder}/event_counts", rejected)
 

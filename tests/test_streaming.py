@@ -1,5 +1,7 @@
 """Watermarks, late rows, restarts, replays and metrics on file streams."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from sessionflow.operators.recommend import generate_recommendations
@@ -105,6 +107,42 @@ def test_every_batch_leaves_its_counts(spark, tmp_path):
     assert spark.read.parquet(out).count() == 12
 
 
+def test_every_progress_report_is_stored(spark, tmp_path):
+    """More batches than Spark keeps reports of; late rows and state are in them."""
+    folder, out, reports = (str(tmp_path / n) for n in ("in", "out", "reports"))
+    add_file(spark, folder, [(1, 1000)])
+    listener = metrics.StoreProgress(reports)
+    spark.streams.addListener(listener)
+    try:
+        sinks.run_to_table(sessions.session_stream(play_stream(spark, folder)), out, str(tmp_path / "checkpoint"))
+        for t in (5000, 10):  # the second is late
+            add_file(spark, folder, [(t, t)])
+            sinks.run_to_table(sessions.session_stream(play_stream(spark, folder)), out, str(tmp_path / "checkpoint"))
+        rates = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 3).load()
+        query = sinks.start(rates, lambda batch, batch_id: batch.foreach(lambda row: None), str(tmp_path / "rates"), trigger={"processingTime": "0 seconds"})
+        while (query.lastProgress or {"batchId": 0})["batchId"] < 120:
+            query.awaitTermination(1)
+        query.stop()
+    finally:
+        for _ in range(60):  # reports reach listeners by a queue
+            if len(list((tmp_path / "reports").glob("*.json"))) >= 125:
+                break
+            time.sleep(1)
+        spark.streams.removeListener(listener)
+    rows = metrics.read_progress(spark, reports).collect()
+    rated = {r["batch"]: r["rows"] for r in rows if r["query_id"] == str(query.id)}
+    assert set(range(120)) <= set(rated) and {rated[i] for i in range(120)} == {3}
+    others = [r for r in rows if r["query_id"] != str(query.id)]
+    assert sum(r["late_rows"] for r in others) == 1 and max(r["state_rows"] for r in others) >= 1
+
+
+def test_samples_of_a_batch_are_the_same_in_any_order(spark):
+    rows = spark.range(500).select(F.col("id").alias("event_id"))
+    ids = [sorted(r["event_id"] for r in metrics.sample_events(rows.repartition(n), "event_id").collect()) for n in (1, 7)]
+    assert ids[0] == ids[1] and len(ids[0]) == 3
+    assert metrics.sample_events(rows.limit(2), "event_id").count() == 2
+
+
 def test_table_stream_reads_a_file_and_a_folder(spark, tmp_path):
     folder = str(tmp_path / "table")
     add_file(spark, folder, [(1, 10), (2, 20)])
