@@ -26,8 +26,10 @@ from sessionflow.llm.frames import from_planes, give_back, hand_off, planes
 from sessionflow.llm.tokens import Encoder, library_encoder, tokenizer
 from sessionflow.llm.words import buffers, chunks
 
-#: Bytes of text aligned at once; a longer text is aligned alone.
-CHUNK = 6 << 20
+#: Bytes of text aligned at once, for which a task needs some hundred times as much; a longer text is aligned alone.
+CHUNK = 1 << 20
+#: Distinct pieces that each of the two encoders of a worker remembers.
+REMEMBERED = 300_000
 #: Tokens of A after which a text goes on in another place of the state vector.
 LANE = 256
 #: Pairs of a group from which on its ids are counted before they are paired.
@@ -68,7 +70,7 @@ def byte_level(path: str) -> tuple[Encoder, Vocabulary]:
     tokens = [b""] * loaded.get_vocab_size()
     for name, i in loaded.get_vocab().items():
         tokens[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else b""
-    return library_encoder(path, special=False), Vocabulary(tokens)
+    return library_encoder(path, special=False, remembered=REMEMBERED), Vocabulary(tokens)
 
 
 def _words_with_space(data: np.ndarray, offsets: np.ndarray, _) -> np.ndarray:
@@ -102,7 +104,7 @@ def pieces(path: str) -> tuple[Encoder, Vocabulary]:
             found = model.encode([p[1:].decode() for p in parts], num_threads=1)
             return [ids if len(p) > 1 else lone for p, ids in zip(parts, found, strict=True)]
 
-        _encoders[path] = Encoder(encode, starts_of=_words_with_space if apart else _rows_only)
+        _encoders[path] = Encoder(encode, starts_of=_words_with_space if apart else _rows_only, remembered=REMEMBERED)
     return _encoders[path], Vocabulary(tokens)
 
 

@@ -66,12 +66,13 @@ class Encoder:
     """Encodes chunks; ``encode`` gives the ids of many pieces, and is asked once per distinct piece, told by its bytes.
 
     ``starts_of`` says where the pieces of a chunk begin (by default ``piece_starts``); ``added`` finds the strings that are
-    tokens before all else.
+    tokens before all else. More than ``remembered`` pieces are forgotten (by default ``REMEMBERED``).
     """
 
     encode: Callable[[list[bytes]], list]
     added: re.Pattern | None = None
     starts_of: Callable[[np.ndarray, np.ndarray, re.Pattern | None], np.ndarray] = piece_starts
+    remembered: int | None = None
     known: dict[bytes, int] = field(default_factory=dict)
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     places: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -122,17 +123,20 @@ class Encoder:
         begins = self.starts_of(data, offsets, self.added)
         bounds = np.append(begins, len(data))
         sizes = np.diff(bounds)
-        if len(self.counts) > REMEMBERED:
+        if len(self.counts) > (REMEMBERED if self.remembered is None else self.remembered):
             self._forget()
         long = sizes > SHORT
         place = np.empty(len(begins), np.int64)
         place[~long] = self._short(data, begins[~long], sizes[~long])
         if long.any():
             place[long] = self._long(data, bounds, long)
-        starts, counts = self.starts[place], self.counts[place]
+        del bounds, sizes, long
+        counts = self.counts[place]
         upto = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.ids[np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])]
-        return ids, upto[np.searchsorted(begins, offsets)]
+        at = np.repeat(self.starts[place] - upto[:-1], counts)
+        del place, counts
+        at += np.arange(upto[-1])
+        return self.ids[at], upto[np.searchsorted(begins, offsets)]
 
     def rows(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every row in order."""
@@ -166,7 +170,7 @@ def vocabulary_size(path: str) -> int:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def library_encoder(path: str, special: bool = True) -> Encoder:
+def library_encoder(path: str, special: bool = True, remembered: int | None = None) -> Encoder:
     """One encoder per worker process and vocabulary; it keeps what it has learnt for the next task.
 
     Strings of special tokens in a text are those tokens, or ordinary text where ``special`` is false.
@@ -175,5 +179,5 @@ def library_encoder(path: str, special: bool = True) -> Encoder:
         loaded = tokenizer(path)
         loaded.encode_special_tokens = not special
         encode = lambda pieces: [e.ids for e in loaded.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        _encoders[path, special] = Encoder(encode, added_strings(loaded) if special else None)
+        _encoders[path, special] = Encoder(encode, added_strings(loaded) if special else None, remembered=remembered)
     return _encoders[path, special]

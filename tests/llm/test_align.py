@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import documents, no_documents, odd_documents
@@ -134,3 +135,22 @@ def test_the_query_covers_every_document(spark):
     found = op12_alignment(spark, SF_DIR).collect()
     assert sorted(r.doc_id for r in found) == sorted(r.doc_id for r in documents(spark, SF_DIR).collect())
     assert all(r.n_links >= r.n_groups and r.n_best <= r.n_links for r in found)
+
+
+def test_a_task_needs_little_memory_for_many_texts(monkeypatch):
+    """What numpy holds at once does not follow the bytes of a batch of rows."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(module, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    draw = np.random.default_rng(3)
+    known = np.array(["the", "of", "tokens", "alignment", "Merging", "a", "space,", "zwölf", "17", "boundaries."])
+    texts = [" ".join(known[draw.integers(0, len(known), 400)]) for _ in range(2600)]
+    rows = pa.RecordBatch.from_pydict({"row": pa.array([{"doc_id": i} for i in range(len(texts))]), "text": texts})
+    module.byte_level(A), module.pieces(B)
+    tracemalloc.start()
+    n = sum(len(b.column("rows")[0]) for b in module._blocks(A, B, "")(iter([rows])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and sum(map(len, texts)) > 5 << 20
+    assert peak < 200 << 20
