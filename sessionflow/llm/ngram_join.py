@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm.components import components
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, once_each, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, once_each, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
 SIMILARITY = Similarity(3, 4)
+#: Members of a component that meet all others at a token, and how often new ones do at most.
+HUBS, HUB_ROUNDS = 4, 2
+#: Pairs between components for each entry from which on they do.
+PAIRS_PER_ENTRY = 8
 
 
 def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text): the documents linked by similar sets.
 
     Equal sets are one class. First every class meets one leader for each shingle of its prefix; what that links forms
-    components. Then classes of different components that share a prefix shingle meet, so no link between components is
-    lost, and a large group of near copies costs a pair per member and not all pairs. Every pair is checked once.
+    components. As long as many pairs are left between components, a few members of each shingle's largest component meet
+    the others. Then classes of different components that share a prefix shingle meet, so no link between components is
+    lost, and a large group of near copies costs a few pairs per member and not all pairs. Every pair is checked once.
 
     Null, empty or wordless text: n_shingles 0, linked with nothing. Rows without a doc_id keep their row, with
     component_id null, and link with nothing. Repeated rows are copies. Other columns are ignored.
@@ -32,22 +37,27 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
     texts = keyed(docs)
     units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE)
     postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
-    postings = hand_off(once_each(postings), "ngram-entries")
-    tried = hand_off(pairs_with_leader(postings, similarity), "ngram-tried")
-    links = verify(tried, units, texts, shingle_sets, similarity, "ngram")
-    roots = hand_off(components(links), "ngram-roots")
-
-    placed = postings.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    open_tokens = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    placed = placed.drop(*SIGNATURE).join(open_tokens.select("token"), "token", "left_semi")
+    entries = hand_off(merged(once_each(postings)), "ngram-entries")
+    tried = hand_off(pairs_with_leader(entries, similarity), "ngram-tried")
+    roots = _linked(verify(tried, units, texts, shingle_sets, similarity, "ngram"), None)
+
+    for seed in range(HUB_ROUNDS):
+        placed = hand_off(_open(entries, roots), "ngram-open")
+        sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        left = sizes.select(F.sum("c").alias("entries"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2).alias("pairs")).first()
+        if (left.pairs or 0) <= PAIRS_PER_ENTRY * (left.entries or 0):
+            break
+        new = hand_off(pairs_with_hubs(placed, similarity, seed).join(tried, ["a", "b"], "left_anti"), "ngram-hubs")
+        roots = _linked(verify(new, units, texts, shingle_sets, similarity, "ngram-hub"), roots)
+        tried = tried.unionByName(new)
+
     # the entries were sent without bitmaps; what is left gets wide ones, or a group's members meet those near it in vain
+    placed = _open(entries, roots)
     bitmaps = units.filter("n > 0").select("key", *WIDE_SIGNATURE).dropDuplicates(["key"])
     placed = hand_off(placed.join(bitmaps, "key"), "ngram-open")
-    rest = pairs_between(placed, placed, similarity, F.col("x.root") < F.col("y.root"), WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti")
-    more = verify(rest, units, texts, shingle_sets, similarity, "ngram-rest")
-    # the first round's components as links, so that the second starts from stars
-    all_links = more.unionByName(roots.filter("key != root").select(F.col("root").alias("a"), F.col("key").alias("b")))
-    roots = hand_off(components(all_links), "ngram-components")
+    apart = (F.col("x.root") < F.col("y.root")) & similarity.from_first("x", "y")
+    rest = pairs_between(placed, placed, similarity, apart, WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti")
+    roots = _linked(verify(rest, units, texts, shingle_sets, similarity, "ngram-rest"), roots)
 
     classes = units.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")).join(roots, "key", "left")
     classes = classes.withColumn("root", F.coalesce("root", "key"))
@@ -58,6 +68,46 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
     return found.unionByName(alone)
 
 
+def merged(postings: DataFrame) -> DataFrame:
+    """The entries (token, key, n, pos, bitmap, doc) with all tokens that the same classes have as one, at the first of
+    their positions: near copies share most tokens of their prefixes, and would meet at each of them.
+
+    Tokens are compared by a hash over their classes. Tokens that it takes for the same by chance give more pairs, not less.
+    """
+    classes = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    shared = postings.groupBy("token").agg(F.count("*").alias("c"), *classes).filter("c > 1")
+    shared = shared.select("token", F.xxhash64("c", "h0", "h1").alias("same"))
+    named = postings.join(shared, "token").groupBy("same", "key").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("doc").alias("doc"))
+    return named.select(F.col("same").alias("token"), "key", "n", "pos", *[F.lit(0).cast("bigint").alias(c) for c in SIGNATURE], "doc")
+
+
+def _linked(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, root): the components of ``links`` and of those before, which come as links too, so that stars stay stars."""
+    if roots is not None:
+        links = links.unionByName(roots.filter("key != root").select(F.col("root").alias("a"), F.col("key").alias("b")))
+    return hand_off(components(links), "ngram-roots")
+
+
+def _open(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, key, n, pos, root) of the tokens that classes of several components have."""
+    placed = entries.select("token", "key", "n", "pos").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    return placed.join(several.select("token"), "token", "left_semi")
+
+
+def pairs_with_hubs(placed: DataFrame, similarity: Similarity, seed: int) -> DataFrame:
+    """Distinct (a, b): a few classes of each token's largest component with the token's classes of other components."""
+    drawn = [F.min(F.struct(F.xxhash64("key", F.lit(seed * HUBS + i)).alias("h"), "key", "n", "pos")).alias(f"m{i}") for i in range(HUBS)]
+    by_root = placed.groupBy("token", "root").agg(F.count("*").alias("c"), *drawn)
+    largest = by_root.groupBy("token").agg(F.max(F.struct("c", "root", *[f"m{i}" for i in range(HUBS)])).alias("l"))
+    members = F.array_distinct(F.transform(F.array(*[f"l.m{i}" for i in range(HUBS)]), lambda m: F.struct(m["key"], m["n"], m["pos"])))
+    hubs = largest.select("token", F.col("l.root").alias("root"), F.explode(members).alias("m")).select("token", "root", "m.*")
+    x, y = placed.alias("x"), hubs.alias("y")
+    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+    met = x.join(y, apart & similarity.sizes("x", "y") & similarity.from_first("x", "y"))
+    return met.select(*ordered(F.col("x.key"), F.col("y.key"))).distinct()
+
+
 def _without_id(docs: DataFrame) -> DataFrame:
     """Rows without a doc_id: their set is counted, they link with nothing."""
     rows = docs.filter("doc_id IS NULL").select(F.lit(0).cast("bigint").alias("doc_id"), "text", F.lit(0).cast("bigint").alias("text_key"))

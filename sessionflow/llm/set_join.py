@@ -78,6 +78,17 @@ class Similarity:
         both = self.num + self.den
         return (self.num * (a + b) + both - 1) // both
 
+    def sizes(self, x: str, y: str) -> Column:
+        """Length filter on two entries."""
+        n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+        return self.den * F.least(n, m) >= self.num * F.greatest(n, m)
+
+    def from_first(self, x: str, y: str) -> Column:
+        """Whether two entries can be at the first token that similar sets share: all others lie behind it in both."""
+        both = self.num + self.den
+        need = F.expr(f"({self.num} * ({x}.n + {y}.n) + {both - 1}) div {both}")
+        return F.least(*[F.col(f"{side}.n") - F.col(f"{side}.pos") for side in (x, y)]) >= need
+
     def allows(self, x: str, y: str, signature: tuple[str, ...] = SIGNATURE) -> Column:
         """Length, positional and bitmap filter on two entries of one token."""
         c = lambda side, name: F.col(f"{side}.{name}")
@@ -87,7 +98,7 @@ class Similarity:
         most = F.least(c(x, "pos"), c(y, "pos")) + 1 + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
         differ = sum((F.bit_count(c(x, s).bitwiseXOR(c(y, s))) for s in signature), F.lit(0))
         return (
-            (self.den * F.least(c(x, "n"), c(y, "n")) >= self.num * F.greatest(c(x, "n"), c(y, "n")))
+            self.sizes(x, y)
             & (most >= need)
             & (differ <= total - 2 * need)
         )

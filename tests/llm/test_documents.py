@@ -13,7 +13,7 @@ from cases import documents, no_documents, odd_documents, words
 from conftest import SF_DIR
 
 import corpus_pipeline
-from sessionflow.llm import line_dedup, suffix_dedup
+from sessionflow.llm import line_dedup, ngram_join, suffix_dedup
 from sessionflow.llm.language import identify
 from sessionflow.llm.line_dedup import dedup_lines
 from sessionflow.llm.ngram_join import near_duplicates, representatives
@@ -86,6 +86,26 @@ def test_large_groups_of_near_copies(spark):
     assert Counter(map(tuple, near_duplicates(df).collect())) == expected_components(rows)
 
 
+def test_near_copies_that_are_not_all_alike_meet_few_others(spark, monkeypatch):
+    """A group whose members are alike by way of others: neither its entries nor its pairs grow with its square."""
+    base, draw, rows = words(8, 400).split(), random.Random(9), []
+    for i in range(160):
+        changed = list(base)
+        for at in draw.sample(range(400), draw.randint(2, 8)):
+            changed[at] = f"w{i}-{at}"
+        rows.append((i, " ".join(changed)))
+    tried, entries = [], []
+    verify, with_leader = ngram_join.verify, ngram_join.pairs_with_leader
+    monkeypatch.setattr(ngram_join, "verify", lambda pairs, *rest: tried.append(pairs.count()) or verify(pairs, *rest))
+    monkeypatch.setattr(ngram_join, "pairs_with_leader", lambda found, *rest: entries.append(found.select("token").distinct().count()) or with_leader(found, *rest))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert Counter(map(tuple, near_duplicates(df).collect())) == expected_components(rows)
+    assert sum(tried) < 10 * len(rows)
+    two = [(0, " ".join(base)), (1, " ".join([*base[:399], "other"]))]  # all shingles that both have are one entry each
+    assert Counter(map(tuple, near_duplicates(spark.createDataFrame(two, df.schema)).collect())) == expected_components(two)
+    assert entries[-1] == 1
+
+
 def test_one_document_of_each_group_stays(spark):
     df = odd_documents(spark)
     kept = representatives(df)
