@@ -21,8 +21,8 @@ from sessionflow.llm.words import chunks, distinct_spans, short_keys
 
 #: Distinct pieces whose ids a worker remembers; then it starts anew.
 REMEMBERED = 1_000_000
-#: Bytes of text cut at once.
-CHUNK = 4 << 20
+#: Bytes of text cut at once; a task needs some 25 times as much for it.
+CHUNK = 3 << 19
 #: Pieces of up to so many bytes are told apart as numbers.
 SHORT = 7
 

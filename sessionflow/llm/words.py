@@ -132,7 +132,7 @@ def distinct_spans(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray | None
     parts = [None, pa.py_buffer(np.ascontiguousarray(bounds, width)), pa.py_buffer(np.ascontiguousarray(data))]
     spans = pa.Array.from_buffers(kind, len(bounds) - 1, parts)
     found = (spans if keep is None else spans.filter(pa.array(keep))).dictionary_encode()
-    return found.dictionary.to_pylist(), np.asarray(found.indices).astype(np.int64)
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(found.indices).astype(np.int64)
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -212,3 +212,18 @@ def test_pack_documents_keeps_the_loss_limit(spark, table):
         assert len(rows) <= segments and sum(p.loss_tokens for p in rows) <= loss
     unlimited = pack_documents(df, WORDS, capacity=capacity, segments=segments).groupBy("sequence_id").sum("length")
     assert unlimited.filter(f"`sum(length)` > {loss}").count() > 0
+
+
+def test_cutting_texts_needs_little_memory(monkeypatch):
+    """What numpy holds at once while a batch of many texts is encoded."""
+    import tracemalloc
+
+    monkeypatch.setattr(tokens, "_encoders", {})
+    draw = random.Random(6)
+    texts = pa.array([" ".join(draw.choices(["the", "of", "tokens", "packing", "a", "17", "sequence."], k=400)) for _ in range(3000)])
+    encoder = library_encoder(WORDS)
+    tracemalloc.start()
+    n = sum(1 for _ in encoder.rows(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 64 << 20
