@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -27,6 +26,9 @@ KEEP_SECONDS = 36 * 3600
 #: Where state lies; the processor needs this store, whatever the session's own choice.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 CHANGES = "last_track bigint, track_id bigint, change bigint"
+#: The last play, and how often each track was played.
+SESSION = "us bigint, event_id bigint, track_id bigint, tracks array<bigint>, plays array<bigint>"
+_CHANGE = Row("last_track", "track_id", "change")
 _ORDER = ("event_time", "event_id")
 
 
@@ -51,51 +53,56 @@ def combine(plays: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class SessionPairs(StatefulProcessor):
-    """Per session: plays by track and the last play; gives the changes of the pair counts."""
+    """Per session: plays by track and the last play; gives the changes of the pair counts.
+
+    Each call to the state store costs the same however little it brings, and most sessions have few tracks. So a session is
+    one value, read once and written once per batch, and has one timer, which is put off when it comes and not with each play.
+    """
 
     def __init__(self, keep_seconds: int = KEEP_SECONDS):
         self.keep_ms = keep_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "us bigint, event_id bigint, track_id bigint")
-        self.plays = handle.getMapState("plays", "track_id bigint", "n bigint")
+        self.session = handle.getValueState("session", SESSION)
+
+    def _due(self, us: int) -> int:
+        return us // 1000 + self.keep_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new: dict[int, int] = {}
-        before = self.last.get()
-        last = tuple(before) if before is not None else None
-        for frame in rows:
-            us = frame["event_time"].astype("datetime64[us]").astype("int64")
-            for at, event_id, track, n in zip(us, frame["event_id"], frame["track_id"], frame["n"], strict=True):
-                track = None if pd.isna(track) else int(track)
-                last = max(last or (at, event_id, track), (int(at), int(event_id), track), key=lambda r: r[:2])
-                if track is not None:
-                    new[track] = new.get(track, 0) + int(n)
+        before = self.session.get()
+        last = None if before is None else tuple(before[:3])
+        for row in rows:
+            last = max(last or row[-4:-1], row[-4:-1], key=lambda r: r[:2])
+            track, n = row[-2:]
+            if track is not None:
+                new[track] = new.get(track, 0) + n
         if last is None:
             return
+        held = {} if before is None else dict(zip(before[3], before[4], strict=True))
         old_track, now = (None if before is None else before[2]), last[2]
         changes = []
         if before is not None and old_track != now:
-            held = {k[0]: v[0] for k, v in self.plays.iterator()}
             changes += [(old_track, t, -n) for t, n in held.items() if old_track is not None and t != old_track]
-            changes += [(now, t, n + new.get(t, 0)) for t, n in held.items() if now is not None and t != now]
-            changes += [(now, t, n) for t, n in new.items() if now is not None and t != now and t not in held]
-        else:
-            changes += [(now, t, n) for t, n in new.items() if now is not None and t != now]
+            changes += [(now, t, n) for t, n in held.items() if now is not None and t != now]
+        changes += [(now, t, n) for t, n in new.items() if now is not None and t != now]
         for track, n in new.items():
-            seen = self.plays.getValue((track,))
-            self.plays.updateValue((track,), ((seen[0] if seen else 0) + n,))
-        self.last.update(last)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(last[0] // 1000 + self.keep_ms)
-        if changes:
-            yield pd.DataFrame(changes, columns=["last_track", "track_id", "change"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        self.plays.clear()
+            held[track] = held.get(track, 0) + n
+        self.session.update((*last, list(held), list(held.values())))
+        if before is None:
+            self.handle.registerTimer(self._due(last[0]))
+        for change in changes:
+            yield _CHANGE(*change)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        session = self.session.get()
+        if session is not None:
+            due = self._due(session[0])
+            if due > expiredTimerInfo.getExpiryTimeInMs() and due >= timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)  # it went on after the timer was set
+            else:
+                self.session.clear()
         return iter([])
 
     def close(self) -> None:
@@ -107,12 +114,14 @@ def pair_changes(plays: DataFrame, keys: Sequence[str] = ("user_id", "session_id
 
     Plays (keys, track_id, event_time, event_id) have bigint track and event ids. A session is forgotten once the watermark
     has passed its last play by ``keep_seconds``; what it added to the model stays. A play without a track counts as a last
-    play, but makes no pair, as in ``cooccurrence_counts``. State is one entry per track of a session.
+    play, but makes no pair, as in ``cooccurrence_counts``. State is one value per session, with an entry per track.
     """
     ship(plays.sparkSession)
     plays.sparkSession.conf.set(*STATE_STORE)
     watched = combine(plays.filter(F.col("event_time").isNotNull()), keys).withWatermark("event_time", delay)
-    return watched.groupBy(*keys).transformWithStateInPandas(SessionPairs(keep_seconds), CHANGES, "Update", "EventTime")
+    # the time stays for the watermark; the processor reads the last four columns
+    watched = watched.select(*keys, "event_time", F.unix_micros("event_time").alias("us"), "event_id", "track_id", "n")
+    return watched.groupBy(*keys).transformWithState(SessionPairs(keep_seconds), CHANGES, "Update", "EventTime")
 
 
 def run_pair_model(plays: DataFrame, folder: str, trigger: dict | None = None, **options) -> StreamingQuery:

@@ -95,6 +95,55 @@ def test_a_session_is_forgotten_after_its_time(spark, tmp_path):
     assert model_rows(pair_model.pair_model(spark, model)) == [(2, 1, 1), (4, 3, 1)]
 
 
+def test_a_session_that_goes_on_puts_its_timer_off(spark, tmp_path):
+    folder, model = str(tmp_path / "in"), str(tmp_path / "model")
+    play = lambda i, track, t, s="s": (i, "u", s, track, float(t))
+    arrivals = [
+        [play(1, 1, 1)],
+        [play(2, 2, 400)],
+        [play(3, 9, 700, "other")],  # the watermark of 640 has passed 501, when s would go but for its play at 400
+        [play(4, 3, 701)],
+        [play(5, 9, 1500, "other")],  # passes 1201
+        [play(6, 4, 1501)],  # begins anew
+    ]
+    for rows in arrivals:
+        pair_model.run_pair_model(arrive(spark, folder, rows), model, keep_seconds=500)
+    assert model_rows(pair_model.pair_model(spark, model)) == [(3, 1, 1), (3, 2, 1)]
+
+
+def test_a_session_costs_one_read_and_one_write_of_state_per_batch():
+    calls, stored = [], {}
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return stored.get("value")
+
+        def update(self, value):
+            calls.append("update")
+            stored["value"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    processor = pair_model.SessionPairs(100)
+    processor.init(Handle())
+    first = list(processor.handleInputRows(("u", "s"), iter([("u", "s", None, i, i, i, 1) for i in range(50)]), None))
+    assert calls == ["get", "update", "timer"]
+    assert sorted(tuple(r) for r in first) == [(49, i, 1) for i in range(49)]
+    calls.clear()
+    again = list(processor.handleInputRows(("u", "s"), iter([("u", "s", None, 60, 60, 7, 2)]), None))
+    assert calls == ["get", "update"]
+    counted = {}
+    for last, track, n in [*first, *again]:
+        counted[last, track] = counted.get((last, track), 0) + n
+    assert {k: n for k, n in counted.items() if n} == {(7, i): 1 for i in range(50) if i != 7}
+
+
 def test_each_event_passes_once(spark, tmp_path):
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     play = lambda i, t: (i, "u", "s", i, float(t + 1000))
