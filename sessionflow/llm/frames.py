@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,16 @@ def planes(values: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
-def from_planes(raw: bytes, kind: str) -> np.ndarray:
+def from_planes(raw: bytes | pa.Buffer, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def rows_of(b: pa.RecordBatch, *columns: str) -> Iterator[list[pa.Buffer]]:
+    """The bytes of binary columns row by row, where they lie."""
+    for i in range(len(b)):
+        yield [b.column(c)[i].as_buffer() for c in columns]
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

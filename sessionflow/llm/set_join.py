@@ -25,8 +25,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes
-from sessionflow.llm.words import Sets
+from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes, rows_of
+from sessionflow.llm.words import Sets, mix
 
 SetsOf = Callable[[pa.Array], Iterator[Sets]]
 
@@ -48,7 +48,8 @@ SIGNATURE = ("sig0", "sig1", "sig2", "sig3")
 #: One of 1024 bits, for sets as large as those of whole texts.
 WIDE_SIGNATURE = tuple(f"sig{i}" for i in range(16))
 TYPES = {"token": "u8", "key": "i8", "n": "u4", "pos": "u4", **{c: "i8" for c in SIGNATURE}, "doc": "i8", "many": "u1"}
-PACKED = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in TYPES]])
+#: What lean entries lack.
+WITHOUT = (*SIGNATURE, "doc")
 POSTINGS = pa.schema([(c, pa.int64()) for c in TYPES if c != "many"])
 
 
@@ -182,14 +183,12 @@ def _prefixes(sets: Sets, ids: np.ndarray, ranks: np.ndarray, similarity: Simila
     taken = similarity.prefix(sizes)
     pos = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
     rep = lambda values: np.repeat(values, taken)
-    zero = np.zeros(len(pos), np.int64)
     return {
         "token": tokens[rep(starts) + pos],
         "key": rep(keys[first]),
         "n": rep(sizes).astype(np.uint32),
         "pos": pos.astype(np.uint32),
-        **({c: zero for c in SIGNATURE} if lean else {c: rep(v[first]) for c, v in _signatures(sets).items()}),
-        "doc": zero if lean else rep(ids[sets.row[first]]),
+        **({} if lean else {c: rep(v[first]) for c, v in _signatures(sets).items()} | {"doc": rep(ids[sets.row[first]])}),
     }
 
 
@@ -200,7 +199,7 @@ def _join(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
 def _by_token(entries: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Entries by token with each class once, in its smallest doc_id, the first entry of each token, and the number of each
     token's entries."""
-    order = np.lexsort((entries["doc"], entries["key"], entries["token"]))
+    order = np.lexsort([entries[c] for c in ("doc", "key", "token") if c in entries])
     entries = {c: v[order] for c, v in entries.items()}
     token, key = entries["token"], entries["key"]
     keep = np.ones(len(token), bool)
@@ -217,8 +216,25 @@ def _by_token(entries: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np
     return entries, first, np.diff(np.append(first, len(token)))
 
 
-def _packed(bucket: int, entries: dict[str, np.ndarray]) -> dict[str, list]:
-    return {"bucket": [bucket], **{c: [planes(entries[c], t)] for c, t in TYPES.items()}}
+def packed_schema(lean: bool) -> pa.Schema:
+    return pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in TYPES if not (lean and c in WITHOUT)]])
+
+
+def _packed(bucket: int, entries: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return batch(packed_schema("doc" not in entries), bucket=[bucket], **{c: [planes(v, TYPES[c])] for c, v in entries.items()})
+
+
+def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each hash, all equally full even where only small hashes come, as least ones or those of prefixes are."""
+    return ((mix(hashes) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def group_apart(ids: np.ndarray, n_buckets: int) -> int:
+    """One of as many groups as there are buckets, numbered from -1 down, for what passes the buckets.
+
+    It depends on all ids that are sent: a frequent token, which many tasks send, doesn't bring them to one group.
+    """
+    return -1 - int(mix(ids.view(np.uint64)).sum(dtype=np.uint64) % np.uint64(n_buckets))
 
 
 def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int, limit: int) -> Iterator[pa.RecordBatch]:
@@ -227,17 +243,17 @@ def _pack(parts: list[dict[str, np.ndarray]], n_buckets: int, limit: int) -> Ite
     many = count > limit
     entries["many"] = np.zeros(len(entries["token"]), np.uint8)
     known = {c: v[np.repeat(many, count)] for c, v in entries.items()}
-    if len(known["token"]):  # spread over as many groups as there are buckets
-        yield batch(PACKED, **_packed(-1 - int(known["key"][0] % n_buckets), known))
+    if len(known["token"]):
+        yield _packed(group_apart(known["key"] + known["pos"], n_buckets), known)
     entries["many"][first] = many
     stay = ~np.repeat(many, count)
     stay[first] = True
     heads = {c: v[stay] for c, v in entries.items()}
-    bucket = (((heads["token"] & _LOW) >> np.uint64(16)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    bucket = bucket_of(heads["token"] & _LOW, n_buckets)
     order = np.argsort(bucket, kind="stable")
     heads, bucket = {c: v[order] for c, v in heads.items()}, bucket[order]
     for part in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
-        yield batch(PACKED, **_packed(int(bucket[part[0]]), {c: v[part] for c, v in heads.items()}))
+        yield _packed(int(bucket[part[0]]), {c: v[part] for c, v in heads.items()})
 
 
 def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets: int, lean: bool, limit: int) -> Callable:
@@ -262,7 +278,9 @@ def _sent(sets_of: SetsOf, ranks: Broadcast, similarity: Similarity, n_buckets:
 
 
 def _postings(entries: dict[str, np.ndarray]) -> pa.RecordBatch:
-    return batch(POSTINGS, **{c: entries[c].view(np.int64) if entries[c].dtype == np.uint64 else entries[c].astype(np.int64) for c in POSTINGS.names})
+    zero = np.zeros(0 if "doc" in entries else len(entries["token"]), np.int64)
+    column = lambda v: v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)
+    return batch(POSTINGS, **{c: column(entries.get(c, zero)) for c in POSTINGS.names})
 
 
 def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similarity) -> np.ndarray:
@@ -292,12 +310,14 @@ def _met(entries: dict[str, np.ndarray], count: np.ndarray, similarity: Similari
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
-def _shared(similarity: Similarity, limit: int) -> Callable:
+def _shared(similarity: Similarity, limit: int, lean: bool) -> Callable:
+    kinds = {c: TYPES[c] for c in packed_schema(lean).names[1:]}
+
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for b in batches:
-            for row in b.select(list(TYPES)).to_pylist():
-                entries = {c: from_planes(row[c], t) for c, t in TYPES.items()}
+            for raw in rows_of(b, *kinds):
+                entries = {c: from_planes(x, kinds[c]) for c, x in zip(kinds, raw, strict=True)}
                 if key[0].as_py() < 0:
                     yield _postings(entries)
                 else:
@@ -310,9 +330,11 @@ def _shared(similarity: Similarity, limit: int) -> Callable:
         keep = np.repeat(frequent, count) & (entries["many"] == 0)
         yield _postings({c: v[keep] for c, v in entries.items()})
         few = ~frequent & (count > 1)
-        pairs = _met({c: v[np.repeat(few, count)] for c, v in entries.items()}, count[few], similarity)
+        some = {c: v[np.repeat(few, count)] for c, v in entries.items()}
+        zero = np.zeros(len(some["token"]), np.int64)
+        pairs = _met(dict.fromkeys(WITHOUT, zero) | some, count[few], similarity)
         none = np.zeros(len(pairs), np.int64)
-        del entries, parts
+        del entries, parts, some
         give_back()
         yield batch(POSTINGS, token=pairs[:, 0], key=pairs[:, 1], n=none, pos=none - 1, doc=pairs[:, 2], **{c: none for c in SIGNATURE})
 
@@ -327,8 +349,8 @@ def shared_postings(docs: DataFrame, sets_of: SetsOf, ranks: np.ndarray, n_token
     spark = docs.sparkSession
     share = 1 - similarity.num / similarity.den
     n_buckets = max(partitions(spark), int(n_tokens * share) // BUCKET_ENTRIES)
-    sent = docs.mapInArrow(_sent(sets_of, spark.sparkContext.broadcast(ranks), similarity, n_buckets, lean, limit), ddl(PACKED))
-    found = hand_off(sent.groupBy("bucket").applyInArrow(_shared(similarity, limit), ddl(POSTINGS)), f"{name}-postings")
+    sent = docs.mapInArrow(_sent(sets_of, spark.sparkContext.broadcast(ranks), similarity, n_buckets, lean, limit), ddl(packed_schema(lean)))
+    found = hand_off(sent.groupBy("bucket").applyInArrow(_shared(similarity, limit, lean), ddl(POSTINGS)), f"{name}-postings")
     return found.filter("pos >= 0"), found.filter("pos < 0").select(F.col("token").alias("a"), F.col("key").alias("b"), "doc")
 
 

@@ -27,13 +27,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes
-from sessionflow.llm.set_join import ddl, keyed
+from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes, rows_of
+from sessionflow.llm.set_join import bucket_of, ddl, group_apart, keyed
 from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 
 LENGTH = 100
 #: Points a task gathers before it sends them; suffixes in a run; points of a bucket and suffixes of a range on average.
 FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 19, 1 << 16, 250_000, 50_000
+#: Bytes of text whose sample points are found at once; it takes some hundred bytes of memory for each.
+POINT_BYTES = 1 << 18
 #: Documents, and suffixes of each, in the sample from which the borders of the ranges are taken.
 SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 20
 
@@ -88,8 +90,10 @@ def _send(parts: list[tuple], n_buckets: int) -> Iterator[pa.RecordBatch]:
     row = lambda k, at, many: batch(POINTS, bucket=[k], gram=[planes(gram[at], "u8")], doc=[planes(doc[at], "i8")], pos=[planes(pos[at], "u4")], many=[planes(many, "u1")])
     known = np.flatnonzero(np.repeat(count > 1, count))
     if len(known):
-        yield row(-1 - int(gram[known[0]] % np.uint64(n_buckets)), known, np.zeros(len(known)))
-    bucket = ((gram[first] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)  # ascends with gram
+        yield row(group_apart(doc[known], n_buckets), known, np.zeros(len(known)))
+    bucket = bucket_of(gram[first], n_buckets)  # by another hash: those of sample points are the least of many
+    order = np.argsort(bucket, kind="stable")
+    first, count, bucket = first[order], count[order], bucket[order]
     for part in np.split(np.arange(len(first)), np.flatnonzero(np.diff(bucket)) + 1):
         yield row(int(bucket[part[0]]), first[part], count[part] > 1)
 
@@ -99,7 +103,7 @@ def _points(length: int, n_buckets: int):
         parts, held = [], 0
         for b in batches:
             ids = b.column("doc_id").to_numpy()
-            for first, data, offsets in chunks(b.column("text")):
+            for first, data, offsets in chunks(b.column("text"), POINT_BYTES):
                 row, point, _, _, gram = sample_points(data, offsets, length)
                 if len(row):
                     parts.append((gram & GRAM_BITS, ids[first + row], (point - offsets[row]).astype(np.uint32)))
@@ -126,7 +130,7 @@ def _by_doc(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
 def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = []
     for b in batches:
-        for g, d, p, m in zip(*(b.column(c).to_pylist() for c in ("gram", "doc", "pos", "many")), strict=True):
+        for g, d, p, m in rows_of(b, "gram", "doc", "pos", "many"):
             part = tuple(from_planes(raw, kind) for raw, kind in ((g, "u8"), (d, "i8"), (p, "u4"), (m, "u1")))
             if key[0].as_py() < 0:
                 yield _by_doc(part[1], part[2])
@@ -158,7 +162,7 @@ def _suffixes(b: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.n
     width = length - gram
     ids, keys = b.column("doc_id").to_numpy(), b.column("text_key").to_numpy()
     places = b.column("places")
-    for start, data, offsets in chunks(b.column("text")):
+    for start, data, offsets in chunks(b.column("text"), POINT_BYTES):
         row, point, first, last, _ = sample_points(data, offsets, length)
         if not len(row):
             continue
