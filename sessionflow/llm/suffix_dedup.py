@@ -5,7 +5,8 @@ of its least gram hash (a gram is about a third of a window). Equal windows have
 so comparing what stands around sample points finds every repeated window, with a few suffixes per hundred bytes.
 
 1. ``_points`` and ``_shared``: grams of sample points go to buckets, and points whose gram occurs once are dropped. A
-   task sends each gram once and marks it if it has more of them, so a frequent gram doesn't fill a bucket.
+   task sends each gram once and marks it if it has more of them, so a frequent gram doesn't fill a bucket. A bucket
+   gives a row per slice of the documents, and ``_gathered`` makes of a slice a row per document.
 2. ``_runs``: each remaining suffix, followed by what stands before it, is sorted within the task; of equal ones the
    first goes on and the others are known to repeat. Runs are cut at common borders and sent front-coded: each suffix as
    the length of the prefix it has in common with the one before, and the rest.
@@ -34,6 +35,8 @@ from sessionflow.llm.words import chunks, prefix_hashes, span_hashes
 LENGTH = 100
 #: Points a task gathers before it sends them; suffixes in a run; points of a bucket and suffixes of a range on average.
 FLUSH_POINTS, RUN_SUFFIXES, BUCKET_POINTS, RANGE_SUFFIXES = 1 << 19, 1 << 16, 250_000, 50_000
+#: Points of a slice of the documents at most on average, of which the shared ones come together.
+SLICE_POINTS = 1 << 21
 #: Bytes of text whose sample points are found at once; it takes some hundred bytes of memory for each.
 POINT_BYTES = 1 << 18
 #: Documents, and suffixes of each, in the sample from which the borders of the ranges are taken.
@@ -43,7 +46,8 @@ SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 20
 GRAM_BITS = np.uint64((1 << 64) - (1 << 16))
 
 POINTS = pa.schema([("bucket", pa.int64()), ("gram", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary()), ("many", pa.binary())])
-SHARED = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("n", pa.int64())])
+SHARED = pa.schema([("slice", pa.int64()), ("doc", pa.binary()), ("pos", pa.binary())])
+PLACES = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("n", pa.int64())])
 RUNS = pa.schema(
     [("range", pa.int64()), *[(c, pa.binary()) for c in ("common", "rest", "doc", "text_key", "at")], ("doc_id", pa.int64()), ("key", pa.int64()), ("spans", pa.binary())]
 )
@@ -119,34 +123,59 @@ def _points(length: int, n_buckets: int):
     return run
 
 
-def _by_doc(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(doc, kind="stable")
-    doc, pos = doc[order], pos[order]
-    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    places = [p.tobytes() for p in np.split(pos, first[1:])] if len(doc) else []
-    return batch(SHARED, doc_id=doc[first], places=places, n=[len(p) // 4 for p in places])
+def _by_slice(parts: list[tuple[np.ndarray, np.ndarray]], n_slices: int) -> pa.RecordBatch:
+    """Points as a row per slice of the documents: their number doesn't depend on that of the documents."""
+    doc, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
+    part = bucket_of(doc.view(np.uint64), n_slices)
+    order = np.lexsort((pos, doc, part))
+    doc, pos, part = doc[order], pos[order], part[order]
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    at = list(zip(first.tolist(), [*first[1:].tolist(), len(part)], strict=False))
+    return batch(SHARED, slice=part[first], doc=[planes(doc[a:z], "i8") for a, z in at], pos=[planes(pos[a:z], "u4") for a, z in at])
 
 
-def _shared(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = []
-    for b in batches:
-        for g, d, p, m in rows_of(b, "gram", "doc", "pos", "many"):
-            part = tuple(from_planes(raw, kind) for raw, kind in ((g, "u8"), (d, "i8"), (p, "u4"), (m, "u1")))
-            if key[0].as_py() < 0:
-                yield _by_doc(part[1], part[2])
-            else:
-                parts.append(part)
-    if parts:
-        gram, doc, pos, many = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.argsort(gram, kind="stable")
-        gram, doc, pos, many = gram[order], doc[order], pos[order], many[order]
-        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        count = np.diff(np.append(first, len(gram)))
-        shared = np.repeat((count > 1) | (np.maximum.reduceat(many, first) > 0), count) & (many == 0)
-        found = _by_doc(doc[shared], pos[shared])
-        del parts, gram, doc, pos, many, order, shared
-        give_back()
-        yield found
+def _shared(n_slices: int):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, known, held = [], [], 0
+        for b in batches:
+            for g, d, p, m in rows_of(b, "gram", "doc", "pos", "many"):
+                part = tuple(from_planes(raw, kind) for raw, kind in ((g, "u8"), (d, "i8"), (p, "u4"), (m, "u1")))
+                if key[0].as_py() >= 0:
+                    parts.append(part)
+                    continue
+                known.append(part[1:3])
+                held += len(part[1])
+                if held >= FLUSH_POINTS:
+                    yield _by_slice(known, n_slices)
+                    known, held = [], 0
+        if known:
+            yield _by_slice(known, n_slices)
+        if parts:
+            gram, doc, pos, many = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.argsort(gram, kind="stable")
+            gram, doc, pos, many = gram[order], doc[order], pos[order], many[order]
+            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            count = np.diff(np.append(first, len(gram)))
+            shared = np.repeat((count > 1) | (np.maximum.reduceat(many, first) > 0), count) & (many == 0)
+            found = _by_slice([(doc[shared], pos[shared])], n_slices)
+            del parts, gram, doc, pos, many, order, shared
+            give_back()
+            yield found
+
+    return run
+
+
+def _gathered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shared points of a slice's documents, each in one row."""
+    parts = [(from_planes(d, "i8"), from_planes(p, "u4")) for b in batches for d, p in rows_of(b, "doc", "pos")]
+    doc, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(doc, kind="stable")
+    doc, pos = doc[order], pos[order]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    places = [p.tobytes() for p in np.split(pos, first[1:])]
+    yield batch(PLACES, doc_id=doc[first], places=places, n=[len(p) // 4 for p in places])
+    del parts, doc, pos, order, places
+    give_back()
 
 
 # -- sorted runs -------------------------------------------------------------------------------------------------------
@@ -166,7 +195,7 @@ def _suffixes(b: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.n
         row, point, first, last, _ = sample_points(data, offsets, length)
         if not len(row):
             continue
-        some = [np.frombuffer(b"".join(x), np.uint32).astype(np.int64) + int(offsets[i]) for i, x in enumerate(places.slice(start, len(offsets) - 1).to_pylist())]
+        some = [np.frombuffer(x, np.uint32).astype(np.int64) + int(offsets[i]) for i, x in enumerate(places.slice(start, len(offsets) - 1).to_pylist())]
         known = np.zeros(len(data) + 1, bool)
         at = np.concatenate(some)
         known[at[at < len(data)]] = True
@@ -441,13 +470,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     n_points = (texts.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0) * 2 // (length - gram_length(length) + 2)
     n_buckets = max(partitions(spark), n_points // BUCKET_POINTS)
     sent = texts.select("doc_id", "text").mapInArrow(_points(length, n_buckets), ddl(POINTS))
-    shared = hand_off(sent.groupBy("bucket").applyInArrow(_shared, ddl(SHARED)), "suffix-points")
+    n_slices = max(partitions(spark), n_points // SLICE_POINTS)
+    shared = sent.groupBy("bucket").applyInArrow(_shared(n_slices), ddl(SHARED))
+    shared = hand_off(shared.groupBy("slice").applyInArrow(_gathered, ddl(PLACES)), "suffix-points")
     n_shared = shared.agg(F.sum("n").alias("n")).first().n or 0
-    places = shared.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    places = shared.select("doc_id", "places")
 
-    sample = shared.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS)
+    sample = shared.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS)
     sample = spark.createDataFrame(sample.collect(), "doc_id bigint")  # at most SAMPLE_DOCS ids
-    few = texts.join(F.broadcast(sample), "doc_id").join(F.broadcast(shared.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.collect_list("places").alias("places"))), "doc_id")
+    few = texts.join(F.broadcast(places.join(F.broadcast(sample), "doc_id")), "doc_id")
     suffixes = sorted(bytes(r.suffix) for r in few.select("doc_id", "text_key", "text", "places").mapInArrow(_sampled(length), "suffix binary").collect())
     n_ranges = max(partitions(spark), n_shared // RANGE_SUFFIXES)
     borders = sorted({suffixes[len(suffixes) * i // n_ranges] for i in range(1, n_ranges)} if suffixes else set())

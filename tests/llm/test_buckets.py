@@ -46,3 +46,37 @@ def test_lean_entries_are_sent_without_bitmaps_in_equally_full_buckets():
         sizes[b.column("bucket")[0].as_py()] += n
     assert entries > 10_000 and sent < 30 * entries
     assert max(sizes) < 1.3 * entries / 16
+
+
+def test_shared_points_come_in_a_row_per_document_whatever_the_buckets(spark, monkeypatch):
+    """Rows per bucket and document would grow with both."""
+    counts, hand_off = {}, suffix_dedup.hand_off
+
+    def counted(df, name):
+        out = hand_off(df, name)
+        counts[name] = (out.count(), out.agg({"n": "sum"}).first()[0]) if "n" in out.columns else out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "hand_off", counted)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_POINTS", 50)
+    texts = _letters(4, 20, 300)
+    docs = spark.createDataFrame([(i, texts[i % 20]) for i in range(40)], "doc_id bigint, text string")
+    suffix_dedup.repeated_spans(docs).count()
+    rows, points = counts["suffix-points"]
+    assert rows == 40 and points > 1000
+
+
+def test_buckets_of_points_give_rows_by_slices_not_by_documents():
+    passage = _letters(5, 1, 200)[0]
+    docs = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(300), pa.int64()), "text": pa.array([f"{t} {passage}" for t in _letters(6, 300, 20)])})
+    groups = {}
+    for b in suffix_dedup._points(100, 16)(iter([docs])):
+        groups.setdefault(b.column("bucket")[0].as_py(), []).append(b)
+    shared = [b for k, parts in groups.items() for b in suffix_dedup._shared(4)((pa.scalar(k),), iter(parts))]
+    assert sum(len(b) for b in shared) <= 4 * len(groups)
+    by_slice = {}
+    for b in shared:
+        for i in range(len(b)):
+            by_slice.setdefault(b.column("slice")[i].as_py(), []).append(b.slice(i, 1))
+    places = [row for k, parts in by_slice.items() for b in suffix_dedup._gathered((pa.scalar(k),), iter(parts)) for row in b.to_pylist()]
+    assert sorted(r["doc_id"] for r in places) == list(range(300)) and all(r["n"] * 4 == len(r["places"]) for r in places)
