@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm.components import components
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, counted_units, ddl, keyed, once_each, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, alike, counted_units, ddl, keyed, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
@@ -24,7 +24,8 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     Equal sets are one class. First every class meets one leader for each shingle of its prefix; what that links forms
     components. As long as many pairs are left between components, a few members of each shingle's largest component meet
     the others. Then classes of different components that share a prefix shingle meet, so no link between components is
-    lost, and a large group of near copies costs a few pairs per member and not all pairs. Every pair is checked once.
+    lost, and a large group of near copies costs a few pairs per member and not all pairs. Every pair is checked once,
+    by its sets if sketches of them leave it possible.
 
     Null, empty or wordless text: n_shingles 0, linked with nothing. Rows without a doc_id keep their row, with
     component_id null, and link with nothing. Repeated rows are copies. Other columns are ignored.
@@ -35,11 +36,13 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
 def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id) of the rows with an id; the key tells apart texts of one id."""
     texts = keyed(docs)
-    units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE)
+    units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE, sketched=True)
     postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
-    entries = hand_off(merged(once_each(postings)), "ngram-entries")
+    entries = hand_off(merged(postings), "ngram-entries")
+    sketches = hand_off(units.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"]), "ngram-sketches")
+    similar = lambda pairs, name: verify(alike(pairs, sketches, similarity), units, texts, shingle_sets, similarity, name)
     tried = hand_off(pairs_with_leader(entries, similarity), "ngram-tried")
-    roots = _linked(verify(tried, units, texts, shingle_sets, similarity, "ngram"), None)
+    roots = _linked(similar(tried, "ngram"), None)
 
     for seed in range(HUB_ROUNDS):
         placed = hand_off(_open(entries, roots), "ngram-open")
@@ -48,7 +51,7 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
         if (left.pairs or 0) <= PAIRS_PER_ENTRY * (left.entries or 0):
             break
         new = hand_off(pairs_with_hubs(placed, similarity, seed).join(tried, ["a", "b"], "left_anti"), "ngram-hubs")
-        roots = _linked(verify(new, units, texts, shingle_sets, similarity, "ngram-hub"), roots)
+        roots = _linked(similar(new, "ngram-hub"), roots)
         tried = tried.unionByName(new)
 
     # the entries were sent without bitmaps; what is left gets wide ones, or a group's members meet those near it in vain
@@ -57,7 +60,7 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
     placed = hand_off(placed.join(bitmaps, "key"), "ngram-open")
     apart = (F.col("x.root") < F.col("y.root")) & similarity.from_first("x", "y")
     rest = pairs_between(placed, placed, similarity, apart, WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti")
-    roots = _linked(verify(rest, units, texts, shingle_sets, similarity, "ngram-rest"), roots)
+    roots = _linked(similar(rest, "ngram-rest"), roots)
 
     classes = units.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")).join(roots, "key", "left")
     classes = classes.withColumn("root", F.coalesce("root", "key"))
@@ -69,16 +72,18 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def merged(postings: DataFrame) -> DataFrame:
-    """The entries (token, key, n, pos, bitmap, doc) with all tokens that the same classes have as one, at the first of
-    their positions: near copies share most tokens of their prefixes, and would meet at each of them.
+    """The entries (token, key, n, pos, bitmap, doc), each once, of the first of all tokens that the same classes have: near
+    copies share most tokens of their prefixes, and would meet at each of them.
 
-    Tokens are compared by a hash over their classes. Tokens that it takes for the same by chance give more pairs, not less.
+    All classes have their tokens in one order, so the first token of some classes is the first for each of them. Classes
+    of a token are compared by their number and 128 bits of hash.
     """
+    entries = postings.select("token", "key", "n", "pos").distinct()
     classes = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"h{i}") for i in range(2)]
-    shared = postings.groupBy("token").agg(F.count("*").alias("c"), *classes).filter("c > 1")
-    shared = shared.select("token", F.xxhash64("c", "h0", "h1").alias("same"))
-    named = postings.join(shared, "token").groupBy("same", "key").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("doc").alias("doc"))
-    return named.select(F.col("same").alias("token"), "key", "n", "pos", *[F.lit(0).cast("bigint").alias(c) for c in SIGNATURE], "doc")
+    shared = entries.groupBy("token").agg(F.count("*").alias("c"), *classes, F.min("pos").alias("at")).filter("c > 1")
+    first = shared.groupBy("c", "h0", "h1").agg(F.min_by("token", F.struct("at", "token")).alias("token")).select("token")
+    none = F.lit(0).cast("bigint")
+    return entries.join(first, "token", "left_semi").select("*", *[none.alias(c) for c in SIGNATURE], none.alias("doc"))
 
 
 def _linked(links: DataFrame, roots: DataFrame | None) -> DataFrame:

@@ -10,7 +10,8 @@ Units (documents or lines) with equal sets form one class, named by a 64-bit key
    frequent token never fills a bucket.
 3. For frequent tokens ``pairs_with_leader`` pairs every class with one class of the token only, and ``pairs_between``
    joins two sets of entries on the token. All pairs pass the filters on size, positions and bitmaps.
-4. ``verify`` brings the sets of the pairs together and counts their overlap.
+4. ``alike`` compares sketches of the sets, bitmaps as long as each set asks for, and ``verify`` brings the sets of the
+   pairs that pass together and counts their overlap.
 """
 
 from __future__ import annotations
@@ -118,8 +119,27 @@ def _signatures(sets: Sets, signature: tuple[str, ...] = SIGNATURE) -> dict[str,
     return out
 
 
-def counted_units(sets_of: SetsOf, signature: tuple[str, ...] = ()) -> Callable:
-    schema = units_schema(signature)
+def sketches_of(sets: Sets) -> list[bytes]:
+    """A bitmap per set in which each token flips a bit, of as many bits as the set has tokens or up to twice as many."""
+    bits = np.left_shift(np.int64(1), np.ceil(np.log2(np.maximum(sets.sizes, 64))).astype(np.int64))
+    ends = np.cumsum(bits)
+    at = np.repeat(ends - bits, sets.sizes) + (sets.flat & np.repeat(bits - 1, sets.sizes).astype(np.uint64)).astype(np.int64)
+    flips = np.bincount(at, minlength=int(bits.sum())) & 1
+    raw = np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+    return [raw[(z - n) // 8 : z // 8] for n, z in zip(bits.tolist(), ends.tolist(), strict=True)]
+
+
+def sketches_differ(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many bits two sketches differ; sets differ in as many tokens at least. The longer one is folded."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def counted_units(sets_of: SetsOf, signature: tuple[str, ...] = (), sketched: bool = False) -> Callable:
+    schema = units_schema(signature, sketched)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
@@ -128,19 +148,19 @@ def counted_units(sets_of: SetsOf, signature: tuple[str, ...] = ()) -> Callable:
             for sets in sets_of(b.column("text")):
                 counts += np.bincount((sets.flat >> np.uint64(64 - COUNTER_BITS)).view(np.int64), minlength=len(counts)).astype(np.uint32)
                 none = [None] * len(sets.row)
-                bits = _signatures(sets, signature)
+                bits = _signatures(sets, signature) | ({"sketch": sketches_of(sets)} if sketched else {})
                 yield batch(schema, doc_id=ids[sets.row], text_key=text_keys[sets.row], unit=sets.unit, key=sets.keys(), n=sets.sizes, segment=none, counts=none, **bits)
         if counts.any():
             none = [None] * SEGMENTS
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SEGMENTS)]
-            empty = dict.fromkeys(("doc_id", "text_key", "unit", "key", "n", *signature), none)
+            empty = dict.fromkeys(set(schema.names) - {"segment", "counts"}, none)
             yield batch(schema, segment=range(SEGMENTS), counts=parts, **empty)
 
     return run
 
 
-def units_schema(signature: tuple[str, ...] = ()) -> pa.Schema:
-    return pa.schema([*UNITS, *[pa.field(c, pa.int64()) for c in signature]])
+def units_schema(signature: tuple[str, ...] = (), sketched: bool = False) -> pa.Schema:
+    return pa.schema([*UNITS, *[pa.field(c, pa.int64()) for c in signature], *([pa.field("sketch", pa.binary())] if sketched else [])])
 
 
 def _sum_counts(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,10 +176,10 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
 
-def read_units(docs: DataFrame, sets_of: SetsOf, name: str, signature: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray, int]:
-    """(doc_id, text_key, unit, key, n, the bitmap asked for) per unit, the rank of each counter by rarity, and the
+def read_units(docs: DataFrame, sets_of: SetsOf, name: str, signature: tuple[str, ...] = (), sketched: bool = False) -> tuple[DataFrame, np.ndarray, int]:
+    """(doc_id, text_key, unit, key, n, the bitmap and sketch asked for) per unit, the rank of each counter by rarity, and the
     number of tokens."""
-    rows = hand_off(docs.mapInArrow(counted_units(sets_of, signature), ddl(units_schema(signature))), f"{name}-units")
+    rows = hand_off(docs.mapInArrow(counted_units(sets_of, signature, sketched), ddl(units_schema(signature, sketched))), f"{name}-units")
     summed = rows.filter("segment IS NOT NULL").select("segment", "counts").groupBy("segment").applyInArrow(_sum_counts, "segment int, counts binary")
     counts = np.zeros((SEGMENTS, (1 << COUNTER_BITS) // SEGMENTS), np.uint64)
     for segment, part in summed.collect():  # 2^20 numbers whatever the input
@@ -438,6 +458,27 @@ def first_places(units: DataFrame) -> DataFrame:
     return units.filter("n > 0").groupBy("key").agg(first).select("key", "first.*")
 
 
+def _alike(similarity: Similarity) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, m = (b.column(c).to_numpy() for c in ("n", "m"))
+            most = n + m - 2 * similarity.overlap(n, m)
+            keep = similarity.den * np.minimum(n, m) >= similarity.num * np.maximum(n, m)
+            for i in np.flatnonzero(keep).tolist():
+                x, y = (np.frombuffer(b.column(c)[i].as_buffer(), np.uint8) for c in ("x", "y"))
+                keep[i] = sketches_differ(x, y) <= most[i]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def alike(pairs: DataFrame, sketches: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs (a, b) that may be similar by the ``sketches`` (key, n, sketch), which are far smaller than the sets."""
+    with_b = pairs.join(sketches.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
+    both = with_b.join(sketches.select(F.col("key").alias("a"), "n", F.col("sketch").alias("x")), "a")
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(_alike(similarity), "a bigint, b bigint")
+
+
 def verify(pairs: DataFrame, units: DataFrame, docs: DataFrame, sets_of: SetsOf, similarity: Similarity, name: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar, each checked once on the whole sets."""
     pairs = hand_off(pairs, f"{name}-pairs")

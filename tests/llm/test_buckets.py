@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from sessionflow.llm import set_join, suffix_dedup
+from sessionflow.llm import ngram_join, set_join, suffix_dedup
 from sessionflow.llm.words import shingle_sets
 
 
@@ -80,3 +80,38 @@ def test_buckets_of_points_give_rows_by_slices_not_by_documents():
             by_slice.setdefault(b.column("slice")[i].as_py(), []).append(b.slice(i, 1))
     places = [row for k, parts in by_slice.items() for b in suffix_dedup._gathered((pa.scalar(k),), iter(parts)) for row in b.to_pylist()]
     assert sorted(r["doc_id"] for r in places) == list(range(300)) and all(r["n"] * 4 == len(r["places"]) for r in places)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(7)
+    for n, m, both in ((5, 6, 5), (100, 120, 90), (64, 65, 64), (1000, 900, 10), (3000, 2500, 2400), (1, 500, 0)):
+        tokens = rng.integers(0, 1 << 63, n + m, dtype=np.uint64) * np.uint64(2)
+        x, y = np.sort(tokens[:n]), np.sort(np.concatenate([tokens[:both], tokens[n : n + m - both]]))
+        sets = set_join.Sets(np.arange(2), np.zeros(2, np.int64), np.concatenate([x, y]), np.array([0, n, n + m]))
+        a, b = (np.frombuffer(s, np.uint8) for s in set_join.sketches_of(sets))
+        assert n <= 8 * len(a) <= max(2 * n, 64) and set_join.sketches_differ(a, a) == 0
+        assert set_join.sketches_differ(a, b) == set_join.sketches_differ(b, a) <= n + m - 2 * both
+
+
+def test_whole_sets_are_fetched_only_for_pairs_whose_sketches_are_alike(spark, monkeypatch):
+    """Pairs share a rare passage and differ in the rest, which is common: they meet, but their sets stay where they are."""
+    counts = {}
+
+    def counted(hand_off):
+        def run(df, name):
+            out = hand_off(df, name)
+            counts[name] = out.count()
+            return out
+
+        return run
+
+    monkeypatch.setattr(set_join, "hand_off", counted(set_join.hand_off))
+    monkeypatch.setattr(ngram_join, "hand_off", counted(ngram_join.hand_off))
+    passages, (left, right) = _letters(8, 20, 60), _letters(9, 2, 140)
+    texts = [f"{p} {rest}" for p in passages for rest in (left, right)]
+    near = texts[6].split()
+    texts.append(" ".join([*near[:30], "other", *near[31:]]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == {i: i for i in range(40)} | {40: 6}
+    assert counts["ngram-tried"] >= 20 and sum(v for k, v in counts.items() if k.endswith("-pairs")) <= 3
