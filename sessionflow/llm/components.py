@@ -8,35 +8,41 @@ from pyspark.sql import functions as F
 from sessionflow.llm.frames import hand_off
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
-    """Ties the larger (or else the not larger) neighbours of every node to its least neighbour or itself."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = both if larger else both.filter("v < u")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    tied = both.join(least, "u")
-    if larger:
-        out = tied.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = tied.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = out.unionByName(least.select("u", F.col("m").alias("v")))
+def _least(edges: DataFrame) -> DataFrame:
+    """(of, m): the least parent of each node that has one."""
+    return edges.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("m"))
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), all with u > v, after a large-star and a small-star step. No step needs an edge in both directions."""
+    # large star: the larger neighbours of a node go to its least neighbour or, if it has no smaller one, stay
+    up = edges.join(_least(edges), F.col("v") == F.col("of"), "left").select("u", F.coalesce("m", "v").alias("v"))
+    # small star: the parents of a node, and the node, go to its least parent
+    tied = up.join(_least(up), F.col("u") == F.col("of"))
+    out = tied.select(F.inline(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
     return out.filter("u != v").distinct()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(key, root) of every node with a link; root is the least key that links reach.
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: nobody has two parents, and no parent has a parent."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.filter("up + down > 1 AND up > 0").take(1)
+
+
+def stars(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(key, root) of every node with a link but the roots; root is the least key that links reach. ``links`` are read twice.
 
     Every round is a few joins on narrow rows, written to the shared folder; it ends when all edges lead to the root.
     """
-    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
-    edges = hand_off(edges, "edges")
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v")
     while True:
-        after = hand_off(_star(_star(edges, True), False), "edges")
-        # stars only: nobody has two parents, and no parent has a parent
-        parents = after.select(F.col("v").alias("u")).distinct()
-        unsettled = after.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
-        chained = after.join(parents, "u", "left_semi").select("u")
-        edges = after
-        if not unsettled.unionByName(chained).take(1):
-            break
-    roots = edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
-    return roots.unionByName(edges.select(F.col("v").alias("key"), F.col("v").alias("root")).distinct())
+        edges = hand_off(_round(edges), "edges")
+        if _settled(edges):
+            return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(key, root) of every node with a link; root is the least key that links reach."""
+    found = stars(links, a, b)
+    return found.unionByName(found.select(F.col("root").alias("key"), "root").distinct())

@@ -53,7 +53,7 @@ def repeated_lines(docs: DataFrame, similarity: Similarity = SIMILARITY, min_wor
     meeting = _lines(max(min_words, similarity.least_with_others))
     postings, met = shared_postings(texts, meeting, ranks, n_tokens, similarity, "lines", lean=False, limit=FREQUENT)
     postings = hand_off(once_each(postings), "lines-entries")
-    places = hand_off(first_places(units), "lines-places")
+    places = hand_off(first_places(units).drop("n"), "lines-places")
     # of the pairs found in buckets one for each later class at first
     first = met.groupBy("b").agg(F.min_by("a", F.struct("doc", "a")).alias("a")).select(*ordered(F.col("a"), F.col("b")))
     tried = hand_off(first.unionByName(pairs_with_leader(postings, similarity)).distinct(), "lines-tried")

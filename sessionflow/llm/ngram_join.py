@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sessionflow.llm.components import components
+from sessionflow.llm.components import stars
 from sessionflow.llm.frames import hand_off
-from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, alike, counted_units, ddl, keyed, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, verify
+from sessionflow.llm.set_join import SIGNATURE, UNITS, WIDE_SIGNATURE, Similarity, alike, counted_units, ddl, keyed, ordered, pairs_between, pairs_with_leader, read_units, shared_postings, tallied, verify
 from sessionflow.llm.words import shingle_sets
 
 #: 100 * intersection >= 75 * union
 SIMILARITY = Similarity(3, 4)
 #: Members of a component that meet all others at a token, and how often new ones do at most.
 HUBS, HUB_ROUNDS = 4, 2
-#: Pairs between components for each entry from which on they do.
+#: Pairs between components for each entry from which on they do, of all tokens and of the token.
 PAIRS_PER_ENTRY = 8
 
 
@@ -22,8 +22,8 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = SIMILARITY) -> Dat
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text): the documents linked by similar sets.
 
     Equal sets are one class. First every class meets one leader for each shingle of its prefix; what that links forms
-    components. As long as many pairs are left between components, a few members of each shingle's largest component meet
-    the others. Then classes of different components that share a prefix shingle meet, so no link between components is
+    components. Where many pairs are left between components, a few members of a shingle's largest component meet the
+    others, once more if that halves the pairs. Then classes of different components that share a prefix shingle meet, so no link between components is
     lost, and a large group of near copies costs a few pairs per member and not all pairs. Every pair is checked once,
     by its sets if sketches of them leave it possible.
 
@@ -39,28 +39,34 @@ def _named(docs: DataFrame, similarity: Similarity) -> DataFrame:
     units, ranks, n_tokens = read_units(texts, shingle_sets, "ngram", WIDE_SIGNATURE, sketched=True)
     postings, _ = shared_postings(texts, shingle_sets, ranks, n_tokens, similarity, "ngram", lean=True, limit=1)
     entries = hand_off(merged(postings), "ngram-entries")
-    sketches = hand_off(units.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"]), "ngram-sketches")
-    similar = lambda pairs, name: verify(alike(pairs, sketches, similarity), units, texts, shingle_sets, similarity, name)
-    tried = hand_off(pairs_with_leader(entries, similarity), "ngram-tried")
-    roots = _linked(similar(tried, "ngram"), None)
-
+    seen = Observation()
+    sketches = units.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"])
+    sketches = hand_off(sketches.observe(seen, F.max("n").alias("largest")), "ngram-sketches")
+    largest = seen.get["largest"] or 0
+    similar = lambda pairs, n, name: verify(alike(pairs, n, sketches, largest, similarity), units, texts, shingle_sets, similarity, name)
+    met, n_met = tallied(pairs_with_leader(entries, similarity))
+    tried = hand_off(met, "ngram-tried")
+    roots = _linked(similar(tried, n_met(), "ngram"), None)
+
+    placed, before = hand_off(_open(entries, roots), "ngram-open"), None
     for seed in range(HUB_ROUNDS):
-        placed = hand_off(_open(entries, roots), "ngram-open")
-        sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
-        left = sizes.select(F.sum("c").alias("entries"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2).alias("pairs")).first()
-        if (left.pairs or 0) <= PAIRS_PER_ENTRY * (left.entries or 0):
+        crowded, n_entries, left = _crowded(placed)
+        if left <= PAIRS_PER_ENTRY * n_entries or before is not None and 2 * left > before:
             break
-        new = hand_off(pairs_with_hubs(placed, similarity, seed).join(tried, ["a", "b"], "left_anti"), "ngram-hubs")
-        roots = _linked(similar(new, "ngram-hub"), roots)
+        met = pairs_with_hubs(placed.join(crowded, "token", "left_semi"), similarity, seed)
+        met, n_met = tallied(met.join(tried, ["a", "b"], "left_anti"))
+        new = hand_off(met, "ngram-hubs")
+        roots = _linked(similar(new, n_met(), "ngram-hub"), roots)
         tried = tried.unionByName(new)
+        placed, before = hand_off(_open(placed, roots), "ngram-open"), left
 
     # the entries were sent without bitmaps; what is left gets wide ones, or a group's members meet those near it in vain
-    placed = _open(entries, roots)
     bitmaps = units.filter("n > 0").select("key", *WIDE_SIGNATURE).dropDuplicates(["key"])
     placed = hand_off(placed.join(bitmaps, "key"), "ngram-open")
     apart = (F.col("x.root") < F.col("y.root")) & similarity.from_first("x", "y")
-    rest = pairs_between(placed, placed, similarity, apart, WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti")
-    roots = _linked(similar(rest, "ngram-rest"), roots)
+    met, n_met = tallied(pairs_between(placed, placed, similarity, apart, WIDE_SIGNATURE).join(tried, ["a", "b"], "left_anti"))
+    rest = hand_off(met, "ngram-rest")
+    roots = _linked(similar(rest, n_met(), "ngram-rest"), roots)
 
     classes = units.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")).join(roots, "key", "left")
     classes = classes.withColumn("root", F.coalesce("root", "key"))
@@ -87,10 +93,11 @@ def merged(postings: DataFrame) -> DataFrame:
 
 
 def _linked(links: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, root): the components of ``links`` and of those before, which come as links too, so that stars stay stars."""
+    """(key, root) of the classes that are no root themselves: the components of ``links`` and of those before, which come as
+    links too, so that stars stay stars."""
     if roots is not None:
-        links = links.unionByName(roots.filter("key != root").select(F.col("root").alias("a"), F.col("key").alias("b")))
-    return hand_off(components(links), "ngram-roots")
+        links = links.unionByName(roots.select(F.col("root").alias("a"), F.col("key").alias("b")))
+    return stars(links)
 
 
 def _open(entries: DataFrame, roots: DataFrame) -> DataFrame:
@@ -100,6 +107,16 @@ def _open(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(several.select("token"), "token", "left_semi")
 
 
+def _crowded(placed: DataFrame) -> tuple[DataFrame, int, int]:
+    """(token) of those with many pairs between components for each entry; the entries and such pairs of all tokens."""
+    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
+    sizes = sizes.select("token", "c", F.expr("(c * c - same) div 2").alias("pairs"))
+    seen = Observation()
+    crowded = sizes.observe(seen, F.sum("c").alias("entries"), F.sum("pairs").alias("pairs")).filter(F.col("pairs") > PAIRS_PER_ENTRY * F.col("c"))
+    crowded = hand_off(crowded.select("token"), "ngram-crowded")
+    return crowded, seen.get["entries"] or 0, seen.get["pairs"] or 0
+
+
 def pairs_with_hubs(placed: DataFrame, similarity: Similarity, seed: int) -> DataFrame:
     """Distinct (a, b): a few classes of each token's largest component with the token's classes of other components."""
     drawn = [F.min(F.struct(F.xxhash64("key", F.lit(seed * HUBS + i)).alias("h"), "key", "n", "pos")).alias(f"m{i}") for i in range(HUBS)]

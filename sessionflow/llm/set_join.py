@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionflow.llm.frames import batch, from_planes, give_back, hand_off, partitions, planes, rows_of
@@ -38,6 +38,8 @@ FLUSH_ENTRIES = 1 << 18
 BUCKET_ENTRIES = 200_000
 #: Ids and keys of wanted sets that are sent to every executor at most, some 10 MB; more are joined by a shuffle.
 BROADCAST_KEYS = 400_000
+#: Bytes of pairs with their sets or sketches that a task gets at most, where tasks are made fewer.
+TASK_BYTES = 1 << 24
 _LOW = np.uint64((1 << 48) - 1)
 
 UNITS = pa.schema(
@@ -453,9 +455,21 @@ def _overlaps(similarity: Similarity) -> Callable:
 
 
 def first_places(units: DataFrame) -> DataFrame:
-    """(key, doc_id, unit): the first place of each class."""
+    """(key, doc_id, unit, n): the first place of each class, and its size."""
     first = F.min(F.struct("doc_id", "unit")).alias("first")
-    return units.filter("n > 0").groupBy("key").agg(first).select("key", "first.*")
+    return units.filter("n > 0").groupBy("key").agg(first, F.max("n").alias("n")).select("key", "first.*", "n")
+
+
+def tallied(rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows, and their number once they were written."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
+def in_few_tasks(rows: DataFrame, n_rows: int, most_bytes: int) -> DataFrame:
+    """The rows, of which none has more bytes, in no more tasks than cores unless those got over ``TASK_BYTES``: a few
+    pairs lie scattered over all partitions of a shuffle, and each would start a Python worker for some."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-n_rows * most_bytes // TASK_BYTES)))
 
 
 def _alike(similarity: Similarity) -> Callable:
@@ -472,24 +486,29 @@ def _alike(similarity: Similarity) -> Callable:
     return run
 
 
-def alike(pairs: DataFrame, sketches: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs (a, b) that may be similar by the ``sketches`` (key, n, sketch), which are far smaller than the sets."""
+def alike(pairs: DataFrame, n_pairs: int, sketches: DataFrame, largest: int, similarity: Similarity) -> DataFrame:
+    """The pairs (a, b) that may be similar by the ``sketches`` (key, n, sketch), which are far smaller than the sets.
+    ``largest``: the greatest n."""
     with_b = pairs.join(sketches.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
     both = with_b.join(sketches.select(F.col("key").alias("a"), "n", F.col("sketch").alias("x")), "a")
-    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(_alike(similarity), "a bigint, b bigint")
+    both = in_few_tasks(both.select("a", "b", "n", "m", "x", "y"), n_pairs, 32 + 2 * max(8, largest // 4))
+    return both.mapInArrow(_alike(similarity), "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, units: DataFrame, docs: DataFrame, sets_of: SetsOf, similarity: Similarity, name: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar, each checked once on the whole sets."""
+    pairs, n_pairs = tallied(pairs)
     pairs = hand_off(pairs, f"{name}-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     places = first_places(units.join(needed, "key", "left_semi"))
-    wanted = hand_off(places.groupBy("doc_id").agg(F.collect_list("key").alias("wanted")), f"{name}-wanted")
-    size = wanted.agg(F.count("*").alias("n"), F.sum(F.size("wanted")).alias("keys")).first()
+    wanted = hand_off(places.groupBy("doc_id").agg(F.collect_list("key").alias("wanted"), F.max("n").alias("n")), f"{name}-wanted")
+    size = wanted.agg(F.count("*").alias("n"), F.sum(F.size("wanted")).alias("keys"), F.max("n").alias("largest")).first()
+    wanted = wanted.drop("n")
     if size.n + (size.keys or 0) <= BROADCAST_KEYS:  # few enough for every executor: the texts stay where they are
         wanted = F.broadcast(wanted)
     sets = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_sets(sets_of), ddl(SETS))
     sets = hand_off(sets, f"{name}-sets")
     with_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
     both = with_b.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
-    return hand_off(both.select("a", "b", "x", "y").mapInArrow(_overlaps(similarity), "a bigint, b bigint").distinct(), f"{name}-links")
+    both = in_few_tasks(both.select("a", "b", "x", "y"), n_pairs(), 16 + 16 * (size.largest or 0))
+    return hand_off(both.mapInArrow(_overlaps(similarity), "a bigint, b bigint").distinct(), f"{name}-links")

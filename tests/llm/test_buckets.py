@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from sessionflow.llm import ngram_join, set_join, suffix_dedup
+from sessionflow.llm import components, ngram_join, set_join, suffix_dedup
 from sessionflow.llm.words import shingle_sets
 
 
@@ -115,3 +115,29 @@ def test_whole_sets_are_fetched_only_for_pairs_whose_sketches_are_alike(spark, m
     found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
     assert found == {i: i for i in range(40)} | {40: 6}
     assert counts["ngram-tried"] >= 20 and sum(v for k, v in counts.items() if k.endswith("-pairs")) <= 3
+
+
+def test_links_form_stars_with_few_shuffles(spark):
+    """Chains, circles, repeated links and a hub: the least key of each component, and no shuffle beyond five a round."""
+    draw = np.random.default_rng(4)
+    links = [(i, i + 1) for i in range(100, 140)] + [(200, 201), (201, 202), (202, 200), (200, 201)] + [(999, 300 + i) for i in range(50)]
+    links += [tuple(map(int, draw.integers(1000, 1150, 2))) for _ in range(100)]
+    least = {k: k for link in links for k in link if link[0] != link[1]}
+    for _ in least:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    assert {(r.key, r.root) for r in components.components(df).collect()} == set(least.items())
+    assert {(r.key, r.root) for r in components.stars(df).collect()} == {(k, r) for k, r in least.items() if k != r}
+    edges = spark.createDataFrame([(b, a) for a, b in links if a < b], "u bigint, v bigint")
+    plan = components._round(edges)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 8  # parts that are used again stand there again
+
+
+def test_a_few_pairs_are_checked_in_few_tasks(spark):
+    """Pairs lie over all partitions of a shuffle; tasks are as many as cores, or more where rows are large."""
+    rows, cores = spark.range(500).repartition(64), spark.sparkContext.defaultParallelism
+    assert set_join.in_few_tasks(rows, 500, 16).rdd.getNumPartitions() == cores < 64
+    assert set_join.in_few_tasks(rows, 500, set_join.TASK_BYTES // 10).rdd.getNumPartitions() == 50
+    assert sorted(r.id for r in set_join.in_few_tasks(rows, 500, 16).collect()) == list(range(500))

@@ -106,6 +106,18 @@ def test_near_copies_that_are_not_all_alike_meet_few_others(spark, monkeypatch):
     assert entries[-1] == 1
 
 
+def test_hubs_that_link_little_are_not_tried_again(spark, monkeypatch):
+    """Unlike texts put together from the same passages: all shingles are common, and no hub brings any together."""
+    passages, draw = [words(300 + i, 30) for i in range(16)], random.Random(3)
+    rows = [(i, f" alone{i} ".join(draw.sample(passages, 4))) for i in range(300)]
+    rows.append((300, rows[7][1] + " other"))
+    rounds, with_hubs = [], ngram_join.pairs_with_hubs
+    monkeypatch.setattr(ngram_join, "pairs_with_hubs", lambda *args: rounds.append(args[0].count()) or with_hubs(*args))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert Counter(map(tuple, near_duplicates(df).collect())) == expected_components(rows)
+    assert len(rounds) == 1 and rounds[0] > 0
+
+
 def test_one_document_of_each_group_stays(spark):
     df = odd_documents(spark)
     kept = representatives(df)
