@@ -23,6 +23,9 @@ SLICES = 4
 #: Users of whose sessions no recommendation arrives.
 WITHOUT_OFFERS = 3
 SAMPLE_SEED = "sample"
+#: State lies in four partitions a core, or in so many where there are few cores.
+LEAST_PARTITIONS = 32
+ROW_GROUP = 4 << 20
 
 
 def _slices(df: DataFrame, time: str = "event_time", like: DataFrame | None = None) -> Iterator[DataFrame]:
@@ -67,9 +70,11 @@ def stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts kept by a stateful stream, folded into a base halfway: the model of all plays."""
     folder, plays = new_folder(spark, "pair-model"), B.plays(spark, sf_dir)
+    partitions = min(int(spark.conf.get(pair_model.PARTITIONS)), max(LEAST_PARTITIONS, 4 * spark.sparkContext.defaultParallelism))
     for i, part in enumerate(_slices(plays)):
-        part.write.mode("append").parquet(f"{folder}/in")
-        pair_model.run_pair_model(_stream(spark, f"{folder}/in", plays), folder)
+        # small row groups: a slice of a table in order of time lies in few files, which all cores are to read
+        part.write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(f"{folder}/in")
+        pair_model.run_pair_model(_stream(spark, f"{folder}/in", plays), folder, partitions=partitions)
         if i == SLICES // 2:
             pair_model.fold_model(spark, folder)
     return pair_model.pair_model(spark, folder)

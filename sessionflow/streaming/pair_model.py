@@ -8,11 +8,13 @@ the model of all plays so far, and no play is ever read again.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -25,17 +27,22 @@ from sessionflow.workers import ship
 KEEP_SECONDS = 36 * 3600
 #: Where state lies; the processor needs this store, whatever the session's own choice.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+PARTITIONS = "spark.sql.shuffle.partitions"
 CHANGES = "last_track bigint, track_id bigint, change bigint"
-#: The last play, and how often each track was played.
-SESSION = "us bigint, event_id bigint, track_id bigint, tracks array<bigint>, plays array<bigint>"
-_CHANGE = Row("last_track", "track_id", "change")
+#: Sessions are dealt to so many keys of the state by a hash; a checkpoint holds for the number it was made with.
+BUCKETS = 8192
+#: When the first session is due, and of each session, pickled, the last play and how often each track was played.
+BUCKET = "timer bigint, sessions binary"
 _ORDER = ("event_time", "event_id")
+_PLAY = ("_us_last", "event_id_last", "track_id", "n_sum")
 
 
 def combine(plays: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, track_id, event_time, event_id, n): the plays of a track in a session that a task sees together, as one row.
+    """(_bucket, event_time, play): the plays of a track in a session that a task sees together, as one row.
 
     The row carries the last of them. A session with very many plays so reaches its state as a few rows per track and task.
+    ``play`` is the pickled (keys, None, time in microseconds, event_id, track_id, number of plays): one value is read much
+    faster in the state's Python workers than seven, and a null can't turn a column of integers into floats there.
     """
     keys = list(keys)
 
@@ -43,20 +50,41 @@ def combine(plays: DataFrame, keys: Sequence[str]) -> DataFrame:
         for b in batches:
             rows = pa.Table.from_batches([b]).sort_by([(c, "ascending") for c in _ORDER])
             rows = rows.append_column("n", pa.array([1] * len(rows), pa.int64()))
-            groups = rows.group_by([*keys, "track_id"], use_threads=False)
-            found = groups.aggregate([("event_time", "last"), ("event_id", "last"), ("n", "sum")])
-            found = found.select([*keys, "track_id", "event_time_last", "event_id_last", "n_sum"]).rename_columns([*keys, "track_id", *_ORDER, "n"])
-            yield from found.cast(pa.schema([rows.schema.field(c) for c in found.column_names])).to_batches()
-
-    slim = plays.select(*keys, "track_id", *_ORDER)
-    return slim.mapInArrow(run, T.StructType([*slim.schema.fields, T.StructField("n", T.LongType())]))
+            groups = rows.group_by(["_bucket", *keys, "track_id"], use_threads=False)
+            found = groups.aggregate([("event_time", "last"), ("_us", "last"), ("event_id", "last"), ("n", "sum")])
+            parts = [*(found[c].to_pylist() for c in keys), [None] * len(found), *(found[c].to_pylist() for c in _PLAY)]
+            packed = pa.array([pickle.dumps(play, pickle.HIGHEST_PROTOCOL) for play in zip(*parts, strict=True)], pa.binary())
+            found = pa.table({"_bucket": found["_bucket"], "event_time": found["event_time_last"], "play": packed})
+            yield from found.cast(pa.schema([b.schema.field("_bucket"), b.schema.field("event_time"), ("play", pa.binary())])).to_batches()
+
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    slim = plays.select(bucket.alias("_bucket"), *keys, "track_id", *_ORDER, F.unix_micros("event_time").alias("_us"))
+    return slim.mapInArrow(run, T.StructType([slim.schema["_bucket"], slim.schema["event_time"], T.StructField("play", T.BinaryType())]))
+
+
+def _add(before: tuple | None, last: Sequence, new: dict[int, int], changes: list[tuple]) -> tuple:
+    """The state of a session (time and id of its last play, its track, plays by track) with new plays; adds to ``changes``."""
+    held = {}
+    if before is not None:
+        *old, held = before
+        if (last[0], last[1]) <= (old[0], old[1]):
+            last = old
+        if old[2] != last[2]:
+            changes += [(old[2], t, -n) for t, n in held.items() if old[2] is not None and t != old[2]]
+            changes += [(last[2], t, n) for t, n in held.items() if last[2] is not None and t != last[2]]
+    changes += [(last[2], t, n) for t, n in new.items() if last[2] is not None and t != last[2]]
+    for track, n in new.items():
+        held[track] = held.get(track, 0) + n
+    return (*last, held)
 
 
 class SessionPairs(StatefulProcessor):
-    """Per session: plays by track and the last play; gives the changes of the pair counts.
+    """For each session of a bucket: plays by track and the last play; gives the changes of the pair counts.
 
-    Each call to the state store costs the same however little it brings, and most sessions have few tracks. So a session is
-    one value, read once and written once per batch, and has one timer, which is put off when it comes and not with each play.
+    Each call to the state store costs the same however little it brings, and so does each key's answer, while most sessions
+    have few tracks. So a key is a bucket of sessions: its value is read once and written once per batch, and it has one timer,
+    for the session that is due first, which is put off when it comes and not with each play. Rows are (keys, event_time, time
+    in microseconds, event_id, track_id, number of plays).
     """
 
     def __init__(self, keep_seconds: int = KEEP_SECONDS):
@@ -64,75 +92,100 @@ class SessionPairs(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.session = handle.getValueState("session", SESSION)
+        self.bucket = handle.getValueState("bucket", BUCKET)
 
     def _due(self, us: int) -> int:
         return us // 1000 + self.keep_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new: dict[int, int] = {}
-        before = self.session.get()
-        last = None if before is None else tuple(before[:3])
+    def _keep(self, timer: int, sessions: dict) -> None:
+        self.bucket.update((timer, pickle.dumps(sessions, pickle.HIGHEST_PROTOCOL)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[tuple]:
+        came: dict[tuple, tuple[list, dict[int, int]]] = {}
         for row in rows:
-            last = max(last or row[-4:-1], row[-4:-1], key=lambda r: r[:2])
-            track, n = row[-2:]
+            *names, _, us, event_id, track, n = row
+            session = tuple(names)
+            if session in came:
+                last, new = came[session]
+                if (us, event_id) > (last[0], last[1]):
+                    last[:] = us, event_id, track
+            else:
+                came[session] = [us, event_id, track], (new := {})
             if track is not None:
                 new[track] = new.get(track, 0) + n
-        if last is None:
+        if not came:
             return
-        held = {} if before is None else dict(zip(before[3], before[4], strict=True))
-        old_track, now = (None if before is None else before[2]), last[2]
+        before = self.bucket.get()
+        timer, sessions = (None, {}) if before is None else (before[0], pickle.loads(before[1]))
         changes = []
-        if before is not None and old_track != now:
-            changes += [(old_track, t, -n) for t, n in held.items() if old_track is not None and t != old_track]
-            changes += [(now, t, n) for t, n in held.items() if now is not None and t != now]
-        changes += [(now, t, n) for t, n in new.items() if now is not None and t != now]
-        for track, n in new.items():
-            held[track] = held.get(track, 0) + n
-        self.session.update((*last, list(held), list(held.values())))
-        if before is None:
-            self.handle.registerTimer(self._due(last[0]))
-        for change in changes:
-            yield _CHANGE(*change)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        session = self.session.get()
-        if session is not None:
-            due = self._due(session[0])
-            if due > expiredTimerInfo.getExpiryTimeInMs() and due >= timerValues.getCurrentWatermarkInMs():
-                self.handle.registerTimer(due)  # it went on after the timer was set
+        for session, (last, new) in came.items():
+            sessions[session] = _add(sessions.get(session), last, new, changes)
+        due = min(self._due(sessions[session][0]) for session in came)
+        earlier = timer is None or due < timer
+        self._keep(due if earlier else timer, sessions)
+        if earlier:
+            self.handle.registerTimer(due)
+        yield from changes
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[tuple]:
+        before = self.bucket.get()
+        if before is not None and before[0] == expiredTimerInfo.getExpiryTimeInMs():  # else a timer before it saw to the rest
+            now = timerValues.getCurrentWatermarkInMs()
+            sessions = {session: held for session, held in pickle.loads(before[1]).items() if self._due(held[0]) > now}
+            if sessions:
+                timer = min(self._due(held[0]) for held in sessions.values())
+                self._keep(timer, sessions)
+                self.handle.registerTimer(timer)
             else:
-                self.session.clear()
+                self.bucket.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+class PackedPairs(SessionPairs):
+    """The same for plays as ``combine`` packs them, in frames."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        plays = (pickle.loads(play) for frame in rows for play in frame["play"])
+        changes = list(super().handleInputRows(key, plays, timerValues))
+        if changes:
+            yield pd.DataFrame(changes, columns=["last_track", "track_id", "change"])
+
+
 def pair_changes(plays: DataFrame, keys: Sequence[str] = ("user_id", "session_id"), delay: str = DELAY, keep_seconds: int = KEEP_SECONDS) -> DataFrame:
     """(last_track, track_id, change): how the pair counts change with the plays of a stream.
 
     Plays (keys, track_id, event_time, event_id) have bigint track and event ids. A session is forgotten once the watermark
     has passed its last play by ``keep_seconds``; what it added to the model stays. A play without a track counts as a last
-    play, but makes no pair, as in ``cooccurrence_counts``. State is one value per session, with an entry per track.
+    play, but makes no pair, as in ``cooccurrence_counts``. State is one value per bucket of sessions, with an entry per track
+    of a session; sessions of a bucket are told apart by their keys as Python values (numbers, strings, dates).
     """
     ship(plays.sparkSession)
     plays.sparkSession.conf.set(*STATE_STORE)
     watched = combine(plays.filter(F.col("event_time").isNotNull()), keys).withWatermark("event_time", delay)
-    # the time stays for the watermark; the processor reads the last four columns
-    watched = watched.select(*keys, "event_time", F.unix_micros("event_time").alias("us"), "event_id", "track_id", "n")
-    return watched.groupBy(*keys).transformWithState(SessionPairs(keep_seconds), CHANGES, "Update", "EventTime")
+    return watched.groupBy("_bucket").transformWithStateInPandas(PackedPairs(keep_seconds), CHANGES, "Update", "EventTime")
 
 
-def run_pair_model(plays: DataFrame, folder: str, trigger: dict | None = None, **options) -> StreamingQuery:
-    """Keep the model below ``folder`` until the available plays are used up; a restart goes on where it was."""
-    changes = pair_changes(plays, **options)
+def run_pair_model(plays: DataFrame, folder: str, trigger: dict | None = None, partitions: int | None = None, **options) -> StreamingQuery:
+    """Keep the model below ``folder`` until the available plays are used up; a restart goes on where it was.
+
+    ``partitions`` says in how many the state lies (by default the session's shuffle partitions). Each costs its files and a
+    worker in every batch, however few its sessions. A folder keeps the number it began with.
+    """
+    changes, conf = pair_changes(plays, **options), plays.sparkSession.conf
 
     def store(batch: DataFrame, batch_id: int) -> None:
         summed = batch.groupBy("last_track", "track_id").agg(F.sum("change").alias("change")).filter("change != 0")
         sinks.write_batch(summed, batch_id, f"{folder}/changes")
 
-    query = sinks.start(changes, store, f"{folder}/checkpoint", mode="update", trigger=trigger or sinks.WAIT)
+    before = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, str(partitions or before))
+    try:  # the query takes a copy of the session's settings
+        query = sinks.start(changes, store, f"{folder}/checkpoint", mode="update", trigger=trigger or sinks.WAIT)
+    finally:
+        conf.set(PARTITIONS, before)
     query.awaitTermination()
     return query
 

@@ -3,6 +3,7 @@ arrivals, restarts, replays from an older checkpoint."""
 
 import random
 import shutil
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +145,79 @@ def test_a_session_costs_one_read_and_one_write_of_state_per_batch():
     assert {k: n for k, n in counted.items() if n} == {(7, i): 1 for i in range(50) if i != 7}
 
 
+class Kept:
+    """State of one key, and a count of the calls to it."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = [], None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+    def expire(self, processor, now):
+        for at in sorted(t for t in self.timers if t <= now):
+            watermark, expired = SimpleNamespace(getCurrentWatermarkInMs=lambda: now), SimpleNamespace(getExpiryTimeInMs=lambda at=at: at)
+            assert list(processor.handleExpiredTimer((3,), watermark, expired)) == []
+            self.timers.discard(at)
+
+
+def test_the_sessions_of_a_bucket_share_calls_to_state_and_are_forgotten_each_in_its_time():
+    kept = Kept()
+    processor = pair_model.SessionPairs(100)
+    processor.init(kept)
+
+    def play(session, i, track, second):
+        return ("u", session, None, second * 1_000_000, i, track, 1)
+
+    def arrive(*rows):
+        kept.calls.clear()
+        return sorted(tuple(r) for r in processor.handleInputRows((3,), iter(rows), None))
+
+    found = arrive(*[play(f"s{i}", 3 * i + k, 10 * i + k, 1000 + i) for k in range(3) for i in range(40)])
+    assert found == [(10 * i + 2, 10 * i + k, 1) for i in range(40) for k in range(2)]
+    assert kept.calls == ["get", "update", "timer"] and kept.timers == {1_100_000}
+    # s0 goes on, another session is due before all others
+    assert arrive(play("s0", 500, 2, 1050), play("early", 501, 7, 990), play("early", 502, 8, 980), play(None, 503, 9, 1050)) == [(7, 8, 1)]
+    assert kept.calls == ["get", "update", "timer"] and kept.timers == {1_090_000, 1_100_000}
+    kept.expire(processor, 1_095_000)  # early goes
+    kept.expire(processor, 1_119_500)  # s1 to s19 go, s0 is due at 1150
+    assert kept.timers == {1_120_000}
+    assert arrive(play("early", 600, 1, 1110), play("s19", 601, 1, 1110), play("s20", 602, 1, 1110), play("s0", 603, 1, 1110)) == sorted(
+        [(202, 200, -1), (202, 201, -1), (1, 200, 1), (1, 201, 1), (1, 202, 1)] + [(2, 0, -1), (2, 1, -1), (1, 0, 1), (1, 2, 2)]
+    )
+    assert kept.calls == ["get", "update"]
+    kept.expire(processor, 2_000_000)
+    assert kept.value is None and not kept.timers
+
+
+def test_state_has_a_row_per_bucket_and_the_partitions_it_was_given(spark, tmp_path, plays, monkeypatch):
+    monkeypatch.setattr(pair_model, "BUCKETS", 5)
+    folder, model = str(tmp_path / "in"), str(tmp_path / "model")
+    before = spark.conf.get(pair_model.PARTITIONS)
+    for rows in plays:
+        query = pair_model.run_pair_model(arrive(spark, folder, rows), model, partitions=2)
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= 5
+    assert model_rows(pair_model.pair_model(spark, model)) == model_rows(cooccurrence_counts(spark.read.parquet(folder), KEYS, ("event_time", "event_id"), None))
+    assert sorted(p.name for p in (tmp_path / "model/checkpoint/state/0").iterdir() if p.name.isdigit()) == ["0", "1"]
+    assert spark.conf.get(pair_model.PARTITIONS) == before
+
+
 def test_each_event_passes_once(spark, tmp_path):
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     play = lambda i, t: (i, "u", "s", i, float(t + 1000))
